@@ -1,0 +1,6 @@
+"""No stream operators: the toolkit's input is a bounded table.
+
+Every fitted model here is either a ``pyspark.ml`` model or scores row by row
+with column expressions, so ``model.transform`` also takes a streaming
+DataFrame; ``tests/test_streaming.py`` shows it.
+"""
