@@ -4,7 +4,7 @@ from quarry.plans.registry import QUERIES, SQL
 
 
 def _load() -> None:
-    from quarry.plans import tabular  # noqa: F401
+    from quarry.plans import models, tabular  # noqa: F401
 
 
 def all_queries():
