@@ -33,14 +33,17 @@ def _cut_points(df: DataFrame, groups: Sequence[str], order: str, buckets: int |
         F.percentile_approx(order, F.array(*map(F.lit, probs)), 20_000).alias("__cuts"),
     )
     schema = sketch.drop("__n").schema
-    local = []
+    if buckets is None:
+        sketch = sketch.filter(F.col("__n") > ROWS_PER_BUCKET)  # smaller groups stay whole
+    local, held = [], 0
     for r in sketch.toLocalIterator():
         want = buckets or -(-r["__n"] // ROWS_PER_BUCKET)
         want = max(1, min(MAX_BUCKETS, want))
         cuts = r["__cuts"] or []
         picked = sorted({cuts[len(cuts) * i // want] for i in range(1, want)}) if cuts else []
         local.append(tuple(r[g] for g in groups) + (picked,))
-        if len(local) * MAX_BUCKETS * 8 > broadcast_limit(spark):
+        held += 8 * (len(picked) + 4)
+        if held > broadcast_limit(spark):
             raise ValueError("too many groups for one local table of cut points")
     if all(not row[-1] for row in local):
         return None

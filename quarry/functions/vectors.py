@@ -20,12 +20,18 @@ def dot(a: Column, b: Column) -> Column:
     return total(F.zip_with(a, b, lambda x, y: x * y))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it many times inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def row_zscore(a: Column) -> Column:
     """Each row scaled by its own mean and sample deviation (ddof 1)."""
-    mean = total(a) / F.size(a)
-    dev = F.transform(a, lambda x: x - mean)
-    sd = F.sqrt(dot(dev, dev) / (F.size(a) - 1))
-    return F.transform(dev, lambda d: d / sd)
+    dev = let(total(a) / F.size(a), lambda m: F.transform(a, lambda x: x - m))
+    return let(
+        dev,
+        lambda v: let(F.sqrt(dot(v, v) / (F.size(v) - 1)), lambda sd: F.transform(v, lambda x: x / sd)),
+    )
 
 
 def pack(cols: Sequence[str], name: str = "features") -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.ranking import exact_quantiles
-from quarry.functions.vectors import pack, total
+from quarry.functions.vectors import let, pack, total
 
 MAX_LEVELS = 10_000
 
@@ -156,7 +156,8 @@ def binarize(df: DataFrame, vec_col: str = "features", single_row: bool = False)
         s = F.sort_array(vec_col)
         n = F.size(vec_col)
         med = (F.get(s, ((n - 1) / 2).cast("int")) + F.get(s, (n / 2).cast("int"))) / 2
-        return df.withColumn(vec_col, F.transform(vec_col, lambda x: (x > med).cast("double")))
+        ones = let(med, lambda m: F.transform(vec_col, lambda x: (x > m).cast("double")))
+        return df.withColumn(vec_col, ones)
     meds = F.array(*[F.lit(m) for m in column_medians(df, vec_col)])
     return df.withColumn(vec_col, F.zip_with(vec_col, meds, lambda x, m: (x > m).cast("double")))
 

@@ -36,13 +36,16 @@ def shared_path(spark: SparkSession, stem: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{stem}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives lost executors and shortens the plan."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+def cut_lineage(df: DataFrame, stem: str = "step") -> DataFrame:
+    """Write the rows to the shared folder and read them back.
+
+    The result survives lost executors and its size statistics are those of the
+    files, whereas a checkpoint in a loop of joins inherits the product of all
+    estimates so far.
+    """
+    path = shared_path(df.sparkSession, stem)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
