@@ -93,7 +93,7 @@ def sum_by_slot(
     parts = df.mapInArrow(run, "slot int, v array<double>")
     rows = (
         parts.groupBy("slot")
-        .agg(vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v"))
+        .agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("v")))).alias("v"))
         .collect()
     )
     return {r["slot"]: np.asarray(r["v"]) for r in rows}

@@ -37,7 +37,7 @@ def kernel_density(
 def candidate_widths(df: DataFrame, vec_col: str = "features", powers: Sequence[int] = range(-10, 3)) -> list[float]:
     """Largest population variance of a column times powers of two."""
     r = df.select(F.col(vec_col).cast("array<double>").alias("v")).agg(
-        Summarizer.variance(array_to_vector("v")).alias("v"), F.count("*").alias("n")
+        Summarizer.variance(array_to_vector(F.col("v"))).alias("v"), F.count("*").alias("n")
     ).first()
     top = float(r["v"].toArray().max()) * (r["n"] - 1) / r["n"]
     return [top * 2.0**p for p in powers]

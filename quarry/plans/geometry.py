@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarry.functions.vectors import pack
 from quarry.operators import density, folds, neighbours, pairs, reduce, similarity, topk
 from quarry.operators.encode import centre_vectors
-from quarry.plans.registry import query, rounded
+from quarry.plans.registry import SQL, query, rounded
 from quarry.session import table
 from quarry.sources.tables import read_matrix
 
@@ -202,6 +202,44 @@ def d3(spark, d):
     return rounded(z.select("l_orderkey", "l_linenumber", F.get("scores", F.lit(0)).alias("score")), 4)
 
 
+_FIRST = """, t AS (SELECT CASE WHEN abs(x) >= abs(y) THEN sign(x) ELSE sign(y) END AS f, x, y, l2, mq, mp FROM u),
+    z AS (SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity AS q, l_extendedprice / 1000 AS p, f * x AS vx, f * y AS vy, mq, mp,
+      f * (x * (l_quantity - mq) + y * (l_extendedprice / 1000 - mp)) AS score FROM lineitem, t)"""
+
+
+@query(
+    "d4_flag_on_component",
+    _EIG + _FIRST + " SELECT l_orderkey, l_linenumber, l_returnflag, round(score, 4) + 0.0 AS score FROM z WHERE l_returnflag = 'A'",
+)
+def d4flag(spark, d):
+    x = table(spark, d, "lineitem").withColumn("price", F.col("l_extendedprice") / 1000)
+    pca = reduce.fit_components(x, ["l_quantity", "price"])
+    rows = x.select("l_orderkey", "l_linenumber", "l_returnflag", pack(["l_quantity", "price"]))
+    return rounded(reduce.class_on_component(rows, pca, "l_returnflag", "A", 0), 4)
+
+
+@query(
+    "d5_reconstruction",
+    _EIG + _FIRST + " SELECT l_orderkey, l_linenumber, round(mq + score * vx, 4) + 0.0 AS quantity, round(mp + score * vy, 4) + 0.0 AS price FROM z",
+)
+def d5rows(spark, d):
+    x = _plane(spark, d)
+    pca = reduce.fit_components(x, ["l_quantity", "price"])
+    z = pca.reconstruct(x.select("l_orderkey", "l_linenumber", pack(["l_quantity", "price"])), 1)
+    return rounded(
+        z.select("l_orderkey", "l_linenumber", F.get("rebuilt", F.lit(0)).alias("quantity"), F.get("rebuilt", F.lit(1)).alias("price")), 4
+    )
+
+
+@query(
+    "d5_reconstruction_error_plane",
+    _EIG + " SELECT 1 AS k, round(l2 * (n - 1) / n, 5) AS mse FROM s, (SELECT count(*) AS n FROM lineitem)",
+)
+def d5plane(spark, d):
+    x = _plane(spark, d).withColumn("features", pack(["l_quantity", "price"]))
+    return rounded(reduce.reconstruction_error(x, reduce.fit_components(x, ["l_quantity", "price"]), [1]), 5)
+
+
 @query("d4_class_on_component")
 def d4(spark, d):
     x = _emb(spark, d)
@@ -256,10 +294,11 @@ def o2(spark, d):
     return rounded(scores, 3, width=10)
 
 
-@query("o2_best_bandwidth")
+@query("o2_best_bandwidth", SQL["o2_bandwidth"] + " ORDER BY log_likelihood DESC LIMIT 1")
 def o2b(spark, d):
     x = _emb(spark, d)
-    return density.best_bandwidth(density.bandwidth_scores(centre_vectors(x), density.candidate_widths(x), "vec_id"))
+    scores = density.bandwidth_scores(centre_vectors(x), density.candidate_widths(x), "vec_id")
+    return rounded(density.best_bandwidth(scores), 3, width=10)
 
 
 _GRID = [i * 10.0 for i in range(0, 21)]

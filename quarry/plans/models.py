@@ -28,9 +28,16 @@ def l4(spark, d):
     return rounded(linear.ols(_priced(spark, d), ["l_quantity"], "price").table(spark), 5)
 
 
-@query("l4_least_squares_many")
+@query(
+    "l4_least_squares_two",
+    f"""WITH s AS (SELECT covar_pop(l_quantity, l_quantity) a, covar_pop(l_quantity, l_discount) b, covar_pop(l_discount, l_discount) c,
+      covar_pop(l_quantity, price) y1, covar_pop(l_discount, price) y2, avg(l_quantity) m1, avg(l_discount) m2, avg(price) my FROM {_PRICED}),
+    w AS (SELECT *, (c * y1 - b * y2) / (a * c - b * b) AS w1, (a * y2 - b * y1) / (a * c - b * b) AS w2 FROM s)
+    SELECT 'intercept' AS feature, round(my - w1 * m1 - w2 * m2, 4) AS coef FROM w UNION ALL SELECT 'l_quantity', round(w1, 4) + 0.0 FROM w
+    UNION ALL SELECT 'l_discount', round(w2, 4) + 0.0 FROM w""",
+)
 def l4b(spark, d):
-    return linear.ols(_priced(spark, d), ["l_quantity", "l_discount", "l_tax"], "price").table(spark)
+    return rounded(linear.ols(_priced(spark, d), ["l_quantity", "l_discount"], "price").table(spark), 4)
 
 
 @query(
