@@ -23,12 +23,12 @@ def shared_dir(spark: SparkSession) -> str:
     Only where the cluster names none (tests on one machine) a temporary folder
     is made.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    folder = folder or sc.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="quarry-")
-        spark.sparkContext.setCheckpointDir(folder)
+        sc.setCheckpointDir(folder)
     return folder
 
 
