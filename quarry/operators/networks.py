@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.vectors import sum_by_slot, to_matrix
+from quarry.session import spread_small
 
 
 @dataclass(frozen=True)
@@ -181,10 +182,11 @@ def train_networks(
         F.col(vec_col).cast("array<double>").alias("x"),
         F.col(label).cast("double").alias("y"),
         (F.col(fold).cast("int") if fold else F.lit(0)).alias("k"),
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    found = slim.groupBy("k").agg(F.count("*").alias("n"), F.max(F.size("x")).alias("m")).collect()
+    sizes, m = {r["k"]: r["n"] for r in found}, max(r["m"] for r in found)
+    slim = spread_small(slim, sum(sizes.values()), m).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sizes = {r["k"]: r["n"] for r in slim.groupBy("k").agg(F.count("*").alias("n")).collect()}
-        m = slim.select(F.max(F.size("x"))).first()[0]
         total = sum(sizes.values())
         folds = sorted(sizes) if fold else [-1]
         shape = Shape((m, *hidden, classes or 1), softmax=bool(classes))

@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarry.functions.vectors import batches_to_matrices, from_matrix, to_matrix
-from quarry.session import broadcast_limit
+from quarry.session import broadcast_limit, spread_small
 
 BLOCK_ROWS = 4_096
 MAX_PIVOTS = 2_048
@@ -284,7 +284,7 @@ def nearest_neighbours(
                 qid = b.column("id").to_numpy()
                 yield pa.RecordBatch.from_arrays(emit(qid, xid, block_nearest(qid, v, xid, xv, k, skip)), names=names)
 
-        found = q.mapInArrow(scan, NEIGHBOURS)
+        found = (spread_small(q, n, m) if queries is data else q).mapInArrow(scan, NEIGHBOURS)
     else:
         look = k + 1 if skip else k
         placed, cells = build_cells(x, n, m, look)
@@ -333,7 +333,7 @@ def kernel_sums(
                 top, s = block_kernel_sums(qid, v, xid, xv, widths, None, skip_self)
                 yield pa.RecordBatch.from_arrays([b.column("id"), from_matrix(top), from_matrix(s)], names=names)
 
-        return x.mapInArrow(scan, SUMS), n, m
+        return spread_small(x, n, m).mapInArrow(scan, SUMS), n, m
 
     if skip_self:
         nn = nearest_neighbours(df, df, 1, id_col, vec_col, include_self=False)

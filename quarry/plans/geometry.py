@@ -101,7 +101,8 @@ def _nn_sql(k, skip=False):
 
 @query("m9_nearest_neighbours", _nn_sql(5) + " SELECT query_id, rank, neighbor_id, round(distance, 6) AS distance FROM nn")
 def m9(spark, d):
-    return rounded(pairs.nearest_neighbours(_emb(spark, d), _emb(spark, d), 5, "vec_id"))
+    x = _emb(spark, d)
+    return rounded(pairs.nearest_neighbours(x, x, 5, "vec_id"))
 
 
 @query(

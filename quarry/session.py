@@ -50,3 +50,21 @@ def cut_lineage(df: DataFrame, stem: str = "step") -> DataFrame:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Widen a scanned table before heavy work per row.
+
+    A single unsplittable file is read by one task. Scans that already have a
+    partition per core, as any large table does, pass through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def spread_small(df: DataFrame, rows: int, width: int) -> DataFrame:
+    """Give every core a share of a table measured as small; large ones are split already."""
+    spark = df.sparkSession
+    if rows * (width + 1) * 8 > broadcast_limit(spark):
+        return df
+    return df.repartition(max(1, min(spark.sparkContext.defaultParallelism, rows)))
