@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quarry.session import broadcast_limit
+from quarry.session import broadcast_limit, cut_lineage
 
 ROWS_PER_BUCKET = 200_000
 STRIDE = 32  # cut points are searched in two steps of at most STRIDE comparisons
@@ -27,21 +27,32 @@ def _cut_points(df: DataFrame, groups: Sequence[str], order: str, buckets: int |
     an approximate sketch twice could place one row in two buckets.
     """
     spark = df.sparkSession
-    probs = [(i + 1) / MAX_BUCKETS for i in range(MAX_BUCKETS - 1)]
+    count = df.groupBy(*groups).agg(F.count("*").alias("__n"))
+    if buckets is None:
+        count = count.filter(F.col("__n") > ROWS_PER_BUCKET)  # smaller groups stay whole
+    sizes = {tuple(r[g] for g in groups): r["__n"] for r in count.toLocalIterator()}
+    if not sizes:
+        return None
+    if len(sizes) * 64 > broadcast_limit(spark):
+        raise ValueError("too many groups for one local table of cut points")
+    parts = {g: max(1, min(MAX_BUCKETS, buckets or -(-n // ROWS_PER_BUCKET))) for g, n in sizes.items()}
+    fine = max(parts.values())
+    if fine == 1:
+        return None
+    probs = [(i + 1) / fine for i in range(fine - 1)]
     sketch = df.groupBy(*groups).agg(
-        F.count("*").alias("__n"),
-        F.percentile_approx(order, F.array(*map(F.lit, probs)), 20_000).alias("__cuts"),
+        F.percentile_approx(order, F.array(*map(F.lit, probs)), 20_000).alias("__cuts")
     )
-    schema = sketch.drop("__n").schema
+    schema = sketch.schema
     if buckets is None:
-        sketch = sketch.filter(F.col("__n") > ROWS_PER_BUCKET)  # smaller groups stay whole
+        sketch = sketch.join(count.select(*groups), list(groups), "left_semi")
     local, held = [], 0
     for r in sketch.toLocalIterator():
-        want = buckets or -(-r["__n"] // ROWS_PER_BUCKET)
-        want = max(1, min(MAX_BUCKETS, want))
+        key = tuple(r[g] for g in groups)
+        want = parts.get(key, 1)
         cuts = r["__cuts"] or []
         picked = sorted({cuts[len(cuts) * i // want] for i in range(1, want)}) if cuts else []
-        local.append(tuple(r[g] for g in groups) + (picked,))
+        local.append(key + (picked,))
         held += 8 * (len(picked) + 4)
         if held > broadcast_limit(spark):
             raise ValueError("too many groups for one local table of cut points")
@@ -138,6 +149,7 @@ def exact_quantiles(
     keys = list(groups) or ["__g"]
     src = df if groups else df.withColumn("__g", F.lit(0))
     counts = src.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__c"))
+    counts = cut_lineage(counts, "counts")  # read by every step below
     b = bucketed(counts, value, keys, buckets)
     per = b.groupBy(*keys, "__bucket").agg(F.sum("__c").alias("__t"))
     before = W.partitionBy(*keys).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)

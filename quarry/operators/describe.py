@@ -19,14 +19,16 @@ def melt(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFr
 
 def summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(attribute, mean, std, median, range, variance), one row per column."""
-    long = melt(df, cols)
-    base = long.groupBy("attribute").agg(
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        (F.max("value") - F.min("value")).alias("range"),
-        F.var_samp("value").alias("variance"),
+    stats = {"mean": F.avg, "std": F.stddev_samp, "variance": F.var_samp}
+    one = df.agg(
+        *[f(F.col(c).cast("double")).alias(f"{c}__{n}") for c in cols for n, f in stats.items()],
+        *[(F.max(F.col(c).cast("double")) - F.min(F.col(c).cast("double"))).alias(f"{c}__range") for c in cols],
     )
-    med = exact_quantiles(long, "value", [0.5], ["attribute"]).select(
+    rows = [
+        F.struct(F.lit(c).alias("attribute"), *[F.col(f"{c}__{n}").alias(n) for n in (*stats, "range")]) for c in cols
+    ]
+    base = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    med = exact_quantiles(melt(df, cols), "value", [0.5], ["attribute"]).select(
         "attribute", F.col("q")[0].alias("median")
     )
     return base.join(med, "attribute").select("attribute", "mean", "std", "median", "range", "variance")

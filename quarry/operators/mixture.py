@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.vectors import batches_to_matrices, sum_by_slot, to_matrix
 from quarry.operators.pairs import extent, squared_distances
-from quarry.session import spread_small
+from quarry.session import cut_lineage, spread_small
 
 RIDGE = 1e-6  # added to every variance, so that no component collapses
 SEED_ROWS = 2_000
@@ -144,11 +144,13 @@ def fit_mixtures(
     """Best restart per (k, fold); fold -1 means all rows, fold f the rows outside f."""
     cols = [F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")]
     slim = df.select(*cols, (F.col(fold).cast("int") if fold else F.lit(0)).alias("f"))
-    slim = spread_small(slim, *extent(slim)).persist(StorageLevel.MEMORY_AND_DISK)
+    rows, m = extent(slim)
+    work = 4 * m * (2 if diagonal else m) * sum(ks) * len(folds) * restarts
+    # read once per pass: the short plan of written rows, cached where memory allows
+    slim = cut_lineage(spread_small(slim, rows, m, work), "mixture").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         head = slim.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(SEED_ROWS).toArrow().combine_chunks()
         sample, at = to_matrix(head.column("v")), head.column("f").to_numpy()
-        m = sample.shape[1]
         models = []
         for k in ks:
             for f in folds:

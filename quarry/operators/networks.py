@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.vectors import sum_by_slot, to_matrix
-from quarry.session import spread_small
+from quarry.session import cut_lineage, spread_small
 
 
 @dataclass(frozen=True)
@@ -185,7 +185,10 @@ def train_networks(
     )
     found = slim.groupBy("k").agg(F.count("*").alias("n"), F.max(F.size("x")).alias("m")).collect()
     sizes, m = {r["k"]: r["n"] for r in found}, max(r["m"] for r in found)
-    slim = spread_small(slim, sum(sizes.values()), m).persist(StorageLevel.MEMORY_AND_DISK)
+    weights = Shape((m, *hidden, classes or 1)).length * restarts * (len(sizes) if fold else 1)
+    # read once per pass: the short plan of written rows, cached where memory allows
+    slim = cut_lineage(spread_small(slim, sum(sizes.values()), m, 4 * weights), "network")
+    slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         total = sum(sizes.values())
         folds = sorted(sizes) if fold else [-1]

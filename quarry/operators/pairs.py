@@ -204,11 +204,11 @@ def visit_blocks(
     ``extra`` names a double column of the query side that travels along.
     """
     spark = placed.sparkSession
-    shared = spark.sparkContext.broadcast(cells)
+    shared = spark.sparkContext.broadcast((cells.pivots, cells.count, cells.radius, cells.kth))
 
     def targets(batches):
+        c = Cells(*shared.value)
         for b, v in batches_to_matrices(batches, "v"):
-            c = shared.value
             dq = c.distances(v)
             far = within(dq, b.column(extra).to_numpy(zero_copy_only=False) if extra else None)
             hit = c.reachable(dq, far)
@@ -284,7 +284,7 @@ def nearest_neighbours(
                 qid = b.column("id").to_numpy()
                 yield pa.RecordBatch.from_arrays(emit(qid, xid, block_nearest(qid, v, xid, xv, k, skip)), names=names)
 
-        found = (spread_small(q, n, m) if queries is data else q).mapInArrow(scan, NEIGHBOURS)
+        found = (spread_small(q, n, m, n * m) if queries is data else q).mapInArrow(scan, NEIGHBOURS)
     else:
         look = k + 1 if skip else k
         placed, cells = build_cells(x, n, m, look)
@@ -333,7 +333,7 @@ def kernel_sums(
                 top, s = block_kernel_sums(qid, v, xid, xv, widths, None, skip_self)
                 yield pa.RecordBatch.from_arrays([b.column("id"), from_matrix(top), from_matrix(s)], names=names)
 
-        return spread_small(x, n, m).mapInArrow(scan, SUMS), n, m
+        return spread_small(x, n, m, n * (m + 20 * len(widths))).mapInArrow(scan, SUMS), n, m
 
     if skip_self:
         nn = nearest_neighbours(df, df, 1, id_col, vec_col, include_self=False)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import cut_lineage, spread_small
 from quarry.sources.text import basket_items
 
 
@@ -19,31 +21,38 @@ def baskets_of_rows(df: DataFrame, cols: Sequence[str], id_col: str, titles: Seq
 def baskets_of_pairs(df: DataFrame, basket: str, item: str) -> DataFrame:
     """One basket per key from (key, item) rows, each item once.
 
-    Items are made distinct before they are gathered, so a basket grows with the
-    number of different items only.
+    Sets are merged map-side, so a basket grows with the number of different items only.
     """
-    x = df.select(F.col(basket).alias("basket_id"), F.col(item).cast("string").alias("item")).distinct()
-    return x.groupBy("basket_id").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    items = F.sort_array(F.collect_set(F.col(item).cast("string"))).alias("items")
+    return df.groupBy(F.col(basket).alias("basket_id")).agg(items)
 
 
 class Mined:
     """One FP-growth run; itemsets and rules read from it."""
 
     def __init__(self, baskets: DataFrame, min_support: float):
-        self.baskets = baskets
         self.min_support = min_support
-        self.model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=0.0).fit(
-            baskets.filter(F.size("items") > 0)
-        )
-        # empty baskets count in every share
-        self.total = baskets.count()
+        held = baskets.select("items").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # empty baskets count in every share
+            self.total = held.count()
+            full = held.filter(F.size("items") > 0)
+            n, widest = full.agg(F.count("*"), F.max(F.size("items"))).first()
+            spark = baskets.sparkSession
+            # one conditional tree set per task: more tasks, smaller trees
+            parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+            least = min(1.0, max(0.0, (min_support * self.total - 1e-9) / max(1, n)))
+            grow = FPGrowth(itemsCol="items", minSupport=least, minConfidence=0.0, numPartitions=parts)
+            model = grow.fit(spread_small(full, n, 4 * (widest or 1), 100))
+            sets = model.freqItemsets.select(F.sort_array("items").alias("items"), "freq")
+            # the model mines again each time its itemsets are read
+            self.sets = cut_lineage(sets.filter(F.col("freq") >= min_support * self.total - 1e-9), "itemsets")
+        finally:
+            held.unpersist()
 
     def itemsets(self, max_size: int | None = None) -> DataFrame:
         """(items, freq, support), at least ``min_support`` of all baskets."""
-        s = self.model.freqItemsets.select(F.sort_array("items").alias("items"), "freq")
-        s = s.filter(F.col("freq") >= self.min_support * self.total - 1e-9)
-        if max_size:
-            s = s.filter(F.size("items") <= max_size)
+        s = self.sets.filter(F.size("items") <= max_size) if max_size else self.sets
         return s.withColumn("support", F.col("freq") / F.lit(self.total))
 
     def rules(self, min_confidence: float, max_size: int | None = None, support_mode: str = "rule") -> DataFrame:

@@ -20,7 +20,7 @@ from quarry.operators import (
 )
 from quarry.plans import models
 from quarry.plans.registry import SQL, query, rounded
-from quarry.session import table
+from quarry.session import spread, table
 from quarry.sources.tables import read_matrix, write_metrics
 
 
@@ -31,13 +31,15 @@ def _emb(spark, d):
 def _quality(spark, d):
     """Labelled documents: four figures of the text, quality as the class."""
     t = F.col("text")
+    n = F.length(t)
+    without = lambda chars: F.length(F.translate(t, chars, ""))
     figures = {
-        "log_chars": F.log1p(F.length(t).cast("double")),
-        "lines": F.log1p(F.size(F.split(t, "\n")).cast("double")),
-        "digits": F.log1p(F.length(F.regexp_replace(t, "[^0-9]", "")).cast("double")),
-        "capitals": F.log1p(F.length(F.regexp_replace(t, "[^A-Z]", "")).cast("double")),
+        "log_chars": F.log1p(n.cast("double")),
+        "lines": F.log1p((n - without("\n") + 1).cast("double")),
+        "digits": F.log1p((n - without("0123456789")).cast("double")),
+        "capitals": F.log1p((n - without("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).cast("double")),
     }
-    docs = table(spark, d, "documents").select("doc_id", *[c.alias(n) for n, c in figures.items()])
+    docs = spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", *[c.alias(n) for n, c in figures.items()])
     x = docs.join(table(spark, d, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
     return x.select("doc_id", pack(list(figures)), "label")
 

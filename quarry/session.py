@@ -62,9 +62,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def spread_small(df: DataFrame, rows: int, width: int) -> DataFrame:
-    """Give every core a share of a table measured as small; large ones are split already."""
+WORK_PER_TASK = 4_000_000
+
+
+def spread_small(df: DataFrame, rows: int, width: int, work: int) -> DataFrame:
+    """Split a table measured as small by the work per row; large ones are split already.
+
+    ``work`` is the rough number of multiplications per row. Little work stays
+    in one task, as starting a task costs more.
+    """
     spark = df.sparkSession
     if rows * (width + 1) * 8 > broadcast_limit(spark):
         return df
-    return df.repartition(max(1, min(spark.sparkContext.defaultParallelism, rows)))
+    tasks = 1 + rows * work // WORK_PER_TASK
+    return df.repartition(max(1, min(spark.sparkContext.defaultParallelism, tasks)))
