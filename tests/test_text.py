@@ -73,3 +73,17 @@ def test_filter_order(spark):
     df = spark.createDataFrame([(1, "Rankings rank, running. as ties")], "doc_id long, text string")
     bag = {r["term"]: r["cnt"] for r in text.bag_of_words(df, stop=["rank"], stem=True).collect()}
     assert bag == {"rank": 1, "run": 1, "tie": 1}
+
+
+def test_vocabulary_order_beyond_latin(spark):
+    words = ["zebra", "ёлка", "яб", "бя", "abc", "ab", "数据", "éclair", "яа", "abcd"]
+    df = spark.createDataFrame([(1, w, 1) for w in words], "doc_id long, term string, cnt long")
+    got = [r["term"] for r in text.vocabulary(df).orderBy("idx").collect()]
+    assert got == sorted(words, key=lambda w: w.encode())
+
+
+def test_vocabulary_order_in_buckets(spark, monkeypatch):
+    from quarry.functions import ranking
+
+    monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", 2)
+    test_vocabulary_order_beyond_latin(spark)
