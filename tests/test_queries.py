@@ -7,9 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from quarry.plans import all_queries, all_sql
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+# the queries of the pipeline operators have tests of their own
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
