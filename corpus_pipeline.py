@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import lines, quality, simhash
+from quarry.llm import decontaminate, lines, mixing, quality, simhash
 from quarry.session import cut_lineage
 
 
@@ -23,10 +23,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with ``copies``; sources weigh 5, 2, 1 in turn."""
+    return mixing.mix(docs, mixing.cyclic_weights(docs))
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("line dedup", line_dedup),
     ("simhash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("mixing", mixture),
 ]
 
 #: Fingerprints and alignments are beyond SQL; the tests hold run() against brute force.

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from quarry.llm import lines, quality, simhash
+from quarry.llm import decontaminate, lines, mixing, quality, simhash
 from quarry.session import table
 
 QUERIES: dict[str, Callable] = {}
@@ -23,6 +23,62 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+_BLANKS_SQL = "[\\x20\\x09-\\x0D]"
+
+
+@query(
+    "op1_mixing",
+    rf"""
+WITH s AS (
+  SELECT doc_id, source, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '{_BLANKS_SQL}+'), lambda x: x <> '')) AS BIGINT) AS size
+  FROM documents
+), g AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS ss,
+    CAST([5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS w
+  FROM s GROUP BY source
+), o AS (SELECT *, row_number() OVER (ORDER BY 2 * ss / w, source) AS k FROM g WHERE ss > 0),
+lv AS (
+  SELECT k, 2 * ss / w AS r,
+    (1.5::DOUBLE * sum(ss) OVER () - coalesce(sum(2 * ss) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lam
+  FROM o
+), t AS (
+  SELECT source, ss, least(2.0::DOUBLE * ss, (SELECT lam FROM lv WHERE r >= lam ORDER BY k LIMIT 1) * w) AS target FROM g
+), e AS (
+  SELECT doc_id, s.source, size, ss, target, coalesce(CASE WHEN ss > 0 THEN target / ss END, 0.0::DOUBLE) AS rate,
+    (CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR) || ':42'), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+  FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source
+), p AS (SELECT *, floor(rate) AS whole, rate - floor(rate) AS p FROM e),
+q AS (
+  SELECT *, CASE WHEN p > 0 THEN u * (1 - p) / ((1 - u) * p) END AS ord,
+    greatest(target - sum(whole * size) OVER (PARTITION BY source), 0.0::DOUBLE) AS rest FROM p
+), c AS (
+  SELECT *, CASE WHEN ord IS NOT NULL THEN sum(size) OVER (PARTITION BY source, ord IS NULL ORDER BY ord) END AS cum FROM q
+), d AS (
+  SELECT *, coalesce(cum <= rest, false) AS taken,
+    rest - coalesce(max(cum) FILTER (WHERE cum <= rest) OVER (PARTITION BY source), 0) AS gap FROM c
+), x AS (
+  SELECT *, ord IS NOT NULL AND NOT taken AND abs(size - gap) < gap AS may FROM d
+), y AS (
+  SELECT *, CASE WHEN may THEN row_number() OVER (PARTITION BY source, may ORDER BY abs(size - gap), ord) END AS n FROM x
+)
+SELECT doc_id, size, ss AS source_size, target,
+  CAST(size * (whole + CASE WHEN taken OR coalesce(n, 0) = 1 THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM y
+""",
+)
+def op1(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text", "source")
+    out = mixing.pareto_mix(docs, mixing.cyclic_weights(docs))
+    return out.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        F.col("group_size").alias("source_size"),
+        "target",
+        (F.col("size") * F.col("copies")).alias("taken"),
+    )
+
+
 @query(
     "op2_line_dedup",
     r"""
@@ -48,9 +104,6 @@ def op2(spark, d):
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-_BLANKS_SQL = "[\\x20\\x09-\\x0D]"
-
-
 @query(
     "op3_quality_rules",
     rf"""
@@ -95,3 +148,10 @@ def op4(spark, d):
     return out.select(
         F.col("id").alias("doc_id"), simhash.hex_of().alias("fingerprint"), F.col("component").alias("component_id")
     )
+
+
+@query("op6_decontamination")
+def op6(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    out = decontaminate.matches(docs, table(spark, d, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), "item_id", F.round("similarity", 6).alias("similarity"), "begin", "end")
