@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, lines, mixing, quality, simhash
-from quarry.session import table
+from quarry.llm import decontaminate, lines, mixing, quality, simhash, tokens, warc
+from quarry.session import shared_path, table
 
 QUERIES: dict[str, Callable] = {}
 SQL: dict[str, str] = {}
@@ -155,3 +155,30 @@ def op6(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     out = decontaminate.matches(docs, table(spark, d, "benchmark"))
     return out.select(F.col("id").alias("doc_id"), "item_id", F.round("similarity", 6).alias("similarity"), "begin", "end")
+
+
+def _page(c):
+    return F.regexp_extract(c, "^urn:page:(-?[0-9]+)$", 1)
+
+
+@query("op7_warc")
+def op7(spark, d):
+    path = shared_path(spark, "archives")
+    warc.archive(table(spark, d, "pages").select("page_id", "url", "html"), path)
+    back = warc.read_warc(spark, path)
+    number = lambda c: F.when(_page(F.col(c)) != "", _page(F.col(c)).cast("long"))
+    return back.select(
+        number("record_id").alias("page_id"),
+        F.coalesce(F.octet_length("payload").cast("long"), F.col("payload_length")).alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        number("refers_to").alias("refers_to"),
+    )
+
+
+@query("op9_token_counts")
+def op9(spark, d):
+    import public_tokenizers
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return tokens.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
