@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, lines, mixing, quality, simhash, tokens, warc
+from quarry.llm import decontaminate, licenses, lines, mixing, quality, secrets, simhash, tokens, urls, warc
 from quarry.session import shared_path, table
 
 QUERIES: dict[str, Callable] = {}
@@ -182,3 +182,86 @@ def op9(spark, d):
 
     docs = table(spark, d, "documents").select("doc_id", "text")
     return tokens.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op10_secret_scan")
+def op10(spark, d):
+    out = secrets.scan(table(spark, d, "documents").select("doc_id", "text"))
+    kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return out.select(
+        "doc_id",
+        kind(0).alias("n_assign"),
+        kind(1).alias("n_access"),
+        kind(2).alias("n_hex"),
+        F.sha2(secrets.spelled(F.col("base")), 256).alias("base_sha256"),
+        secrets.spelled(F.col("spans")).alias("spans"),
+    )
+
+
+def _license_sql() -> str:
+    rows = ", ".join(
+        "(%d, '%s', [%s])" % (i, n, ", ".join(f"'{b}'" for b in licenses.bigrams_of(t)))
+        for i, (n, t) in enumerate(licenses.TEMPLATES)
+    )
+    return rf"""
+WITH tpl(i, license, g) AS (VALUES {rows}),
+tb AS (SELECT i, license, len(g) AS m, unnest(g) AS b FROM tpl),
+u AS (
+  SELECT doc_id, CAST(unnest(range(len(ls))) AS INT) AS line, unnest(ls) AS t
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
+  UNION ALL SELECT doc_id, -1, text FROM documents WHERE contains(text, chr(10))
+), w AS (
+  SELECT doc_id, line, list_filter(regexp_split_to_array(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+'), lambda x: x <> '') AS ws FROM u
+), g AS (
+  SELECT doc_id, line, list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS g FROM w WHERE len(ws) > 1
+), e AS (SELECT doc_id, line, len(g) AS n, unnest(g) AS b FROM g),
+c AS (SELECT doc_id, line, license, 2.0::DOUBLE * count(*) / (n + m) AS dice FROM e JOIN tb ON e.b = tb.b GROUP BY doc_id, line, n, i, license, m)
+SELECT doc_id, line, min(license) AS license, any_value(dice) AS dice
+FROM (SELECT *, max(dice) OVER (PARTITION BY doc_id, line) AS top FROM c) WHERE dice = top AND dice >= 0.8
+GROUP BY doc_id, line
+"""
+
+
+@query("op5_license_scan", _license_sql())
+def op5(spark, d):
+    return licenses.scan(table(spark, d, "documents").select("doc_id", "text"))
+
+
+#: The listed rules, longest first in force.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query(
+    "op8_url_filters",
+    r"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS u FROM pages),
+r AS (SELECT page_id, u, CASE WHEN instr(u, '://') > 0 THEN substr(u, instr(u, '://') + 3) ELSE '' END AS rest FROM p),
+h AS (SELECT page_id, u, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+rules(rule, verdict) AS (VALUES ('net/', 'block'), ('example.net/en/', 'allow'), ('example.com/de/', 'block'), ('org/fr/', 'allow')),
+k AS (SELECT rule, verdict, regexp_extract(rule, '^[^/]*') AS rh, regexp_extract(rule, '^[^/]*(.*)$', 1) AS rp FROM rules),
+f AS (SELECT page_id, rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC, rule) AS n
+  FROM h JOIN k ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)),
+t AS (SELECT page_id, list_distinct(
+    list_transform(list_filter(regexp_split_to_array(host, '[.-]'), lambda x: x <> ''), lambda x: 'h:' || x)
+    || list_transform(list_filter(regexp_split_to_array(translate(path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[/._-]+'), lambda x: x <> ''), lambda x: 'p:' || x)
+    || list_transform(list_filter(list_transform(string_split(regexp_extract(u, '^[^?#]*\?([^#]*)', 1), '&'), lambda q: regexp_extract(q, '^[^=]*')), lambda x: x <> ''), lambda x: 'q:' || x)
+  ) AS ts FROM h),
+l AS (SELECT page_id, coalesce(quality = 0 OR toxic = 1, false) AS bad FROM labels JOIN t ON doc_id = page_id),
+e AS (SELECT page_id, unnest(ts) AS x FROM t),
+b AS (SELECT e.page_id, x FROM e JOIN l USING (page_id) WHERE bad),
+sets AS (
+  SELECT [x] AS s, count(*) AS c FROM b GROUP BY 1
+  UNION ALL SELECT [a.x, b.x], count(*) FROM b a JOIN b ON a.page_id = b.page_id AND a.x < b.x GROUP BY 1
+  UNION ALL SELECT [a.x, b.x, c.x], count(*) FROM b a JOIN b ON a.page_id = b.page_id AND a.x < b.x JOIN b c ON a.page_id = c.page_id AND b.x < c.x GROUP BY 1
+), often AS (SELECT s, c FROM sets WHERE c >= greatest(5, 0.005::DOUBLE * (SELECT count(*) FROM l WHERE bad))),
+conf AS (SELECT s, c, (SELECT count(*) FROM l JOIN t USING (page_id) WHERE list_has_all(ts, s)) AS n FROM often),
+good AS (SELECT s FROM conf WHERE c >= 0.8::DOUBLE * n),
+m AS (SELECT DISTINCT page_id FROM t JOIN good ON list_has_all(ts, s))
+SELECT h.page_id, host, path, rule, coalesce(verdict, CASE WHEN m.page_id IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM h LEFT JOIN (SELECT * FROM f WHERE n = 1) f ON h.page_id = f.page_id LEFT JOIN m ON h.page_id = m.page_id
+""",
+)
+def op8(spark, d):
+    pages = table(spark, d, "pages").select("page_id", "url")
+    return urls.judge(pages, table(spark, d, "labels"), URL_RULES)
