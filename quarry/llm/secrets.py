@@ -218,7 +218,7 @@ def _thresholds(tested: DataFrame, rate: float) -> list[int | None]:
     return [found.get(i) for i in range(len(STRATA))]
 
 
-def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = 0.01, pass_at: float = 0.001) -> DataFrame:
+def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = 0.01, pass_at: float = 0.01) -> DataFrame:
     """``id_col``, ``base`` and ``spans``; one row per row.
 
     Both are arrays of (kind, start, end) in code points, by start, then kind: 0 an assignment
