@@ -1,8 +1,8 @@
 """Running totals, row numbers and exact quantiles over a whole table.
 
-A window without partition keys would pull every row into one task. Here the
-order column is cut into buckets at approximate quantiles, windows run inside
-the buckets, and a small table of bucket totals supplies the offsets.
+A window without partition keys would pull every row into one task. Here the rows
+are dealt into ranges of the order columns, windows run inside the ranges, and a
+small table of range totals supplies the offsets. Any comparable type orders.
 """
 
 from __future__ import annotations
@@ -13,74 +13,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quarry.session import broadcast_limit, cut_lineage
+from quarry.session import cut_lineage
 
 ROWS_PER_BUCKET = 200_000
-STRIDE = 32  # cut points are searched in two steps of at most STRIDE comparisons
-MAX_BUCKETS = STRIDE * STRIDE
+SKETCH = 10_000  # accuracy of the sketch that brackets a quantile
+MARGIN = 0.001  # width of a bracket on either side, as a share of the rows
 
 
-def _cut_points(df: DataFrame, groups: Sequence[str], order: str, buckets: int | None):
-    """Literal cut points per group: a sorted array of at most MAX_BUCKETS - 1 values.
+def bucketed(df: DataFrame, order: str | Sequence[str], groups: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+    """Add ``__bucket``, non-decreasing in the order columns inside each group.
 
-    They are fetched once and sent back as a local table: a plan that evaluated
-    an approximate sketch twice could place one row in two buckets.
+    The number of ranges follows the number of rows. Ties in all columns stay
+    together, so name enough columns to tell rows apart. Several ranges are written:
+    the cuts come from a sample, and a plan that took it twice could place one row in
+    two ranges.
     """
-    spark = df.sparkSession
-    count = df.groupBy(*groups).agg(F.count("*").alias("__n"))
-    if buckets is None:
-        count = count.filter(F.col("__n") > ROWS_PER_BUCKET)  # smaller groups stay whole
-    sizes = {tuple(r[g] for g in groups): r["__n"] for r in count.toLocalIterator()}
-    if not sizes:
-        return None
-    if len(sizes) * 64 > broadcast_limit(spark):
-        raise ValueError("too many groups for one local table of cut points")
-    parts = {g: max(1, min(MAX_BUCKETS, buckets or -(-n // ROWS_PER_BUCKET))) for g, n in sizes.items()}
-    fine = max(parts.values())
-    if fine == 1:
-        return None
-    probs = [(i + 1) / fine for i in range(fine - 1)]
-    sketch = df.groupBy(*groups).agg(
-        F.percentile_approx(order, F.array(*map(F.lit, probs)), 20_000).alias("__cuts")
-    )
-    schema = sketch.schema
-    if buckets is None:
-        sketch = sketch.join(count.select(*groups), list(groups), "left_semi")
-    local, held = [], 0
-    for r in sketch.toLocalIterator():
-        key = tuple(r[g] for g in groups)
-        want = parts.get(key, 1)
-        cuts = r["__cuts"] or []
-        picked = sorted({cuts[len(cuts) * i // want] for i in range(1, want)}) if cuts else []
-        local.append(key + (picked,))
-        held += 8 * (len(picked) + 4)
-        if held > broadcast_limit(spark):
-            raise ValueError("too many groups for one local table of cut points")
-    if all(not row[-1] for row in local):
-        return None
-    return spark.createDataFrame(local, schema)
-
-
-def bucketed(
-    df: DataFrame, order: str, groups: Sequence[str] = (), buckets: int | None = None
-) -> DataFrame:
-    """Add ``__bucket``, non-decreasing in the numeric column ``order`` inside each group."""
-    keys = list(groups) or ["__all"]
-    src = df if groups else df.withColumn("__all", F.lit(0))
-    cuts = _cut_points(src, keys, order, buckets)
-    if cuts is None:
+    order = [order] if isinstance(order, str) else list(order)
+    n = buckets or -(-df.count() // ROWS_PER_BUCKET)
+    if n <= 1:
         return df.withColumn("__bucket", F.lit(0))
-    v = F.col(order)
-    # ends of full strides first, then inside the one stride that holds the value
-    ends = F.filter("__ends", lambda c: c < v)
-    fine = F.filter(F.slice("__cuts", F.size(ends) * STRIDE + 1, STRIDE), lambda c: c < v)
-    cuts = cuts.withColumn(
-        "__ends", F.filter("__cuts", lambda c, i: ((i + 1) % STRIDE) == 0)
-    )
-    out = src.join(F.broadcast(cuts), keys, "left").withColumn(
-        "__bucket", F.coalesce(F.size(ends) * STRIDE + F.size(fine), F.lit(0))
-    )
-    return out.drop("__cuts", "__ends", "__all")
+    dealt = df.repartitionByRange(n, *groups, *order)
+    return cut_lineage(dealt.withColumn("__bucket", F.spark_partition_id()), "ranges")
 
 
 def running_before(
@@ -92,14 +45,15 @@ def running_before(
 ) -> DataFrame:
     """For each output name: the sum of its column over all rows that sort before.
 
-    ``order[0]`` is the leading order column (buckets follow it), the rest break
-    ties. The order must be total. ``<name>_total`` gives the whole group's sum.
+    The order must be total. ``<name>_total`` gives the whole group's sum; a null
+    group is a group.
     """
     groups = list(groups)
     vals = {f"__v_{n}": c for n, c in sums.items()}
-    b = bucketed(df.withColumns(vals), order[0], groups, buckets)
+    b = bucketed(df.withColumns(vals), order, groups, buckets)
     keys = groups + ["__bucket"]
     per = b.groupBy(*keys).agg(*[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in sums])
+    # one row per range and group
     before = W.partitionBy(*groups).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
     every = W.partitionBy(*groups)
     offsets = per.select(
@@ -108,9 +62,7 @@ def running_before(
         *[F.sum(f"__t_{n}").over(every).alias(f"{n}_total") for n in sums],
     )
     cond = [b[k].eqNullSafe(offsets[f"__k_{k}"]) for k in keys]
-    inside = (
-        W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    )
+    inside = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     joined = b.join(offsets, cond, "inner")
     out = joined.withColumns(
         {n: F.col(f"__o_{n}") + F.coalesce(F.sum(f"__v_{n}").over(inside), F.lit(0)) for n in sums}
@@ -134,6 +86,28 @@ def with_row_index(
     return running_before(df, order, {index: F.lit(1).cast("long")}, groups, buckets)
 
 
+def _bracketed(src: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """(keys, ``__v``, ``__out``, ``__c``): values near the wanted ranks with their counts.
+
+    A sketch gives, per group and quantile, two values between which the rank must lie.
+    Values between them are counted one by one; all others only per gap, which the task
+    sums up before anything is shuffled. Groups below the sketch's accuracy stay whole.
+    """
+    edges = [p for q in probs for p in (max(0.0, q - MARGIN), min(1.0, q + MARGIN))]
+    sketch = src.groupBy(*keys).agg(
+        F.count("*").alias("__n"), F.percentile_approx("__x", F.array(*map(F.lit, edges)), SKETCH).alias("__e")
+    )
+    sketch = cut_lineage(sketch.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__n", "__e"), "brackets")
+    near = src.join(sketch, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    x = F.col("__x")
+    inside = F.col("__n") <= SKETCH
+    for i in range(0, len(edges), 2):
+        inside = inside | ((x >= F.get("__e", F.lit(i))) & (x <= F.get("__e", F.lit(i + 1))))
+    below = F.array_max(F.filter("__e", lambda e: e < x))
+    rows = near.select(*keys, F.when(inside, x).otherwise(below).alias("__v"), (~inside).alias("__out"))
+    return rows.groupBy(*keys, "__v", "__out").agg(F.count("*").alias("__c"))
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -143,63 +117,24 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: groups, ``n`` and ``q`` (array).
 
-    Rows are first reduced to (group, value, count). Bucket totals tell which
-    buckets hold the wanted ranks, and only those buckets are ordered.
+    Nulls are left out, a null group is a group. Two scans: one for brackets around
+    the wanted ranks, one that counts the values between them (:func:`_bracketed`).
     """
     keys = list(groups) or ["__g"]
     src = df if groups else df.withColumn("__g", F.lit(0))
-    counts = src.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__c"))
-    counts = cut_lineage(counts, "counts")  # read by every step below
-    b = bucketed(counts, value, keys, buckets)
-    per = b.groupBy(*keys, "__bucket").agg(F.sum("__c").alias("__t"))
-    before = W.partitionBy(*keys).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
-    per = per.withColumns(
-        {
-            "__o": F.coalesce(F.sum("__t").over(before), F.lit(0)),
-            "__n": F.sum("__t").over(W.partitionBy(*keys)),
-        }
-    )
-    targets = per.select(
-        *keys,
-        "__bucket",
-        "__o",
-        "__t",
-        "__n",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("p"),
-                        F.lit(s).alias("side"),
-                        (f((F.col("__n") - 1) * F.lit(float(p)))).cast("long").alias("pos"),
-                    )
-                    for i, p in enumerate(probs)
-                    for s, f in ((0, F.floor), (1, F.ceil))
-                ]
-            )
-        ).alias("t"),
-    ).filter((F.col("t.pos") >= F.col("__o")) & (F.col("t.pos") < F.col("__o") + F.col("__t")))
-    wanted = targets.groupBy(*keys, "__bucket", "__o", "__n").agg(F.collect_list("t").alias("__want"))
-    inside = W.partitionBy(*keys, "__bucket").orderBy(value)
-    hit = (
-        b.join(wanted, keys + ["__bucket"])
-        .withColumn(
-            "__lo",
-            F.col("__o")
-            + F.coalesce(F.sum("__c").over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)),
-        )
-        .select(
-            *keys,
-            "__n",
-            F.col(value).cast("double").alias("__v"),
-            F.explode(
-                F.filter(
-                    "__want",
-                    lambda t: (t["pos"] >= F.col("__lo")) & (t["pos"] < F.col("__lo") + F.col("__c")),
-                )
-            ).alias("t"),
-        )
+    src = src.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__x"))
+    counts = cut_lineage(_bracketed(src, keys, probs), "counts")
+    placed = running_before(counts, ["__v", "__out"], {"__lo": F.col("__c")}, keys, buckets)
+    n = F.col("__lo_total")
+    wanted = F.array(
+        *[
+            F.struct(F.lit(i).alias("p"), F.lit(s).alias("side"), f((n - 1) * F.lit(float(p))).cast("long").alias("pos"))
+            for i, p in enumerate(probs)
+            for s, f in ((0, F.floor), (1, F.ceil))
+        ]
     )
+    here = F.filter(wanted, lambda t: (t["pos"] >= F.col("__lo")) & (t["pos"] < F.col("__lo") + F.col("__c")))
+    hit = placed.select(*keys, n.alias("__n"), F.col("__v").cast("double").alias("__v"), F.explode(here).alias("t"))
     out = []
     for i, p in enumerate(probs):
         lo = F.max(F.when((F.col("t.p") == i) & (F.col("t.side") == 0), F.col("__v")))

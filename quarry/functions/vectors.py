@@ -26,11 +26,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def row_zscore(a: Column) -> Column:
-    """Each row scaled by its own mean and sample deviation (ddof 1)."""
-    dev = let(total(a) / F.size(a), lambda m: F.transform(a, lambda x: x - m))
+    """Each row scaled by its own mean and sample deviation (ddof 1); zeros for a row without spread."""
+    dev = let(F.try_divide(total(a), F.size(a)), lambda m: F.transform(a, lambda x: x - m))
     return let(
         dev,
-        lambda v: let(F.sqrt(dot(v, v) / (F.size(v) - 1)), lambda sd: F.transform(v, lambda x: x / sd)),
+        lambda v: let(
+            F.sqrt(F.try_divide(dot(v, v), F.size(v) - 1)),
+            lambda sd: F.transform(v, lambda x: F.coalesce(F.try_divide(x, sd), F.lit(0.0))),
+        ),
     )
 
 

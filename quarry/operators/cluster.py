@@ -70,7 +70,8 @@ def cluster_validity(
 
     Pair counts come from the contingency table: pairs together in both are the
     sum of n_ij choose 2, and the margins give the rest. ``entropy_ref`` keeps the
-    reference form (weighted 1 - sum p log2 p, over N K); ``entropy`` is the usual one.
+    reference form (weighted 1 - sum p log2 p, over N K); ``entropy`` is the usual one. Without a pair of rows,
+    Rand and Jaccard are 1.
     """
     by = list(by)
     c = df.groupBy(*by, F.col(cluster).alias("i"), F.col(label).alias("j")).agg(F.count("*").cast("double").alias("n"))
@@ -120,9 +121,9 @@ def cluster_validity(
         (F.col("ent") / (n * F.col("k"))).alias("entropy_ref"),
         (F.col("ent_std") / n).alias("entropy"),
         (F.col("top") / F.col("k")).alias("purity"),
-        ((F.col("f11") + f00) / all_pairs).alias("rand"),
-        (F.col("f11") / (F.col("same_cluster") + F.col("same_class") - F.col("f11"))).alias("jaccard"),
-        F.when((F.col("k") == 1) & (F.col("classes") == 1), F.lit(1.0)).when(norm <= 0, F.lit(0.0)).otherwise(mi / norm).alias("nmi"),
+        F.coalesce(F.try_divide(F.col("f11") + f00, all_pairs), F.lit(1.0)).alias("rand"),
+        F.coalesce(F.try_divide("f11", F.col("same_cluster") + F.col("same_class") - F.col("f11")), F.lit(1.0)).alias("jaccard"),
+        F.when((F.col("k") == 1) & (F.col("classes") == 1), F.lit(1.0)).when(norm <= 0, F.lit(0.0)).otherwise(F.try_divide(mi, norm)).alias("nmi"),
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quarry.functions.vectors import sum_by_slot
 from quarry.operators.pairs import kernel_sums, nearest_neighbours
 from quarry.operators.topk import best_row
+from quarry.session import cut_lineage
 
 
 def kernel_density(
@@ -85,16 +86,21 @@ def density_at_points(df: DataFrame, col: str, id_col: str) -> DataFrame:
 
 
 def neighbour_density(nn: DataFrame, k: int) -> DataFrame:
-    """1 / mean distance to the k neighbours, from a neighbour table."""
-    d = nn.filter(F.col("rank") <= k).groupBy("query_id").agg(F.sum("distance").alias("s"))
+    """1 / mean distance to the k neighbours, or to all where there are fewer."""
+    d = nn.filter(F.col("rank") <= k).groupBy("query_id").agg(F.sum("distance").alias("s"), F.count("*").alias("n"))
     return d.select(
         F.col("query_id").alias("id"),
-        F.when(F.col("s") > 0, F.lit(float(k)) / F.col("s")).otherwise(F.lit(math.inf)).alias("density"),
+        F.when(F.col("s") > 0, F.col("n") / F.col("s")).otherwise(F.lit(math.inf)).alias("density"),
     )
 
 
 def relative_density(nn: DataFrame, k: int, divisor: int | None = None, reference: DataFrame | None = None) -> DataFrame:
-    """Density over the mean density of neighbours 2..k; the sum is divided by ``divisor`` (default k)."""
+    """Density over the mean density of neighbours 2..k; the sum is divided by ``divisor`` (default k).
+
+    Null where no such neighbour exists, as for k = 1. The neighbour table is read several
+    times: a lazy one is written first.
+    """
+    nn = cut_lineage(nn, "neighbours")
     own = neighbour_density(nn, k)
     ref = own if reference is None else reference
     around = (
@@ -104,8 +110,9 @@ def relative_density(nn: DataFrame, k: int, divisor: int | None = None, referenc
         .groupBy("query_id")
         .agg(F.sum("density").alias("around"))
     )
-    return own.join(around.withColumnRenamed("query_id", "id"), "id").select(
-        "id", "density", (F.col("density") / (F.col("around") / F.lit(float(divisor or k)))).alias("relative_density")
+    ratio = F.try_divide("density", F.col("around") / F.lit(float(divisor or k)))
+    return own.join(around.withColumnRenamed("query_id", "id"), "id", "left").select(
+        "id", "density", ratio.alias("relative_density")
     )
 
 

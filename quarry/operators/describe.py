@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quarry.functions.ranking import exact_quantiles
-from quarry.operators.encode import levels
+from quarry.functions.ranking import exact_quantiles, running_before
+from quarry.session import cut_lineage
 
 
 def melt(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -52,8 +52,10 @@ def bin_of(x: Column, lo: float, hi: float, bins: int) -> Column:
 
 
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
-    """Counts per equal-width bin between the column's min and max, empty bins as 0."""
+    """Counts per equal-width bin between the column's min and max, empty bins as 0; no bins without a value."""
     lo, hi = df.agg(F.min(F.col(col).cast("double")), F.max(F.col(col).cast("double"))).first()
+    if lo is None:
+        return df.sparkSession.createDataFrame([], "bin int, left_edge double, cnt long")
     counts = df.filter(F.col(col).isNotNull()).groupBy(bin_of(F.col(col), lo, hi, bins).alias("bin")).count()
     if hi == lo:
         lo, hi = lo - 0.5, hi + 0.5
@@ -70,7 +72,7 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
 
 
 def density_histogram(df: DataFrame, col: str, edges: Sequence[float]) -> DataFrame:
-    """Share per bin width over given edges; the last bin is closed, outside values ignored."""
+    """Share per bin width over given edges; the last bin is closed, outside values ignored; 0 without any."""
     e = [float(x) for x in edges]
     x = F.col(col)
     arr = F.array(*map(F.lit, e[1:-1]))
@@ -85,7 +87,10 @@ def density_histogram(df: DataFrame, col: str, edges: Sequence[float]) -> DataFr
     # one row per given edge: a window over the bins is bounded by the edge list
     return out.withColumn(
         "density",
-        F.col("cnt") / (F.sum("cnt").over(W.partitionBy(F.lit(0))) * (F.col("right_edge") - F.col("left_edge"))),
+        F.coalesce(
+            F.try_divide("cnt", F.sum("cnt").over(W.partitionBy(F.lit(0))) * (F.col("right_edge") - F.col("left_edge"))),
+            F.lit(0.0),
+        ),
     )
 
 
@@ -98,39 +103,46 @@ def histogram2d(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
 
 
 def boxplot(df: DataFrame, cols: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
-    """Quartiles, whiskers at 1.5 IQR and number of fliers, per column (and class)."""
+    """Quartiles, whiskers at 1.5 IQR and number of fliers, per column (and class).
+
+    A null class is a class; null values are left out.
+    """
     groups = list(groups)
-    long = melt(df, cols, groups)
+    long = melt(df, cols, groups).filter("value is not null")
     keys = groups + ["attribute"]
     q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], keys).select(
         *keys, *[F.col("q")[i].alias(n) for i, n in enumerate(("q1", "med", "q3"))]
     )
     iqr = F.col("q3") - F.col("q1")
     inside = (F.col("value") >= F.col("q1") - 1.5 * iqr) & (F.col("value") <= F.col("q3") + 1.5 * iqr)
-    # counts per value first: the join then meets each distinct value once
-    vals = long.groupBy(*keys, "value").agg(F.count("*").alias("c"))
+    # written, so that its size is known: one row per class and attribute
+    q = cut_lineage(q.withColumnsRenamed({k: f"__{k}" for k in keys}), "quartiles")
     return (
-        vals.join(q, keys)
+        long.join(q, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
         .groupBy(*keys, "q1", "med", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-            F.sum(F.when(inside, F.lit(0)).otherwise(F.col("c"))).alias("fliers"),
+            F.sum(F.when(inside, 0).otherwise(1)).alias("fliers"),
         )
     )
 
 
 def class_priors(df: DataFrame, label: str, classes: Sequence | None = None) -> DataFrame:
-    """Share of each class; classes absent from the table get 0."""
+    """Share of each class; of given ``classes`` those absent from the table get 0."""
     counts = df.groupBy(label).agg(F.count("*").alias("cnt"))
-    names = list(classes) if classes is not None else levels(df, label)
+    if classes is None:
+        counts = cut_lineage(counts.filter(F.col(label).isNotNull()), "classes")
+        total = counts.agg(F.sum("cnt")).first()[0]
+        return counts.withColumn("prior", F.col("cnt") / F.lit(total))
+    names = list(classes)
     kind = df.schema[label].dataType.simpleString()
     dim = df.sparkSession.createDataFrame([(n,) for n in names], f"{label} {kind}")
     every = W.partitionBy(F.lit(0))
     return (
         dim.join(counts, label, "left")
         .withColumn("cnt", F.coalesce("cnt", F.lit(0)))
-        .withColumn("prior", F.col("cnt") / F.sum("cnt").over(every))
+        .withColumn("prior", F.coalesce(F.try_divide("cnt", F.sum("cnt").over(every)), F.lit(0.0)))
     )
 
 
@@ -156,9 +168,9 @@ def class_moments(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
 
 
 def cumulative(df: DataFrame, order: str, value: str, out: str) -> DataFrame:
-    """Running sum over a small ordered table such as explained-variance shares."""
-    w = W.partitionBy(F.lit(0)).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    return df.withColumn(out, F.sum(value).over(w))
+    """Running sum in the order of a column without ties, over a table of any size."""
+    x = running_before(df, [order], {"__before": F.col(value)})
+    return x.withColumn(out, F.col("__before") + F.col(value)).drop("__before", "__before_total")
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:

@@ -9,8 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.ranking import exact_quantiles
+from quarry.functions.ranking import exact_quantiles, with_row_index
 from quarry.functions.vectors import let, pack, total
+from quarry.session import cut_lineage
 
 MAX_LEVELS = 10_000
 
@@ -30,17 +31,15 @@ def features_label(df: DataFrame, label: str, id_col: str, features: Sequence[st
 
 
 def label_dimension(df: DataFrame, col: str) -> DataFrame:
-    """Small table (class_id, class_name) in sorted order."""
-    names = levels(df, col)
-    kind = df.schema[col].dataType.simpleString()
-    return df.sparkSession.createDataFrame(
-        list(enumerate(names)), f"class_id int, class_name {kind}"
-    )
+    """Table (class_id, class_name) in sorted order, of any number of classes."""
+    names = df.select(F.col(col).alias("class_name")).filter(F.col(col).isNotNull()).distinct()
+    return with_row_index(names, ["class_name"], index="__i").select(F.col("__i").cast("int").alias("class_id"), "class_name")
 
 
 def label_index(df: DataFrame, col: str, out: str = "class_id") -> DataFrame:
+    """The class number next to each row; null for a null class."""
     dim = label_dimension(df, col).select(F.col("class_id").alias(out), F.col("class_name").alias(col))
-    return df.join(F.broadcast(dim), col, "left")
+    return df.join(cut_lineage(dim, "classes"), col, "left")
 
 
 def one_hot(df: DataFrame, cols: str | Sequence[str], values: dict[str, list] | None = None) -> DataFrame:
@@ -99,14 +98,17 @@ def pick_target(df: DataFrame, target: str, drop: Sequence[str] = ()) -> DataFra
 
 @dataclass(frozen=True)
 class Scaler:
-    """Column means and divisors measured on one table, applied to any other."""
+    """Column means and divisors measured on one table, applied to any other.
+
+    A column without spread (constant, or one row) is only centred.
+    """
 
     mean: dict[str, float]
     scale: dict[str, float]
 
     def transform(self, df: DataFrame) -> DataFrame:
         return df.withColumns(
-            {c: (F.col(c) - F.lit(m)) / F.lit(self.scale[c]) for c, m in self.mean.items()}
+            {c: (F.col(c) - F.lit(m)) / F.lit(self.scale[c] or 1.0) for c, m in self.mean.items()}
         )
 
 

@@ -28,7 +28,7 @@ def weighted_error(df: DataFrame, label: str, pred: str, priors: DataFrame, by:
     j = per.join(priors.select(label, "prior"), label, "left")
     g = j.groupBy(*by) if by else j
     return g.agg(
-        (F.sum(F.col("wrong") * F.coalesce("prior", F.lit(0.0))) / F.sum("cnt")).alias("weighted_error")
+        F.try_divide(F.sum(F.col("wrong") * F.coalesce("prior", F.lit(0.0))), F.sum("cnt")).alias("weighted_error")
     )
 
 
@@ -90,20 +90,26 @@ def _score_groups(df: DataFrame, score: str, label: str) -> DataFrame:
 
 
 def roc_points(df: DataFrame, score: str, label: str) -> DataFrame:
-    """(score, fpr, tpr) per distinct score, the score itself included; ties form one point."""
+    """(score, fpr, tpr) per distinct score, the score itself included; ties form one point.
+
+    A rate of an absent class is null.
+    """
     g = _score_groups(df, score, label)
     return g.select(
         "score",
-        ((F.col("fp") + F.col("neg")) / F.col("fp_total")).alias("fpr"),
-        ((F.col("tp") + F.col("pos")) / F.col("tp_total")).alias("tpr"),
+        F.try_divide(F.col("fp") + F.col("neg"), F.col("fp_total")).alias("fpr"),
+        F.try_divide(F.col("tp") + F.col("pos"), F.col("tp_total")).alias("tpr"),
     )
 
 
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Area under the ROC curve by trapezoids, each closed inside its own score group."""
+    """Area under the ROC curve by trapezoids, each closed inside its own score group.
+
+    Null if one class is absent.
+    """
     g = _score_groups(df, score, label)
     area = F.col("neg") * (F.col("tp") + F.col("pos") / 2)
-    return g.agg((F.sum(area) / (F.max("tp_total") * F.max("fp_total"))).alias("auc"))
+    return g.agg(F.try_divide(F.sum(area), F.max("tp_total") * F.max("fp_total")).alias("auc"))
 
 
 def regression_scores(metrics: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -187,9 +193,26 @@ def sweep(
     )
 
 
-def fold_report(df: DataFrame, label: str, pred: str, by: Sequence[str]) -> DataFrame:
-    """Per fold: confusion counts with both error measures, ready for a report sink."""
+def fold_report(df: DataFrame, label: str, pred: str, by: Sequence[str], priors: DataFrame | None = None) -> DataFrame:
+    """Per fold: confusion counts with both error measures, ready for a report sink.
+
+    ``error`` is the share of misses; with ``priors`` (label, prior) also ``weighted_error``
+    as in :func:`weighted_error`, and each row carries the fold's ``precision`` of its
+    predicted class and ``recall`` of its label.
+    """
     cm = df.groupBy(*by, F.col(label).alias("label"), F.col(pred).alias("predicted")).agg(F.count("*").alias("cnt"))
     w = W.partitionBy(*by)
     wrong = F.when(F.col("label") != F.col("predicted"), F.col("cnt")).otherwise(0)
-    return cm.withColumn("error", F.sum(wrong).over(w) / F.sum("cnt").over(w))
+    out = cm.withColumn("error", F.sum(wrong).over(w) / F.sum("cnt").over(w))
+    if priors is None:
+        return out
+    hit = F.when(F.col("label") == F.col("predicted"), F.col("cnt")).otherwise(0)
+    prior = priors.select(F.col(priors.columns[0]).alias("label"), "prior")
+    out = out.join(prior, "label", "left").withColumns(
+        {
+            "weighted_error": F.sum(wrong * F.coalesce("prior", F.lit(0.0))).over(w) / F.sum("cnt").over(w),
+            "recall": F.sum(hit).over(W.partitionBy(*by, "label")) / F.sum("cnt").over(W.partitionBy(*by, "label")),
+            "precision": F.sum(hit).over(W.partitionBy(*by, "predicted")) / F.sum("cnt").over(W.partitionBy(*by, "predicted")),
+        }
+    )
+    return out.select(*cm.columns, "error", "weighted_error", "precision", "recall")

@@ -132,13 +132,13 @@ def bootstrap(df: DataFrame, n: int, id_col: str, seed: int = 0, weight: str | N
     draws = spark.range(n).select(
         uniform("id", seed).alias("pos"), F.lit(1).alias("kind"), F.lit(None).cast(df.schema[id_col].dataType).alias(id_col)
     )
-    line = bucketed(starts.unionByName(draws), "pos")
+    line = bucketed(starts.unionByName(draws), ["pos", "kind", id_col])
     per = line.groupBy("__bucket").agg(F.max_by(id_col, F.when(F.col("kind") == 0, F.col("pos"))).alias("__last"))
-    # at most MAX_BUCKETS rows
+    # one row per range
     before = W.partitionBy(F.lit(0)).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
     carry = per.select("__bucket", F.last("__last", ignorenulls=True).over(before).alias("__carry"))
     inside = W.partitionBy("__bucket").orderBy("pos", "kind").rowsBetween(W.unboundedPreceding, 0)
     owner = F.coalesce(F.last(id_col, ignorenulls=True).over(inside), F.col("__carry"))
-    hit = line.join(F.broadcast(carry), "__bucket").withColumn("__owner", owner).filter("kind = 1")
+    hit = line.join(carry, "__bucket").withColumn("__owner", owner).filter("kind = 1")
     copies = hit.groupBy(F.col("__owner").alias(id_col)).agg(F.count("*").alias("copies"))
     return df.join(copies, id_col)
