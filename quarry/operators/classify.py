@@ -149,11 +149,11 @@ def bayes_sweep(
     label: str = "label",
     vec_col: str = "features",
     fold: str = "fold",
-    given_priors: bool = False,
+    priors: Sequence[float] | None = None,
 ) -> DataFrame:
     """(alpha, fold, split, error, n) for all folds and smoothings: one scan to fit, one to score.
 
-    ``given_priors`` fixes the class priors to those of the training part.
+    ``priors``, in label order, replace the shares of the training part.
     """
     per = class_sums(df, label, vec_col, fold)
     labels = next(iter(per.values())).labels
@@ -163,7 +163,7 @@ def bayes_sweep(
     for k in folds:
         tr = every - per[k]
         for a in alphas:
-            models.append(bayes_from(tr, a, tr.count / tr.count.sum() if given_priors else None))
+            models.append(bayes_from(tr, a, priors))
     slim = df.select(F.col(label).cast("double").alias("y"), F.col(fold).cast("int").alias("k"), F.col(vec_col).cast("array<double>").alias("x"))
 
     def kernel(batches):

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -46,22 +47,30 @@ class Mixture:
         spread = m if self.diagonal else m * (m + 1) // 2
         return self.k * spread + self.k * m + self.k - 1
 
+    @cached_property
+    def prepared(self) -> tuple[np.ndarray, list]:
+        """Log weights and, per full covariance, the inverse of its root and its log determinant."""
+        with np.errstate(divide="ignore"):
+            lw = np.log(self.weights)
+        if self.diagonal:
+            return lw, []
+        lows = [np.linalg.cholesky(c) for c in self.covs]
+        return lw, [(np.linalg.inv(low), 2 * np.log(np.diag(low)).sum()) for low in lows]
+
     def joint(self, x: np.ndarray) -> np.ndarray:
         """log(weight) + log density, per row and component."""
         m = x.shape[1]
         out = np.empty((len(x), self.k))
-        with np.errstate(divide="ignore"):
-            lw = np.log(self.weights)
+        lw, factors = self.prepared
         for j in range(self.k):
             d = x - self.means[j]
             if self.diagonal:
                 quad = (d * d / self.covs[j]).sum(1)
                 logdet = np.log(self.covs[j]).sum()
             else:
-                low = np.linalg.cholesky(self.covs[j])
-                z = np.linalg.solve(low, d.T)
-                quad = (z * z).sum(0)
-                logdet = 2 * np.log(np.diag(low)).sum()
+                inverse, logdet = factors[j]
+                z = d @ inverse.T
+                quad = (z * z).sum(1)
             out[:, j] = lw[j] - 0.5 * (m * np.log(2 * np.pi) + logdet + quad)
         return out
 

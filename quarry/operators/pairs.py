@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarry.functions.vectors import batches_to_matrices, from_matrix, to_matrix
-from quarry.session import broadcast_limit, spread_small
+from quarry.session import broadcast_limit, cut_lineage, spread_small
 
 BLOCK_ROWS = 4_096
 MAX_PIVOTS = 2_048
@@ -126,6 +127,11 @@ class Cells:
     radius: np.ndarray
     kth: np.ndarray
 
+    @cached_property
+    def gaps(self) -> np.ndarray:
+        """Distances between pivots."""
+        return self.distances(self.pivots)
+
     def distances(self, q: np.ndarray) -> np.ndarray:
         c = self.pivots.mean(0)
         return np.sqrt(squared_distances(q - c, self.pivots - c))
@@ -145,7 +151,7 @@ class Cells:
         """Boolean (row, cell): the cell may hold a row closer than ``within``."""
         lower = dq - self.radius[None, :]
         own = dq.argmin(1)
-        gap = self.distances(self.pivots)[own]
+        gap = self.gaps[own]
         spread = dq.max(1)
         with np.errstate(divide="ignore", invalid="ignore"):
             plane = (dq**2 - dq.min(1)[:, None] ** 2) / (2 * gap)
@@ -171,7 +177,7 @@ def build_cells(x: DataFrame, n: int, m: int, k: int) -> tuple[DataFrame, Cells]
                 names=["id", "v", "cell", "pd"],
             )
 
-    placed = x.mapInArrow(assign, "id long, v array<double>, cell int, pd double")
+    placed = cut_lineage(x.mapInArrow(assign, "id long, v array<double>, cell int, pd double"), "cells")
     # one ranked pass; the row_number limit is pushed below the shuffle by Spark
     near = W.partitionBy("cell").orderBy("pd", "id")
     kth = (
@@ -206,9 +212,15 @@ def visit_blocks(
     spark = placed.sparkSession
     shared = spark.sparkContext.broadcast((cells.pivots, cells.count, cells.radius, cells.kth))
 
+    def chunks(batches):
+        step = max(1, CHUNK // max(1, len(shared.value[0])))
+        for b in batches:
+            for a in range(0, b.num_rows, step):
+                yield from batches_to_matrices([b.slice(a, step)], "v")
+
     def targets(batches):
         c = Cells(*shared.value)
-        for b, v in batches_to_matrices(batches, "v"):
+        for b, v in chunks(batches):
             dq = c.distances(v)
             far = within(dq, b.column(extra).to_numpy(zero_copy_only=False) if extra else None)
             hit = c.reachable(dq, far)
@@ -219,7 +231,7 @@ def visit_blocks(
             yield pa.RecordBatch.from_arrays(cols, names=["id", "v", "cells"] + ([extra] if extra else []))
 
     schema = "id long, v array<double>, cells array<int>" + (f", {extra} double" if extra else "")
-    visits = queries.mapInArrow(targets, schema)
+    visits = cut_lineage(queries.mapInArrow(targets, schema), "visits")
     load = {r["cell"]: r["n"] for r in visits.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).collect()}
     split = spark.createDataFrame(
         [
@@ -279,12 +291,17 @@ def nearest_neighbours(
         shared = spark.sparkContext.broadcast(fetch(x))
 
         def scan(batches):
+            # a query meets all rows here, so its neighbours come complete and in order
             xid, xv = shared.value
             for b, v in batches_to_matrices(batches, "v"):
                 qid = b.column("id").to_numpy()
-                yield pa.RecordBatch.from_arrays(emit(qid, xid, block_nearest(qid, v, xid, xv, k, skip)), names=names)
+                r, c, dist = block_nearest(qid, v, xid, xv, k, skip)
+                rank = np.arange(len(r)) - np.searchsorted(r, r, "left") + 1
+                arrays = [pa.array(qid[r]), pa.array(rank.astype(np.int32)), pa.array(xid[c]), pa.array(dist)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["query_id", "rank", "neighbor_id", "distance"])
 
-        found = (spread_small(q, n, m, n * m) if queries is data else q).mapInArrow(scan, NEIGHBOURS)
+        x_or_q = spread_small(q, n, m, n * m) if queries is data else q
+        return x_or_q.mapInArrow(scan, "query_id long, rank int, neighbor_id long, distance double")
     else:
         look = k + 1 if skip else k
         placed, cells = build_cells(x, n, m, look)

@@ -6,15 +6,19 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.vectors import dot, let
 from quarry.operators.describe import cumulative
 from quarry.operators.gram import gram, pooled
 from quarry.operators.neighbours import classify_sweep
 
 
+def _array(values) -> Column:
+    return F.array(*[F.lit(float(v)) for v in values])
+
+
 @dataclass(frozen=True)
 class Components:
     """Column mean, loadings (one column per component) and variances, largest first."""
@@ -35,22 +39,20 @@ class Components:
 
     def project(self, df: DataFrame, k: int, vec_col: str = "features", out: str = "scores") -> DataFrame:
         """Centre by the fitted mean, then the first k coordinates; for training or new rows."""
-        mean, v = self.mean, self.loadings[:, :k]
+        return df.withColumn(out, let(self._centred(vec_col), lambda x: self._scores(x, k)))
 
-        @F.pandas_udf("array<double>")
-        def to_scores(x: pd.Series) -> pd.Series:
-            return pd.Series(list((np.stack(x.to_numpy()) - mean) @ v)) if len(x) else x
+    def _centred(self, vec_col: str) -> Column:
+        return F.zip_with(F.col(vec_col).cast("array<double>"), _array(self.mean), lambda x, m: x - m)
 
-        return df.withColumn(out, to_scores(vec_col))
+    def _scores(self, centred: Column, k: int) -> Column:
+        return F.array(*[dot(centred, _array(self.loadings[:, j])) for j in range(k)])
 
     def reconstruct(self, df: DataFrame, k: int, vec_col: str = "features", out: str = "rebuilt") -> DataFrame:
-        mean, v = self.mean, self.loadings[:, :k]
-
-        @F.pandas_udf("array<double>")
-        def rebuild(x: pd.Series) -> pd.Series:
-            return pd.Series(list((np.stack(x.to_numpy()) - mean) @ v @ v.T + mean)) if len(x) else x
+        def rebuilt(s: Column) -> Column:
+            return F.array(*[dot(s, _array(self.loadings[i, :k])) + F.lit(float(m)) for i, m in enumerate(self.mean)])
 
-        return df.withColumn(out, rebuild(vec_col))
+        scores = let(self._centred(vec_col), lambda x: self._scores(x, k))
+        return df.withColumn(out, let(scores, rebuilt))
 
 
 def fit_components(df: DataFrame, cols: Sequence[str] = (), vec_col: str | None = None) -> Components:

@@ -97,16 +97,17 @@ def l10(spark, d):
 @query("l11_multinomial_logistic")
 def l11(spark, d):
     x = _emb(spark, d)
-    p = classify.logistic(x, "label", multinomial=True, max_iter=30).transform(x)
+    p = classify.logistic(x, "label", multinomial=True).transform(x)
     return evaluate.error_rate(p, "label", "prediction", ["label"])
 
 
+_ALPHAS = [0.0, 0.1, 0.25, 0.5, 1.0, 2.0]
 _NB = """WITH c AS (SELECT l_partkey, count(*) FILTER (l_returnflag = 'A') AS x0, count(*) FILTER (l_returnflag = 'N') AS x1, count(*) FILTER (l_returnflag = 'R') AS x2,
       count(*) FILTER (l_linestatus = 'F') AS x3, count(*) FILTER (l_linestatus = 'O') AS x4 FROM lineitem GROUP BY 1),
     p AS (SELECT p_partkey, CASE WHEN p_size > 25 THEN 1 ELSE 0 END AS label, x0, x1, x2, x3, x4,
       CAST(floor(CAST('0x' || substr(md5(CAST(p_partkey AS VARCHAR) || ':9'), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE * 4) AS INT) AS fold FROM part JOIN c ON l_partkey = p_partkey),
     s AS (SELECT k, a, label AS cls, count(*) AS n, sum(x0) + a AS s0, sum(x1) + a AS s1, sum(x2) + a AS s2, sum(x3) + a AS s3, sum(x4) + a AS s4
-      FROM p JOIN range(4) r(k) ON fold <> k CROSS JOIN (VALUES (0.0::DOUBLE), (0.5), (1.0)) v(a) GROUP BY 1, 2, 3),
+      FROM p JOIN range(4) r(k) ON fold <> k CROSS JOIN (VALUES (0.0::DOUBLE), (0.1), (0.25), (0.5), (1.0), (2.0)) v(a) GROUP BY 1, 2, 3),
     l AS (SELECT k, a, cls, {prior} AS lp, ln(s0 / (s0 + s1 + s2 + s3 + s4)) AS w0, ln(s1 / (s0 + s1 + s2 + s3 + s4)) AS w1, ln(s2 / (s0 + s1 + s2 + s3 + s4)) AS w2,
       ln(s3 / (s0 + s1 + s2 + s3 + s4)) AS w3, ln(s4 / (s0 + s1 + s2 + s3 + s4)) AS w4 FROM s),
     e AS (SELECT k, a, fold, label, arg_max(cls, round(lp + x0 * w0 + x1 * w1 + x2 * w2 + x3 * w3 + x4 * w4, 9)) AS pred FROM p CROSS JOIN l GROUP BY p_partkey, k, a, fold, label)
@@ -117,13 +118,14 @@ _NB = """WITH c AS (SELECT l_partkey, count(*) FILTER (l_returnflag = 'A') AS x0
 @query("l14_naive_bayes_sweep", _NB.format(prior="ln(n / sum(n) OVER (PARTITION BY k, a))"))
 def l14(spark, d):
     x = folds.kfold_shuffled(_flag_counts(spark, d), 4, "p_partkey", 9)
-    return rounded(classify.bayes_sweep(x, [0.0, 0.5, 1.0]))
+    return rounded(classify.bayes_sweep(x, _ALPHAS))
 
 
-@query("l15_naive_bayes_given_priors", _NB.format(prior="ln(n / sum(n) OVER (PARTITION BY k, a))"))
+@query("l15_naive_bayes_given_priors", _NB.format(prior="ln(CASE WHEN cls = 0 THEN 0.3::DOUBLE ELSE 0.7::DOUBLE END)"))
 def l15(spark, d):
+    """Priors that differ from the shares of the classes."""
     x = folds.kfold_shuffled(_flag_counts(spark, d), 4, "p_partkey", 9)
-    return rounded(classify.bayes_sweep(x, [0.0, 0.5, 1.0], given_priors=True))
+    return rounded(classify.bayes_sweep(x, _ALPHAS, priors=[0.3, 0.7]))
 
 
 @query("l16_network_classifier")
@@ -236,7 +238,7 @@ def c2(spark, d):
 
 @query("c4_validity_sweep")
 def c4(spark, d):
-    return cluster.validity_sweep(_emb(spark, d), range(1, 6), "label")
+    return cluster.validity_sweep(_emb(spark, d), range(1, 11), "label")
 
 
 @query(
@@ -282,12 +284,12 @@ def _plane(spark, d):
 
 @query("c8_mixture")
 def c8(spark, d):
-    return mixture.fit_mixtures(_plane(spark, d), [3], "c_custkey", restarts=2, max_iter=30)[(3, -1)].table(spark)
+    return mixture.fit_mixtures(_plane(spark, d), [3], "c_custkey", restarts=3, max_iter=500)[(3, -1)].table(spark)
 
 
 @query("c8_mixture_diagonal")
 def c8d(spark, d):
-    return mixture.fit_mixtures(_plane(spark, d), [3], "c_custkey", diagonal=True, restarts=2, max_iter=30)[(3, -1)].table(spark)
+    return mixture.fit_mixtures(_plane(spark, d), [3], "c_custkey", diagonal=True, restarts=3, max_iter=500)[(3, -1)].table(spark)
 
 
 @query(
@@ -308,13 +310,13 @@ def c9(spark, d):
 @query("c10_component_selection")
 def c10(spark, d):
     x = folds.kfold_shuffled(_plane(spark, d), 5, "c_custkey", 3)
-    return mixture.select_components(x, range(1, 6), 5, "c_custkey", max_iter=15)
+    return mixture.select_components(x, range(1, 11), 5, "c_custkey", max_iter=500)
 
 
 @query("c11_out_of_fold_clusters")
 def c11(spark, d):
     x = folds.kfold_shuffled(_plane(spark, d), 5, "c_custkey", 3)
-    a = mixture.out_of_fold_clusters(x, 3, 5, "c_custkey", max_iter=15)
+    a = mixture.out_of_fold_clusters(x, 3, 5, "c_custkey", max_iter=500)
     return describe.cluster_class_share(a.join(x.select("c_custkey", "label"), "c_custkey"), "cluster", "label")
 
 

@@ -75,7 +75,7 @@ def _selection(spark, d):
     from quarry.sources.tables import read_matrix
 
     e = read_matrix(spark, f"{d}/embeddings.parquet", "embedding")
-    names = [f"x{i}" for i in range(16)]
+    names = [f"x{i}" for i in range(e.select(F.max(F.size("features"))).first()[0])]
     wide = e.select("vec_id", F.col("label").cast("double").alias("y"), *[F.get("features", F.lit(i)).alias(n) for i, n in enumerate(names)])
     wide = folds.kfold_shuffled(wide, 3, "vec_id", 5, out="outer")
     wide = folds.kfold_shuffled(wide, 10, "vec_id", 6, out="inner")
@@ -103,7 +103,7 @@ def l8(spark, d):
     return rounded(linear.ridge(_priced(spark, d), ["l_quantity"], "price", 1000.0).table(spark), 5)
 
 
-_LAMBDAS = [0.001, 1.0, 1000.0, 100000.0]
+_LAMBDAS = [10.0**p for p in range(-5, 9)]
 _U = "floor(CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || ':4'), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE * 5)"
 
 
@@ -319,7 +319,12 @@ def e11(spark, d):
     "s7_fold_report",
     f"""WITH r AS {_RULE}, c AS (SELECT l_linestatus, label, pred AS predicted, count(*) AS cnt FROM r GROUP BY 1, 2, 3)
     SELECT l_linestatus, label, predicted, cnt, round(sum(CASE WHEN label <> predicted THEN cnt ELSE 0 END) OVER (PARTITION BY l_linestatus)
-      / sum(cnt) OVER (PARTITION BY l_linestatus), 6) AS error FROM c""",
+      / sum(cnt) OVER (PARTITION BY l_linestatus), 6) AS error,
+      round(sum(CASE WHEN label <> predicted THEN cnt * prior ELSE 0 END) OVER (PARTITION BY l_linestatus) / sum(cnt) OVER (PARTITION BY l_linestatus), 6) AS weighted_error,
+      round(sum(CASE WHEN label = predicted THEN cnt ELSE 0 END) OVER (PARTITION BY l_linestatus, predicted) / sum(cnt) OVER (PARTITION BY l_linestatus, predicted), 6) AS precision,
+      round(sum(CASE WHEN label = predicted THEN cnt ELSE 0 END) OVER (PARTITION BY l_linestatus, label) / sum(cnt) OVER (PARTITION BY l_linestatus, label), 6) AS recall
+    FROM c JOIN (SELECT l_returnflag, count(*)::DOUBLE / sum(count(*)) OVER () AS prior FROM lineitem GROUP BY 1) p ON l_returnflag = label""",
 )
 def s7(spark, d):
-    return rounded(evaluate.fold_report(_rule(spark, d), "label", "pred", ["l_linestatus"]))
+    x = _rule(spark, d)
+    return rounded(evaluate.fold_report(x, "label", "pred", ["l_linestatus"], class_priors(x, "label")))

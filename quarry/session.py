@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,20 +22,37 @@ def broadcast_limit(spark: SparkSession) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests on one machine) a temporary folder
-    is made.
+    Where none is named, a local session gets a temporary folder that goes when Python
+    ends; a cluster must name one, as its machines do not see each other's folders.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     folder = folder or sc.getCheckpointDir()
     if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("name a folder that all machines share in spark.checkpoint.dir")
         folder = tempfile.mkdtemp(prefix="quarry-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         sc.setCheckpointDir(folder)
     return folder
 
 
 def shared_path(spark: SparkSession, stem: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{stem}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{stem}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+_MADE: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Delete all working tables of this process; results not yet saved must not be read after."""
+    gone = 0
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
 
 
 def cut_lineage(df: DataFrame, stem: str = "step") -> DataFrame:

@@ -189,3 +189,72 @@ def test_readers(spark, tmp_path):
     assert tables.read_numbers(spark, str(tmp_path / "n.txt"), ["e", "w"]).agg(F.sum("w")).first()[0] == 133
     tables.write_metrics(df, str(tmp_path / "m"), "json")
     assert spark.read.json(str(tmp_path / "m")).count() == 2
+
+
+def test_working_tables_are_released(spark):
+    import os
+
+    from quarry.session import cut_lineage, release, shared_dir
+
+    release(spark)
+    root = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    assert cut_lineage(spark.range(5)).count() == 5
+    assert set(os.listdir(root)) - before
+    assert release(spark) == 1 and set(os.listdir(root)) == before
+
+
+def test_any_id_type_and_many_ranges(spark, monkeypatch):
+    from quarry.functions import ranking
+    from quarry.operators import folds
+
+    monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", 1)
+    df = spark.range(1500).select(F.format_string("id-%05d", "id").alias("name"))
+    got = [r["fold"] for r in folds.kfold(df, 3, "name").orderBy("name").collect()]
+    assert got == [i // 500 for i in range(1500)]
+    tied = spark.range(40).select(F.lit(0.0).alias("h"), "id")
+    assert sorted(r["i"] for r in ranking.with_row_index(tied, ["h", "id"], index="i").collect()) == list(range(40))
+    assert ranking.bucketed(tied, ["h", "id"]).select("__bucket").distinct().count() > 10
+
+
+def test_brackets_give_exact_quantiles(spark, monkeypatch):
+    import numpy as np
+
+    from quarry.functions import ranking
+
+    monkeypatch.setattr(ranking, "SKETCH", 200)
+    monkeypatch.setattr(ranking, "MARGIN", 0.02)
+    rng = np.random.default_rng(1)
+    v = np.concatenate([rng.normal(size=3000), np.zeros(1500), rng.exponential(size=2000)])
+    g = [None if i % 3 == 0 else "hot" for i in range(len(v))]
+    df = spark.createDataFrame([(a, float(b)) for a, b in zip(g, v)], "g string, v double")
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    for r in ranking.exact_quantiles(df, "v", probs, ["g"]).collect():
+        own = [b for a, b in zip(g, v) if a == r["g"]]
+        assert r["n"] == len(own) and np.allclose(r["q"], np.quantile(own, probs))
+
+
+def test_degenerate_tables_have_defined_results(spark):
+    from quarry.functions.vectors import row_zscore
+    from quarry.operators import cluster, density, describe, encode, evaluate
+
+    one = spark.createDataFrame([(1, 2.0, "a")], "id long, x double, g string")
+    flat = spark.createDataFrame([(1, 2.0, None), (2, 2.0, "a")], "id long, x double, g string")
+    none = one.filter("false")
+    assert [r["x"] for r in encode.standardize(flat, ["x"]).collect()] == [0.0, 0.0]
+    assert encode.standardize(one, ["x"]).first()["x"] == 0.0
+    assert one.select(row_zscore(F.array("x", "x")).alias("z")).first()["z"] == [0.0, 0.0]
+    scores = spark.createDataFrame([(0.1, 1), (0.7, 1)], "s double, y int")
+    assert evaluate.auc(scores, "s", "y").first()["auc"] is None
+    assert evaluate.roc_points(scores, "s", "y").count() == 2
+    assert describe.histogram(none, "x", 3).count() == 0
+    assert {r["density"] for r in describe.density_histogram(one, "x", [5.0, 6.0, 7.0]).collect()} == {0.0}
+    assert describe.class_priors(none, "g").count() == 0
+    assert describe.class_priors(none, "g", ["a"]).first()["prior"] == 0.0
+    assert {r["g"] for r in describe.boxplot(flat, ["x"], ["g"]).collect()} == {None, "a"}
+    valid = cluster.cluster_validity(one, "id", "g").first()
+    assert (valid["rand"], valid["jaccard"], valid["purity"]) == (1.0, 1.0, 1.0)
+    pts = spark.createDataFrame([(1, [0.0]), (2, [1.0]), (3, [3.0])], "id long, features array<double>")
+    nn = density.self_neighbours(pts, 5)
+    assert {r["id"]: r["density"] for r in density.neighbour_density(nn, 5).collect()}[1] == 0.75
+    assert density.relative_density(density.self_neighbours(pts, 1), 1).count() == 3
