@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.vectors import sum_by_slot, to_matrix
-from quarry.operators.trees import vectors
+from quarry.operators.trees import bins_for, vectors
 
 
 @dataclass
@@ -57,8 +57,12 @@ def logistic(
     return Fitted(lr.fit(vectors(df, vec_col, label)), vec_col)
 
 
-def forest(df: DataFrame, label: str = "label", vec_col: str = "features", trees: int = 10, depth: int = 10, seed: int = 0) -> Fitted:
-    rf = RandomForestClassifier(featuresCol="__x", labelCol="__y", numTrees=trees, maxDepth=depth, seed=seed, maxBins=64)
+def forest(
+    df: DataFrame, label: str = "label", vec_col: str = "features", trees: int = 10, depth: int = 10, seed: int = 0, max_bins: int = 1_024
+) -> Fitted:
+    """Random forest; splits as exact as those of :func:`quarry.operators.trees.fit_tree`."""
+    bins = bins_for(df, vec_col, max_bins)
+    rf = RandomForestClassifier(featuresCol="__x", labelCol="__y", numTrees=trees, maxDepth=depth, seed=seed, maxBins=bins)
     return Fitted(rf.fit(vectors(df, vec_col, label)), vec_col)
 
 

@@ -138,6 +138,13 @@ class Tree:
         return df.withColumn(out, predict(F.col(vec_col).cast("array<double>")))
 
 
+def bins_for(df: DataFrame, vec_col: str, most: int) -> int:
+    """Bins that hold every value of the widest attribute, up to ``most``; splits are then exact."""
+    long = df.select(F.posexplode(F.col(vec_col).cast("array<double>")).alias("pos", "v"))
+    widest = long.groupBy("pos").agg(F.approx_count_distinct("v", 0.02).alias("n")).agg(F.max("n")).first()[0] or 0
+    return max(2, min(most, int(widest * 1.1) + 2))
+
+
 def clamp_depths(depths: Sequence[int]) -> list[int]:
     kept = sorted({min(int(d), DEEPEST) for d in depths})
     if max(depths) > DEEPEST:
@@ -152,12 +159,14 @@ def fit_tree(
     impurity: str = "gini",
     max_depth: int = 5,
     min_samples_split: int = 2,
-    max_bins: int = 64,
+    max_bins: int = 1_024,
     names: Sequence[str] | None = None,
     seed: int = 0,
 ) -> Tree:
+    """One tree. Splits are exact for attributes of up to about ``max_bins`` values, else by quantiles."""
     spark = df.sparkSession
     x = vectors(df, vec_col, label)
+    max_bins = bins_for(df, vec_col, max_bins)
     model = DecisionTreeClassifier(
         featuresCol="__x", labelCol="__y", impurity=impurity, maxDepth=clamp_depths([max_depth])[0], maxBins=max_bins, seed=seed
     ).fit(x)
@@ -182,10 +191,14 @@ def fit_tree(
 
 def depth_sweep(
     df: DataFrame, depths: Sequence[int], folds: int, label: str = "label", vec_col: str = "features", fold: str = "fold",
-    impurity: str = "gini", max_bins: int = 64,
+    impurity: str = "gini", max_bins: int = 1_024,
 ) -> DataFrame:
-    """(depth, fold, split, error, n): one fit per fold at the greatest depth, all depths scored at once."""
-    depths = clamp_depths(depths)
+    """(depth, depth_used, fold, split, error, n): one fit per fold at the greatest depth, all depths scored at once.
+
+    A depth beyond the limit of pyspark.ml keeps its row and is scored at that limit.
+    """
+    asked = sorted({int(d) for d in depths})
+    depths = [min(d, DEEPEST) for d in asked]
     df = cut_lineage(df.select(fold, vec_col, label), "sweep")  # read once per fold, derived once
     out = None
     for k in range(folds):
@@ -193,9 +206,13 @@ def depth_sweep(
         p = tree.at_depths(df, depths, vec_col).select(
             F.col(label).cast("double").alias("y"),
             F.when(F.col(fold) == k, "test").otherwise("train").alias("split"),
-            F.explode(F.arrays_zip(F.array(*map(F.lit, depths)).alias("depth"), F.col("predictions").alias("p"))).alias("z"),
+            F.explode(
+                F.arrays_zip(
+                    F.array(*map(F.lit, asked)).alias("depth"), F.array(*map(F.lit, depths)).alias("depth_used"), F.col("predictions").alias("p")
+                )
+            ).alias("z"),
         )
-        e = p.groupBy(F.col("z.depth").alias("depth"), F.lit(k).alias("fold"), "split").agg(
+        e = p.groupBy(F.col("z.depth").alias("depth"), F.col("z.depth_used").alias("depth_used"), F.lit(k).alias("fold"), "split").agg(
             F.avg((F.col("z.p") != F.col("y")).cast("double")).alias("error"), F.count("*").alias("n")
         )
         out = e if out is None else out.unionByName(e)

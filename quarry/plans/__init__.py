@@ -4,7 +4,7 @@ from quarry.plans.registry import QUERIES, SQL
 
 
 def _load() -> None:
-    from quarry.plans import geometry, language, learning, models, tabular  # noqa: F401
+    from quarry.plans import closed, geometry, language, learning, models, tabular  # noqa: F401
 
 
 def all_queries():

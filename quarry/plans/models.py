@@ -120,7 +120,7 @@ _U = "floor(CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || ':4'), 1, 13)
 )
 def l9(spark, d):
     x = folds.kfold_shuffled(_priced(spark, d), 5, "l_orderkey", 4)
-    return rounded(linear.ridge_path(x, ["l_quantity"], "price", _LAMBDAS).errors, 4)
+    return rounded(linear.ridge_path(x, ["l_quantity"], "price", _LAMBDAS).errors, 4, **{"lambda": 9})
 
 
 @query(
