@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from quarry.functions.vectors import dot
 from quarry.operators.classify import Fitted, logistic
-from quarry.operators.folds import poisson_copies
+from quarry.operators.folds import poisson_copies, poisson_weights
+from quarry.session import cut_lineage
+
+WRITE_EVERY = 5
 
 
 class VotingEnsemble:
@@ -86,46 +89,59 @@ def bagging(
 
 
 def adaboost(
-    df: DataFrame, rounds: int, label: str = "label", vec_col: str = "features", c: float = 1000.0
+    df: DataFrame,
+    rounds: int,
+    label: str = "label",
+    vec_col: str = "features",
+    c: float = 1000.0,
+    redraw: str | None = None,
+    seed: int = 0,
 ) -> Boosted:
-    """Reweighted rounds: alpha = ln((1 - e) / e) / 2, weights times exp(+-alpha), renormalised.
+    """Boosting rounds: alpha = ln((1 - e) / e) / 2, weights times exp(+-alpha), renormalised.
 
-    A row's weight is a function of which members it got wrong, so it is computed
-    from the fitted members in the scan that needs it; no weight column is stored
-    and no lineage grows. Rounds stop when a member errs on nothing or on half.
+    A member is fitted to the weighted rows or, with ``redraw`` (an id column), to a
+    bootstrap sample drawn by weight; a sample of a single class is drawn again, up to ten
+    times, then the weighted rows are used. The weights are carried as a column and written
+    every ``WRITE_EVERY`` rounds, so that neither work per round nor lineage grows. Rounds
+    stop when a member errs on nothing or on half.
     """
-    cached = df.select(vec_col, label).persist(StorageLevel.MEMORY_AND_DISK)
+    ids = [redraw] if redraw and redraw not in (vec_col, label) else []
+    now = cut_lineage(df.select(*ids, vec_col, label).withColumn("__w", F.lit(1.0)), "boost")
     members, alphas, rows = [], [], []
-    try:
-        n = cached.count()
-        norm = 1.0 / n
-        for r in range(rounds):
-            log_w = F.lit(0.0)
-            vec = F.col(vec_col).cast("array<double>")
-            for m, a in zip(members, alphas):
-                yes = (dot(vec, F.array(*[F.lit(float(x)) for x in m.model.coefficients])) + F.lit(float(m.model.intercept))) > 0
-                log_w = log_w + F.when(yes == (F.col(label) > 0.5), F.lit(-a)).otherwise(F.lit(a))
-            weighted = cached.withColumn("__w", F.exp(log_w) * F.lit(norm))
-            total = weighted.agg(F.sum("__w")).first()[0]
-            weighted = weighted.withColumn("__w", F.col("__w") / F.lit(total))
-            # mean weight 1 keeps the penalty on the scale of n rows
-            model = logistic(weighted.withColumn("__w", F.col("__w") * n), label, vec_col, c, weight="__w", n=n)
-            wrong = model.transform(weighted).agg(
-                F.sum(F.when(F.col("prediction") != F.col(label).cast("double"), F.col("__w")).otherwise(0.0))
-            ).first()[0]
-            eps = min(max(float(wrong), 1e-12), 1 - 1e-12)
-            alpha = 0.5 * np.log((1 - eps) / eps)
-            members.append(model)
-            alphas.append(float(alpha))
-            rows.append((r, float(wrong), float(alpha)))
-            norm /= total
-            if wrong <= 1e-12 or wrong >= 0.5 - 1e-12:
+    vec = F.col(vec_col).cast("array<double>")
+    n = now.count()
+    for r in range(rounds):
+        total = now.agg(F.sum("__w")).first()[0]
+        weighted = now.withColumn("__w", F.col("__w") / F.lit(total))
+        # mean weight 1 keeps the penalty on the scale of n rows
+        sample = weighted.withColumn("__w", F.col("__w") * n)
+        for attempt in range(10 if redraw else 0):
+            try:
+                drawn = poisson_weights(weighted, n, redraw, seed * 100_003 + r * 10 + attempt, "__w", "__copies")
+            except ValueError:  # a row holds so much of the weight that drawing adds nothing
                 break
-        # no member better than chance: plain majority
-        scale = sum(alphas)
-        ens = VotingEnsemble(members, [a / scale for a in alphas] if scale > 0 else None)
-        joint = ens.transform(cached).agg(F.avg((F.col("prediction") != F.col(label).cast("double")).cast("double"))).first()[0]
-    finally:
-        cached.unpersist()
+            drawn = drawn.withColumn("__w", F.col("__copies").cast("double")).filter("__w > 0")
+            if drawn.agg(F.count_distinct(label)).first()[0] > 1:
+                sample = drawn
+                break
+        model = logistic(sample, label, vec_col, c, weight="__w", n=n)
+        wrong = model.transform(weighted).agg(
+            F.sum(F.when(F.col("prediction") != F.col(label).cast("double"), F.col("__w")).otherwise(0.0))
+        ).first()[0]
+        eps = min(max(float(wrong), 1e-12), 1 - 1e-12)
+        alpha = float(0.5 * np.log((1 - eps) / eps))
+        members.append(model)
+        alphas.append(float(alpha))
+        rows.append((r, float(wrong), float(alpha)))
+        yes = (dot(vec, F.array(*[F.lit(float(x)) for x in model.model.coefficients])) + F.lit(float(model.model.intercept))) > 0
+        now = weighted.withColumn("__w", F.col("__w") * n * F.exp(F.when(yes == (F.col(label) > 0.5), F.lit(-alpha)).otherwise(F.lit(alpha))))
+        if (r + 1) % WRITE_EVERY == 0:
+            now = cut_lineage(now, "boost")
+        if wrong <= 1e-12 or wrong >= 0.5 - 1e-12:
+            break
+    # no member better than chance: plain majority
+    scale = sum(alphas)
+    ens = VotingEnsemble(members, [a / scale for a in alphas] if scale > 0 else None)
+    joint = ens.transform(now).agg(F.avg((F.col("prediction") != F.col(label).cast("double")).cast("double"))).first()[0]
     rows.append((-1, float(joint), None))
     return Boosted(ens, df.sparkSession.createDataFrame(rows, "round int, error double, alpha double"))

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarry.functions.ranking import bucketed, running_before, with_row_index
+from quarry.functions.vectors import let
 
 HEX_DIGITS = 13  # 52 bits: exact in a double
 
@@ -117,6 +118,39 @@ def poisson_copies(id_col: str, seed: int, rate: float = 1.0) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, cdf)), lambda c: c <= uniform(id_col, seed)))
 
 
+def poisson_weights(df: DataFrame, n: int, id_col: str, seed: int = 0, weight: str | None = None, out: str = "copies") -> DataFrame:
+    """The bootstrap as a column: Poisson(n * w / sum of w) copies per row, no shuffle of rows.
+
+    The total is n on average only. Rates of up to 300 per row; heavier rows want
+    :func:`bootstrap`.
+    """
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    total, most = df.agg(F.sum(w), F.max(w)).first()
+    if not total:
+        return df.withColumn(out, F.lit(0).cast("long"))
+    if n * most / total > 300:
+        raise ValueError("a row is drawn too often; use bootstrap()")
+    top = int(n * most / total + 12 * math.sqrt(n * most / total) + 20)
+    u = uniform(id_col, seed)
+
+    def copies(s):
+        # number of k whose cumulated probability lies at or below u
+        start = F.struct(F.exp(-s["rate"]).alias("term"), F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("n"))
+
+        def step(acc, k):
+            reached = acc["sum"] + acc["term"]
+            return F.struct(
+                (acc["term"] * s["rate"] / k).alias("term"),
+                reached.alias("sum"),
+                (acc["n"] + (reached <= s["u"]).cast("long")).alias("n"),
+            )
+
+        return F.aggregate(F.sequence(F.lit(1.0).cast("int"), F.lit(top)), start, step, lambda acc: acc["n"])
+
+    rate = F.coalesce(w, F.lit(0.0)) * F.lit(float(n)) / F.lit(float(total))
+    return df.withColumn(out, let(F.struct(rate.alias("rate"), u.alias("u")), copies))
+
+
 def bootstrap(df: DataFrame, n: int, id_col: str, seed: int = 0, weight: str | None = None) -> DataFrame:
     """Exactly ``n`` draws with replacement, probability proportional to ``weight``.
 

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,11 +83,13 @@ def gram(
             parts.append(np.column_stack([b.column(c).to_numpy(zero_copy_only=False) for c in cols]))
         return np.hstack(parts)
 
-    # a constant near the mean keeps the cross products small and the subtraction safe
-    head = slim.limit(1_000).toArrow()
-    if head.num_rows == 0:
+    # the mean as a constant keeps the cross products small and the subtraction safe
+    means = [Summarizer.mean(array_to_vector(F.col(vec_col).cast("array<double>"))).alias("__m")] if vec_col else []
+    row = slim.agg(F.count("*").alias("__n"), *means, *[F.avg(c).alias(c) for c in cols]).first()
+    if not row["__n"]:
         raise ValueError("empty table")
-    shift = np.nanmean(matrix(head.combine_chunks().to_batches()[0]), axis=0)
+    shift = np.concatenate([row["__m"].toArray() if vec_col else [], [np.nan if row[c] is None else row[c] for c in cols]])
+    shift = np.where(np.isfinite(shift), shift, 0.0)
     width = len(shift)
     if width > MAX_WIDTH:
         raise ValueError(f"{width} columns; Gram matrices are meant for at most {MAX_WIDTH}")

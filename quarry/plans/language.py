@@ -107,13 +107,13 @@ def n2(spark, d):
 @query(
     "n3_stop_words_from_text",
     _words_sql("benchmark", "item_id").replace(
-        "FROM wd)", f"FROM wd WHERE w NOT IN (SELECT unnest({_sql_tokens('text')}) FROM conversations WHERE turn = 0))"
+        "FROM wd)", f"FROM wd WHERE w NOT IN (SELECT unnest({_sql_tokens('text')}) FROM conversations))"
     )
     + " SELECT item_id, term, cnt FROM bag",
 )
 def n3(spark, d):
-    """Tokens of the opening turns as the stop list of the benchmark texts."""
-    stop = text.stop_words(table(spark, d, "conversations").filter("turn = 0"))
+    """Tokens of all turns as the stop list of the benchmark texts."""
+    stop = text.stop_words(table(spark, d, "conversations"))
     return text.bag_of_words(table(spark, d, "benchmark"), "item_id", stop=stop)
 
 

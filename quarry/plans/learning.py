@@ -162,12 +162,17 @@ def l18(spark, d):
 
 @query("l19_bagging")
 def l19(spark, d):
-    return ensemble.bagging(_quality(spark, d), 10, id_col="doc_id").rounds
+    return ensemble.bagging(_quality(spark, d), 100, id_col="doc_id").rounds
 
 
 @query("l20_adaboost")
 def l20(spark, d):
-    return ensemble.adaboost(_quality(spark, d), 8).rounds
+    return ensemble.adaboost(_quality(spark, d), 100).rounds
+
+
+@query("l20_adaboost_redrawn")
+def l20r(spark, d):
+    return ensemble.adaboost(_quality(spark, d), 20, redraw="doc_id").rounds
 
 
 @query("l21_voting_ensemble")
@@ -262,13 +267,13 @@ def c5(spark, d):
 @query("c6_ward")
 def c6(spark, d):
     x = _emb(spark, d)
-    clusters, _ = hierarchy.ward(x, 17, 100, "vec_id")
+    clusters, _ = hierarchy.ward(x, 17, id_col="vec_id")
     return describe.cluster_class_share(clusters.join(x.select("vec_id", "label"), "vec_id"), "cluster", "label")
 
 
 @query("c7_ward_merges")
 def c7w(spark, d):
-    return hierarchy.ward(_emb(spark, d), 17, 100, "vec_id")[1]
+    return hierarchy.ward(_emb(spark, d), 17, id_col="vec_id")[1]
 
 
 # --- mixtures ----------------------------------------------------------------------
