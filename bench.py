@@ -43,6 +43,11 @@ HEADLINE = [
     "c1_kmeans",
     "c3_cluster_validity",
     "c10_component_selection",
+    "c5_single_linkage",
+    "d6_component_sweep",
+    "l20_adaboost",
+    "n4_stemmed_bag",
+    "m9_neighbours_in_cells",
 ]
 
 

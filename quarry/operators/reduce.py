@@ -13,6 +13,7 @@ from quarry.functions.vectors import dot, let
 from quarry.operators.describe import cumulative
 from quarry.operators.gram import gram, pooled
 from quarry.operators.neighbours import classify_sweep
+from quarry.session import cut_lineage
 
 
 def _array(values) -> Column:
@@ -92,7 +93,8 @@ def sweep_components(
     """Test error of 1-nearest-neighbour on the first k components: one fit, one projection."""
     pca = fit_components(train.select(vec_col), vec_col=vec_col)
     top = max(ks)
-    a, b = (pca.project(x, top, vec_col).drop(vec_col) for x in (train, test))
+    # projected once, searched once per k
+    a, b = (cut_lineage(pca.project(x, top, vec_col).drop(vec_col), "scores") for x in (train, test))
     out = None
     for k in ks:
         cut = F.slice("scores", 1, k)

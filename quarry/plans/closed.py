@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from quarry.functions.vectors import pack
@@ -347,3 +349,56 @@ def one_share(spark, d):
     x = folds.kfold_shuffled(_plane(spark, d), 5, "c_custkey", 3)
     a = mixture.out_of_fold_clusters(x, 1, 5, "c_custkey")
     return rounded(describe.cluster_class_share(a.join(x.select("c_custkey", "label"), "c_custkey"), "cluster", "label"))
+
+
+# --- ensembles of cell shares ---------------------------------------------------------------
+def _cdf(rate: float = 1.0) -> list[float]:
+    out, term, total, i = [], math.exp(-rate), 0.0, 0
+    while total < 1 - 1e-16 and i < 200:
+        total += term
+        out.append(total)
+        i += 1
+        term *= rate / i
+    return out
+
+
+_CELL = "(SELECT p_partkey, p_size % 5 AS cell, CASE WHEN p_partkey % 7 <= p_size % 5 THEN 1 ELSE 0 END AS y FROM part)"
+
+
+def _cell_rows(spark, d):
+    cell = F.col("p_size") % 5
+    return table(spark, d, "part").select(
+        "p_partkey", F.array(*[(cell == i).cast("double") for i in range(5)]).alias("features"), (F.col("p_partkey") % 7 <= cell).cast("int").alias("label")
+    )
+
+
+@query(
+    "l19_bagging_of_cells",
+    f"""WITH r AS (SELECT p_partkey, cell, y, CAST(k AS INT) AS k, len(list_filter([{', '.join(f'{c!r}::DOUBLE' for c in _cdf())}],
+        lambda c: c <= CAST('0x' || substr(md5(CAST(p_partkey AS VARCHAR) || ':' || k), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE)) AS w
+      FROM {_CELL} JOIN range(3) t(k) ON true),
+    m AS (SELECT k, cell, CASE WHEN sum(w * y) * 2 > sum(w) THEN 1 ELSE 0 END AS pred FROM r GROUP BY 1, 2),
+    p AS (SELECT p_partkey, y, k, pred FROM r JOIN m USING (k, cell)),
+    v AS (SELECT y, CASE WHEN avg(pred) > 0.5 THEN 1 ELSE 0 END AS pred FROM p GROUP BY p_partkey, y)
+    SELECT k AS round, round(avg(CASE WHEN pred <> y THEN 1.0::DOUBLE ELSE 0 END), 6) AS error FROM p GROUP BY k
+    UNION ALL SELECT -1, round(avg(CASE WHEN pred <> y THEN 1.0::DOUBLE ELSE 0 END), 6) FROM v""",
+)
+def bagged_cells(spark, d):
+    """A member with a weight per cell votes for the cell's class in its own sample."""
+    return rounded(ensemble.bagging(_cell_rows(spark, d), 3, id_col="p_partkey", c=1e6).rounds.select("round", "error"))
+
+
+@query(
+    "l20_adaboost_of_cells",
+    f"""WITH c AS (SELECT p_partkey, cell, y, 1.0::DOUBLE AS w FROM {_CELL}),
+    m0 AS (SELECT cell, CASE WHEN sum(w * y) * 2 > sum(w) THEN 1 ELSE 0 END AS pred FROM c GROUP BY cell),
+    e0 AS (SELECT sum(CASE WHEN pred <> y THEN w ELSE 0 END) / sum(w) AS e FROM c JOIN m0 USING (cell)),
+    c1 AS (SELECT cell, y, w * exp(CASE WHEN pred = y THEN -0.5 * ln((1 - e) / e) ELSE 0.5 * ln((1 - e) / e) END) AS w FROM c JOIN m0 USING (cell), e0),
+    m1 AS (SELECT cell, CASE WHEN sum(w * y) * 2 > sum(w) THEN 1 ELSE 0 END AS pred FROM c1 GROUP BY cell),
+    e1 AS (SELECT sum(CASE WHEN pred <> y THEN w ELSE 0 END) / sum(w) AS e FROM c1 JOIN m1 USING (cell))
+    SELECT 0 AS round, round(e, 6) AS error, round(0.5 * ln((1 - e) / e), 6) AS alpha FROM e0
+    UNION ALL SELECT 1, round(e, 6), round(0.5 * ln((1 - e) / e), 6) FROM e1""",
+)
+def boosted_cells(spark, d):
+    rounds = ensemble.adaboost(_cell_rows(spark, d), 2, c=1e6).rounds
+    return rounded(rounds.filter("round >= 0").select("round", "error", "alpha"))

@@ -351,3 +351,33 @@ def o5(spark, d):
 def o6(spark, d):
     s = density.kth_distance(density.self_neighbours(_emb(spark, d), 5, "vec_id"), 5)
     return rounded(topk.highest(s, "score", 20, "id"))
+
+
+@query(
+    "d6_all_components",
+    """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, ntile(4) OVER (ORDER BY vec_id) - 1 AS fold FROM embeddings),
+    nn AS (SELECT q.vec_id, q.label, x.label AS pred FROM e q JOIN e x ON q.fold = 0 AND x.fold <> 0
+      QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.v, x.v), x.vec_id) = 1)
+    SELECT 64 AS k, round(avg(CASE WHEN label <> pred THEN 1.0::DOUBLE ELSE 0 END), 6) AS error FROM nn""",
+)
+def d6_all(spark, d):
+    """All components keep every distance, so the neighbours are those of the rows themselves."""
+    x = folds.kfold(_emb(spark, d), 4, "vec_id")
+    return rounded(reduce.sweep_components(x.filter("fold <> 0"), x.filter("fold = 0"), [64], "label", "vec_id"))
+
+
+# --- the shuffled plans: as if nothing were small enough to copy -----------------------
+def _in_cells(fn):
+    def run(spark, d):
+        spark.conf.set("quarry.broadcast.bytes", "60000")
+        try:
+            return fn(spark, d)
+        finally:
+            spark.conf.unset("quarry.broadcast.bytes")
+
+    return run
+
+
+query("m9_neighbours_in_cells", SQL["m9_nearest_neighbours"])(_in_cells(m9))
+query("o1_kernel_density_in_cells", SQL["o1_kernel_density"])(_in_cells(o1))
+query("o4_neighbour_density_in_cells", SQL["o4_neighbour_density"])(_in_cells(o4))
