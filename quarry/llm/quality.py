@@ -18,8 +18,8 @@ class Limits:
 
     min_words: int = 50
     repeat_pct: int = 50  # base: more than this share of words in repeated windows
-    symbol_pct: int = 20  # symbols: more than this many symbols per 100 words
-    dup_line_pct: int = 30  # lines: more than this share of repeated lines
+    symbol_pct: int = 100  # symbols: more than this many symbols per 100 words
+    dup_line_pct: int = 50  # lines: more than this share of repeated lines
     min_length: int = 2  # lengths: mean word length outside these bounds
     max_length: int = 12
     strict: float = 0.02  # a document failing a rule goes if its host's shrunk rate is above

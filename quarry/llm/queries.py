@@ -118,8 +118,8 @@ m AS (SELECT w.doc_id, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(a
   CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
   CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, len(ls) AS nl, coalesce(cov.n, 0) AS n_repeat_words
   FROM w LEFT JOIN cov ON w.doc_id = cov.doc_id),
-f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, 100 * n_symbols > 20 * n_words AS f1,
-  100 * n_dup_lines > 30 * nl AS f2, word_chars < 2 * n_words OR word_chars > 12 * n_words AS f3 FROM m),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, 100 * n_symbols > 100 * n_words AS f1,
+  100 * n_dup_lines > 50 * nl AS f2, word_chars < 2 * n_words OR word_chars > 12 * n_words AS f3 FROM m),
 h AS (SELECT source, count(*) AS n, unnest([0, 1, 2, 3]) AS r,
   unnest([count(*) FILTER (WHERE base_failed), count(*) FILTER (WHERE f1), count(*) FILTER (WHERE f2), count(*) FILTER (WHERE f3)]) AS k
   FROM f GROUP BY source),

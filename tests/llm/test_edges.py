@@ -96,7 +96,7 @@ def test_quality_counts(spark):
 
 
 def test_a_bad_host_goes_and_a_clean_one_stays(spark):
-    junk = " ".join(f"w{i} # $ %" for i in range(60))
+    junk = " ".join(f"w{i}##$%" for i in range(60))
     clean = " ".join(f"word{i}" for i in range(60))
     rows = [(i, junk, "bad") for i in range(200)] + [(1000 + i, clean, "good") for i in range(200)] + [(5000, clean, "bad")]
     rows += [(2000 + i, clean, f"small{i}") for i in range(20)]
