@@ -14,15 +14,16 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.vectors import batches_to_matrices, sum_by_slot, to_matrix
+from quarry.functions.vectors import batches_to_matrices, sum_by_slot
 from quarry.operators.pairs import extent, squared_distances
 from quarry.session import cut_lineage, spread_small
 
 RIDGE = 1e-6  # added to every variance, so that no component collapses
-SEED_ROWS = 2_000
 
 
 @dataclass
@@ -107,15 +108,53 @@ class Mixture:
         return slim.mapInArrow(run, "id long, cluster int, log_density double, responsibilities array<double>").withColumnRenamed("id", id_col)
 
 
-def _spread_seeds(sample: np.ndarray, k: int, rng) -> np.ndarray:
-    """k rows of a bounded sample, each drawn far from those before it."""
-    picked = [sample[rng.integers(len(sample))]]
-    near = squared_distances(sample, np.array(picked))[:, 0]
-    while len(picked) < k:
-        p = near / near.sum() if near.sum() > 0 else np.full(len(sample), 1 / len(sample))
-        picked.append(sample[rng.choice(len(sample), p=p)])
-        near = np.minimum(near, squared_distances(sample, picked[-1][None, :])[:, 0])
-    return np.array(picked)
+def _uniform(ids: np.ndarray, salt: int) -> np.ndarray:
+    """A number in (0, 1) per id: the finaliser of splitmix64 as a hash."""
+    with np.errstate(over="ignore"):
+        z = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(salt % (1 << 64))
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z = z ^ (z >> np.uint64(31))
+    return ((z >> np.uint64(11)).astype(float) + 0.5) / float(1 << 53)
+
+
+def _spread_seeds(slim: DataFrame, starts: Sequence[tuple[int, int]], most: int, seed: int) -> dict[tuple[int, int], np.ndarray]:
+    """``most`` rows per (fold, restart), each drawn with odds as its squared distance from those before.
+
+    All rows take part. Among exponential times with the distances as rates the earliest is
+    such a draw, so a pass needs one row per task and start, and one pass adds a seed to
+    every start. The first k seeds serve every model of k components.
+    """
+    seeds: dict[tuple[int, int], list[np.ndarray]] = {s: [] for s in starts}
+    for step in range(most):
+        held = {s: np.array(v) for s, v in seeds.items()}
+
+        def draw(batches, held=held, step=step):
+            best: dict[int, tuple] = {}
+            for b, v in batches_to_matrices(batches, "v"):
+                ids, at = b.column("id").to_numpy(), b.column("f").to_numpy()
+                for slot, (f, r) in enumerate(starts):
+                    rows = np.flatnonzero(at != f)
+                    if not len(rows):
+                        continue
+                    u = _uniform(ids[rows], hash((seed, f + 1, r, step)))
+                    with np.errstate(divide="ignore"):
+                        far = squared_distances(v[rows], held[f, r]).min(1) if step else 1.0
+                        time = -np.log(u) / far
+                    i = int(np.lexsort((ids[rows], time))[0])
+                    found = (float(time[i]), int(ids[rows][i]), v[rows][i])
+                    if slot not in best or found[:2] < best[slot][:2]:
+                        best[slot] = found
+            for slot, (t, i, x) in best.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([slot], pa.int32()), pa.array([t]), pa.array([i], pa.int64()), pa.array([x.tolist()], pa.list_(pa.float64()))],
+                    names=["slot", "t", "id", "v"],
+                )
+
+        found = slim.mapInArrow(draw, "slot int, t double, id long, v array<double>")
+        for row in found.groupBy("slot").agg(F.min(F.struct("t", "id", "v")).alias("b")).collect():
+            seeds[starts[row["slot"]]].append(np.array(row["b"]["v"]))
+    return {s: np.array(v) for s, v in seeds.items()}
 
 
 def _step(model: Mixture, stats: np.ndarray, m: int) -> Mixture:
@@ -158,17 +197,14 @@ def fit_mixtures(
     # read once per pass: the short plan of written rows, cached where memory allows
     slim = cut_lineage(spread_small(slim, rows, m, work), "mixture").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        head = slim.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(SEED_ROWS).toArrow().combine_chunks()
-        sample, at = to_matrix(head.column("v")), head.column("f").to_numpy()
+        starts = [(f, r) for f in folds for r in range(restarts)]
+        seeds = _spread_seeds(slim, starts, max(ks), seed)
+        spread = slim.agg(Summarizer.variance(array_to_vector(F.col("v")))).first()[0].toArray()
+        var = spread * max(rows - 1, 0) / max(rows, 1) + RIDGE
         models = []
         for k in ks:
-            for f in folds:
-                part = sample[at != f] if (at != f).any() else sample
-                var = part.var(0) + RIDGE
-                for r in range(restarts):
-                    rng = np.random.default_rng([seed, k, f + 1, r])
-                    covs = np.tile(var, (k, 1)) if diagonal else np.tile(np.diag(var), (k, 1, 1))
-                    models.append(Mixture(np.full(k, 1 / k), _spread_seeds(part, k, rng), covs, diagonal, f, r))
+            covs = np.tile(var, (k, 1)) if diagonal else np.tile(np.diag(var), (k, 1, 1))
+            models += [Mixture(np.full(k, 1 / k), seeds[f, r][:k], covs, diagonal, f, r) for f, r in starts]
         live = list(range(len(models)))
         for _ in range(max_iter):
             points = [(i, models[i]) for i in live]
