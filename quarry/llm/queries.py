@@ -161,7 +161,19 @@ def _page(c):
     return F.regexp_extract(c, "^urn:page:(-?[0-9]+)$", 1)
 
 
-@query("op7_warc")
+@query(
+    "op7_warc",
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS n, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, n AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(x, CAST(10 * (i // 8) + 1 AS BIGINT), 10) AS BIGINT) >> CAST(35 - 5 * (i % 8) AS INT)) & 31 AS BIGINT) + 1, 1)), '') AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM g
+""",
+)
 def op7(spark, d):
     path = shared_path(spark, "archives")
     warc.archive(table(spark, d, "pages").select("page_id", "url", "html"), path)

@@ -42,7 +42,7 @@ def test_sql_twin(spark, duck, data_dir, name):
 
 
 def test_every_query_has_a_check():
-    assert set(QUERIES) == set(SQL) | {"op4_simhash", "op6_decontamination", "op7_warc", "op9_token_counts", "op10_secret_scan"}
+    assert set(QUERIES) == set(SQL) | {"op4_simhash", "op6_decontamination", "op9_token_counts", "op10_secret_scan"}
 
 
 def simhash_of(text, size=4):
