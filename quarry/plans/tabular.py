@@ -588,8 +588,8 @@ def f8(spark, d):
 @query(
     "f8_poisson_weights",
     f"""WITH p AS (SELECT p_partkey, p_size, 2000.0::DOUBLE * p_size / sum(p_size) OVER () AS rate, {_u('p_partkey', 12)} / 4503599627370496.0::DOUBLE AS u FROM part),
-    t AS (SELECT p_partkey, any_value(p_size) AS p_size, any_value(u) AS u, k, any_value(exp(-rate) * pow(rate, k) / gamma(k + 1.0::DOUBLE)) AS term
-      FROM p CROSS JOIN range(25) r(k) GROUP BY p_partkey, k),
+    t AS (SELECT p_partkey, any_value(p_size) AS p_size, any_value(u) AS u, k, any_value(exp(k * ln(rate) - rate - lgamma(k + 1.0::DOUBLE))) AS term
+      FROM p CROSS JOIN range(120) r(k) GROUP BY p_partkey, k),
     c AS (SELECT *, sum(term) OVER (PARTITION BY p_partkey ORDER BY k) AS cdf FROM t)
     SELECT p_partkey, any_value(p_size) AS p_size, count(*) FILTER (cdf <= u) AS copies FROM c GROUP BY p_partkey""",
 )
