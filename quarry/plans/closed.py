@@ -402,3 +402,53 @@ def bagged_cells(spark, d):
 def boosted_cells(spark, d):
     rounds = ensemble.adaboost(_cell_rows(spark, d), 2, c=1e6).rounds
     return rounded(rounds.filter("round >= 0").select("round", "error", "alpha"))
+
+
+# --- forward selection among two attributes: SQL tries every subset ---------------------------
+_TWO = f"""WITH p AS (SELECT a, b, a + 0.3::DOUBLE * b + (p_partkey * 7919 % 1000) / 1000.0::DOUBLE AS y, o, i FROM (SELECT p_partkey, p_size / 50.0::DOUBLE AS a,
+      (p_partkey % 7) / 7.0::DOUBLE AS b, {_FOLD.format(c='p_partkey', s=5, k=2)} AS o, {_FOLD.format(c='p_partkey', s=6, k=3)} AS i FROM part)),
+    f AS (SELECT k, j, avg(a) AS ma, avg(b) AS mb, avg(y) AS my, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay,
+      covar_pop(b, y) AS cy, var_pop(y) AS yy FROM p, range(2) x(k), range(-1, 3) z(j) WHERE o <> k AND i <> j GROUP BY k, j),
+    w AS (SELECT k, j, s, ma, mb, my, CASE s WHEN 'a' THEN ay / aa WHEN 'a,b' THEN (bb * ay - ab * cy) / (aa * bb - ab * ab) ELSE 0 END AS wa,
+      CASE s WHEN 'b' THEN cy / bb WHEN 'a,b' THEN (aa * cy - ab * ay) / (aa * bb - ab * ab) ELSE 0 END AS wb FROM f, (VALUES ('a'), ('b'), ('a,b')) m(s)),
+    e AS (SELECT k, s, avg(e) AS e FROM (SELECT w.k, w.j, s, avg(pow(y - my - wa * (a - ma) - wb * (b - mb), 2)) AS e FROM w JOIN p ON o <> w.k AND i = w.j GROUP BY ALL) GROUP BY k, s),
+    c AS (SELECT f.k, yy, max(e) FILTER (s = 'a') AS ea, max(e) FILTER (s = 'b') AS eb, max(e) FILTER (s = 'a,b') AS eab FROM f JOIN e ON f.k = e.k AND f.j = -1 GROUP BY f.k, yy),
+    sel AS (SELECT k, CASE WHEN least(ea, eb) >= yy THEN '' WHEN eab < least(ea, eb) THEN (CASE WHEN ea <= eb THEN 'a,b' ELSE 'b,a' END)
+      WHEN ea <= eb THEN 'a' ELSE 'b' END AS steps FROM c)"""
+
+
+def _two(spark, d):
+    from quarry.operators import linear
+
+    p = table(spark, d, "part").select("p_partkey", (F.col("p_size") / 50.0).alias("a"), (F.col("p_partkey") % 7 / 7.0).alias("b"))
+    p = p.withColumn("y", F.col("a") + F.lit(0.3) * F.col("b") + F.col("p_partkey") * 7919 % 1000 / 1000.0)
+    p = folds.kfold_shuffled(p, 2, "p_partkey", 5, out="outer")
+    p = folds.kfold_shuffled(p, 3, "p_partkey", 6, out="inner")
+    return linear.forward_selection(p, ["a", "b"], "y", "outer", "inner", 3)
+
+
+@query(
+    "l7_selection_of_two",
+    _TWO
+    + """, m AS (SELECT w.k, w.s, avg(CASE WHEN o <> w.k THEN pow(y - my - wa * (a - ma) - wb * (b - mb), 2) END) AS tr,
+      avg(CASE WHEN o = w.k THEN pow(y - my - wa * (a - ma) - wb * (b - mb), 2) END) AS te FROM w CROSS JOIN p WHERE w.j = -1 GROUP BY ALL)
+    SELECT CAST(k AS INT) AS fold, 'all' AS model, 'a,b' AS features, round(tr, 6) AS train_mse, round(te, 6) AS test_mse FROM m WHERE s = 'a,b'
+    UNION ALL SELECT CAST(sel.k AS INT), 'selected', steps, round(tr, 6), round(te, 6) FROM sel JOIN m ON m.k = sel.k AND s = CASE steps WHEN 'b,a' THEN 'a,b' ELSE steps END
+    UNION ALL SELECT CAST(k AS INT), 'none', '', round(var_pop(CASE WHEN o <> k THEN y END), 6), round(var_pop(CASE WHEN o = k THEN y END), 6) FROM p, range(2) x(k) GROUP BY k""",
+)
+def select_two(spark, d):
+    out = _two(spark, d)
+    return rounded(out.select("fold", "model", F.array_join("features", ",").alias("features"), "train_mse", "test_mse"))
+
+
+@query(
+    "e12_matrix_of_two",
+    _TWO
+    + """ SELECT CAST(k AS INT) AS fold, v AS feature, contains(steps, v) AS selected, CAST(nullif(coalesce(list_position(string_split(steps, ','), v), 0), 0) AS INT) AS step
+    FROM (SELECT k, steps, unnest(['a', 'b']) AS v FROM sel)""",
+)
+def matrix_two(spark, d):
+    from quarry.operators import linear
+
+    out = linear.selection_matrix(_two(spark, d), ["a", "b"])
+    return out.select("fold", "feature", "selected", F.nullif("step", F.lit(0)).alias("step"))
