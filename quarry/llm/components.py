@@ -31,9 +31,9 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     near = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    hit = near.join(_least(near), F.col("u") == F.col("k"))
-    ends = F.array(F.struct(F.col("m").alias("a"), F.col("v").alias("b")), F.struct(F.col("m").alias("a"), F.col("u").alias("b")))
-    return hit.select(F.inline(ends)).filter("a <> b").distinct()
+    least = _least(near)
+    moved = near.join(least, F.col("u") == F.col("k")).select(F.col("m").alias("a"), F.col("v").alias("b"))
+    return moved.unionByName(least.select(F.col("m").alias("a"), F.col("k").alias("b"))).filter("a <> b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -48,6 +48,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(
         edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), "links"
     )
+    if not now.isEmpty():
+        now = written(_small_star(now), "small-star")  # many centres of one component become few
     mark = None
     while True:
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -196,7 +196,10 @@ def _stars(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _links_of(group: np.ndarray, side: np.ndarray, pop: np.ndarray, x: np.ndarray, radius: int):
-    """Links within the groups of one block; rows are sorted by group, side and bit count."""
+    """Links within the groups of one block, as two arrays of fingerprints.
+
+    Rows are sorted by group, side and bit count.
+    """
     n = len(group)
     heads = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     sizes = np.diff(np.r_[heads, n])
@@ -228,8 +231,15 @@ def _links_of(group: np.ndarray, side: np.ndarray, pop: np.ndarray, x: np.ndarra
         for i, j in _tile_links(x[h:stop], pop[h:stop], x[mid : h + m], pop[mid : h + m], radius, not cross):
             keep(i + h, j + mid)
     if not held:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return _stars(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), n)
+        return x[:0], x[:0]
+    a, b = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+    # a fingerprint that meets others under several keys is one node, and the least of a
+    # component is the centre of its star, as far as it can be the same in every block
+    rows, place = np.unique(np.r_[a, b], return_inverse=True)
+    nodes, node = np.unique(x[rows], axis=0, return_inverse=True)
+    ends = node.ravel()[place]
+    centre, leaf = _stars(ends[: len(a)], ends[len(a) :], len(nodes))
+    return nodes[centre], nodes[leaf]
 
 
 def links(prints: DataFrame, names: list[str], radius: int, masks: list[tuple[int, ...]]) -> DataFrame:
@@ -248,8 +258,8 @@ def links(prints: DataFrame, names: list[str], radius: int, masks: list[tuple[in
 
         def linked(part):
             group, side, pop, x = part
-            a, b = _links_of(group, side, pop, x.view(np.uint64), radius)
-            arrays = [pa.array(x[i, k]) for i in (a, b) for k in range(x.shape[1])]
+            ends = _links_of(group, side, pop, x.view(np.uint64), radius)
+            arrays = [pa.array(e[:, k].view(np.int64)) for e in map(np.asfortranarray, ends) for k in range(x.shape[1])]
             return pa.RecordBatch.from_arrays(arrays, cols)
 
         for batch in batches:
