@@ -1,0 +1,223 @@
+"""Exact Jaccard join of shingle sets, for the pairs that fingerprints leave apart."""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quarry.llm.common import quoted, text_of, written
+from quarry.llm.components import components
+from quarry.llm.shingles import shingles, signed_by
+
+PARITY_WORDS = 8
+PAIRS_AT_ONCE = 1 << 19
+SAMPLE, SEEN, COMMON = 16, 4, 1 << 16  # what a shingle's place in the order rests on
+
+
+def _common(rows: DataFrame, shingle: int) -> np.ndarray:
+    """Frequent shingles of one text in ``SAMPLE``, the most frequent last.
+
+    They only order the shingles of a set: every order finds the same pairs, one with
+    frequent shingles at the end meets fewer others on the way.
+    """
+    some = rows.filter(F.pmod("tk", F.lit(SAMPLE)) == 0).dropDuplicates(["tk"]).select("t")
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t in b.column("t").cast(pa.large_binary()):
+                own = shingle_set(t.as_py(), shingle)
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], ["h"])
+
+    counts = some.mapInArrow(hashes, "h long").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= SEEN)
+    top = counts.orderBy(F.desc("n"), "h").limit(COMMON).collect()  # at most COMMON rows
+    return np.array([r["h"] for r in reversed(top)], np.int64).view(np.uint64)
+
+
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """The distinct shingle hashes of one UTF-8 text, sorted."""
+    pieces = list(shingles(text, shingle))
+    return np.unique(np.concatenate(pieces)) if pieces else np.zeros(0, np.uint64)
+
+
+def prefix_length(n: int, percent: int) -> int:
+    """So many first shingles of a set, in an order common to all sets, that two sets of
+    enough similarity share at least one of them."""
+    return n - (percent * n + 99) // 100 + 1 if n else 0
+
+
+def parity(own: np.ndarray) -> np.ndarray:
+    """Bits that each shingle flips one of: they differ in no more places than the sets."""
+    bits = np.bincount((own >> np.uint64(32)).astype(np.int64) % (64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def signed_sets(df: DataFrame, id_col: str, text_col: str, shingle: int, words: int, percent: int) -> DataFrame:
+    """Fingerprints with ``sk`` (hash of the shingle set), ``n`` (its size), ``head`` (its
+    first shingles) and ``p0..`` (its parity)."""
+    rows = df.select(
+        F.col(quoted(id_col)).alias("id"), F.xxhash64(text_of(text_col)).alias("tk"), text_of(text_col).alias("t")
+    )
+    common = _common(rows, shingle)
+    place = np.argsort(common)
+    ordered = common[place]
+    names = [*[f"f{k}" for k in range(words)], "sk", "n", *[f"p{k}" for k in range(PARITY_WORDS)]]
+    schema = T.StructType(
+        [rows.schema["id"], T.StructField("tk", T.LongType())]
+        + [T.StructField(c, T.LongType()) for c in names]
+        + [T.StructField("head", T.ArrayType(T.LongType()))]
+    )
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = np.zeros((b.num_rows, len(names)), np.int64)
+            heads = []
+            for i, t in enumerate(b.column("t").cast(pa.large_binary())):
+                pieces = list(shingles(t.as_py(), shingle))
+                own = np.unique(np.concatenate(pieces)) if pieces else np.zeros(0, np.uint64)
+                n = len(own)
+                out[i, :words] = signed_by(pieces, words).view(np.int64)
+                out[i, words] = np.uint64(xxhash.xxh64_intdigest(own.tobytes())).view(np.int64)
+                out[i, words + 1] = n
+                out[i, words + 2 :] = parity(own)
+                rank = np.zeros(n, np.int64)
+                if len(ordered):
+                    at = np.minimum(np.searchsorted(ordered, own), len(ordered) - 1)
+                    rank = np.where(ordered[at] == own, place[at] + 1, 0)
+                heads.append(own[np.argsort(rank, kind="stable")[: prefix_length(n, percent)]].view(np.int64))
+            cols = [pa.array(out[:, k]) for k in range(len(names))]
+            offsets = np.cumsum([0, *map(len, heads)])
+            flat = np.concatenate(heads) if heads else np.zeros(0, np.int64)
+            head = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("tk"), *cols, head], schema.names)
+
+    return rows.mapInArrow(sign, schema)
+
+
+def _possible(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets (columns ``sk``, ``root``, ``n``, parity) of two roots may be similar enough."""
+    nx, ny = x[..., 2], y[..., 2]
+    far = np.zeros(np.broadcast_shapes(nx.shape, ny.shape), np.int64)
+    for k in range(3, x.shape[-1]):
+        far += np.bitwise_count((x[..., k] ^ y[..., k]).view(np.uint64))
+    near = (100 + percent) * far <= (100 - percent) * (nx + ny)
+    return near & (x[..., 1] != y[..., 1]) & (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny))
+
+
+def _candidates(part: list[np.ndarray], percent: int) -> np.ndarray:
+    """Pairs of rows of one group that may be similar, as rows (sk, root, sk, root)."""
+    group, side, x = part
+    heads = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    sizes = np.diff(np.r_[heads, len(group)])
+    two = np.add.reduceat(side, heads) > 0
+    small = ~two & (sizes <= 64)
+    out = []
+
+    def keep(i, j):
+        if len(i):
+            out.append(np.unique(np.concatenate([x[i, :2], x[j, :2]], 1), axis=0))
+
+    at, k = np.flatnonzero(np.repeat(small & (sizes > 1), sizes)), 1
+    while len(at):
+        at = at[at + k < len(group)]
+        at = at[group[at] == group[at + k]]
+        hit = at[_possible(x[at], x[at + k], percent)]
+        keep(hit, hit + k)
+        k += 1
+    for h, m, cross in zip(heads[~small].tolist(), sizes[~small].tolist(), two[~small].tolist()):
+        mid = h + int((side[h : h + m] == 0).sum()) if cross else h
+        stop, step = (mid if cross else h + m), max(1, PAIRS_AT_ONCE // m)
+        for lo in range(h, stop, step):
+            hi = min(stop, lo + step)
+            first = mid if cross else lo
+            i, j = np.nonzero(_possible(x[lo:hi, None, :], x[None, first : h + m, :], percent))
+            i, j = i + lo, j + first
+            keep(*((i, j) if cross else (i[i < j], j[i < j])))
+    return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 4), np.int64)
+
+
+def candidates(tiles: DataFrame, names: list[str], percent: int) -> DataFrame:
+    """Pairs of sets (``sk_a``, ``root_a``, ``sk_b``, ``root_b``) that meet in a group and may be similar enough."""
+    cols = ["sk_a", "root_a", "sk_b", "root_b"]
+    rows = tiles.repartition("group").sortWithinPartitions("group", "side")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[np.ndarray] | None = None
+
+        def linked(part):
+            found = np.asfortranarray(_candidates(part, percent))
+            return pa.RecordBatch.from_arrays([pa.array(found[:, k]) for k in range(4)], cols)
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            get = lambda c: b.column(c).to_numpy()
+            part = [get("group"), get("side").astype(np.int64), np.stack([get(c) for c in names], 1)]
+            if rest is not None:
+                part = [np.concatenate([r, p]) for r, p in zip(rest, part)]
+            # the last group may go on in the next batch
+            cut = int(np.searchsorted(part[0], part[0][-1], "left"))
+            if cut:
+                yield linked([p[:cut] for p in part])
+            rest = [p[cut:] for p in part]
+        if rest is not None:
+            yield linked(rest)
+
+    return rows.mapInArrow(compare, ", ".join(f"{c} long" for c in cols))
+
+
+def joined_roots(
+    df: DataFrame, text_col: str, shingle: int, prints: DataFrame, roots: DataFrame, percent: int
+) -> DataFrame:
+    """``node`` and ``root`` after all pairs of similar sets are linked; ``roots`` has those so far.
+
+    ``prints`` holds the rows of :func:`signed_sets` with ``node``. Two sets of Jaccard
+    similarity ``percent`` / 100 share one of their first shingles, whatever the order, so
+    no pair is lost. Only sets of different roots are compared; sizes and parities sort out
+    most, and the shingle sets of the rest are intersected.
+    """
+    from quarry.llm.simhash import _tiled  # which calls this module
+
+    parities = [f"p{k}" for k in range(PARITY_WORDS)]
+    known = roots.select(F.col("node").alias("k"), "root")
+    sets = prints.filter("n > 0").dropDuplicates(["node", "sk"]).select("node", "sk", "n", *parities, "head")
+    sets = sets.join(known, F.col("node") == F.col("k"), "left").withColumn("root", F.coalesce("root", "node"))
+    sets = written(sets.drop("k").withColumn("set_id", F.monotonically_increasing_id()), "sets")
+    # nearly all first shingles stand in one set alone: they go before anything wider is shuffled
+    entries = sets.select(F.explode("head").alias("key"), "set_id")
+    repeated = entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    met = written(entries.join(repeated, "key", "left_semi"), "shared-shingles")
+    rooted = met.join(sets.select("set_id", "root"), "set_id")
+    apart = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key")
+    names = ["sk", "root", "n", *parities]
+    size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int")
+    routed = met.join(apart, "key", "left_semi").join(sets.drop("head"), "set_id")
+    routed = written(routed.select("key", *names, size_class.alias("pop")), "routed-sets")
+    pairs = written(candidates(_tiled(routed, names, 2), names, percent).distinct(), "candidates")
+    wanted = pairs.select(F.explode(F.array("sk_a", "sk_b")).alias("w")).distinct()
+    texts = prints.join(wanted, F.col("sk") == F.col("w"), "left_semi").groupBy("sk").agg(F.min("tk").alias("tk"))
+    body = df.select(F.xxhash64(text_of(text_col)).alias("own"), text_of(text_col).alias("t"))
+    found = body.join(texts, F.col("own") == F.col("tk")).dropDuplicates(["sk"]).select("sk", "t")
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [shingle_set(t.as_py(), shingle).view(np.int64) for t in b.column("t").cast(pa.large_binary())]
+            yield pa.RecordBatch.from_arrays([b.column("sk"), pa.array(own, pa.list_(pa.int64()))], ["sk", "s"])
+
+    full = written(found.mapInArrow(whole, "sk long, s array<long>"), "whole-sets")
+    a = full.select(F.col("sk").alias("sk_a"), F.col("s").alias("a"))
+    b = full.select(F.col("sk").alias("sk_b"), F.col("s").alias("b"))
+    both = pairs.join(a, "sk_a").join(b, "sk_b")
+    alike = (100 + percent) * F.size(F.array_intersect("a", "b")) >= percent * (F.size("a") + F.size("b"))
+    links = both.filter(alike).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    merged = written(components(links), "joined-roots").select(F.col("node").alias("m"), F.col("root").alias("top"))
+    nodes = prints.select("node").distinct().join(known, F.col("node") == F.col("k"), "left")
+    nodes = nodes.select("node", F.coalesce("root", "node").alias("old"), F.col("k").isNotNull().alias("linked"))
+    moved = nodes.join(merged, F.col("old") == F.col("m"), "left").filter(F.col("linked") | F.col("m").isNotNull())
+    return moved.select("node", F.coalesce("top", "old").alias("root"))

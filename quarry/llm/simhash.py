@@ -8,53 +8,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.llm import overlap
 from quarry.llm.common import quoted, text_of, written
 from quarry.llm.components import components
+from quarry.llm.shingles import distance, fingerprint
 
-SHINGLES_AT_ONCE = 1 << 15
 TILE_ROWS = 2048
 PAIRS_AT_ONCE = 1 << 21
 
 
-def _mixed(h: np.ndarray, word: int) -> np.ndarray:
-    """A further 64 bits from a hash (the finaliser of splitmix64); word 0 is the hash itself."""
-    if not word:
-        return h
-    with np.errstate(over="ignore"):
-        z = h + np.uint64(0x9E3779B97F4A7C15) * np.uint64(word)
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return z ^ (z >> np.uint64(31))
-
-
-def fingerprint(text: bytes, shingle: int, words: int) -> np.ndarray:
-    """``words`` numbers of 64 bits for one UTF-8 text."""
-    parts = text.lower().split()  # on bytes: A-Z and the blanks of ASCII alone
-    if not parts:
-        return np.zeros(words, np.uint64)
-    joined = b" ".join(parts)
-    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-    ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    size = min(shingle, len(parts))
-    n = len(parts) - size + 1
-    counts = np.zeros((words, 64), np.int64)
-    digest = xxhash.xxh64_intdigest
-    for lo in range(0, n, SHINGLES_AT_ONCE):
-        hi = min(n, lo + SHINGLES_AT_ONCE)
-        spans = zip(starts[lo:hi].tolist(), ends[lo + size - 1 : hi + size - 1].tolist())
-        h = np.array([digest(joined[a:b], 42) for a, b in spans], np.uint64)
-        for k in range(words):
-            bits = np.unpackbits(_mixed(h, k).view(np.uint8), bitorder="little").reshape(-1, 64)
-            counts[k] += bits.sum(axis=0, dtype=np.int64)
-    return np.packbits(counts * 2 > n, axis=1, bitorder="little").view(np.uint64)[:, 0]
-
-
 def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int, words: int) -> DataFrame:
     """One row per row: ``id``, ``tk`` (hash of the text) and the columns ``f0``, ``f1``, ..."""
     rows = df.select(
@@ -153,14 +119,6 @@ def _tiled(routed: DataFrame, names: list[str], radius: int) -> DataFrame:
     return rows.select(*names, "pop", F.explode(places).alias("g")).select("g.group", "g.side", "pop", *names)
 
 
-def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Differing bits; ``x`` and ``y`` hold the words of a fingerprint in their last axis."""
-    d = np.bitwise_count(x[..., 0] ^ y[..., 0])
-    for k in range(1, x.shape[-1]):
-        d = d + np.bitwise_count(x[..., k] ^ y[..., k])
-    return d
-
-
 def _tile_links(x, px, y, py, radius, same) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links between two tiles sorted by bit count, as row numbers; ``same``: each pair once."""
     step = max(1, PAIRS_AT_ONCE // max(1, len(y)))
@@ -172,7 +130,7 @@ def _tile_links(x, px, y, py, radius, same) -> Iterator[tuple[np.ndarray, np.nda
             a = max(a, lo)
         if a >= b:
             continue
-        i, j = np.nonzero(_distance(x[lo:hi, None, :], y[None, a:b, :]) <= radius)
+        i, j = np.nonzero(distance(x[lo:hi, None, :], y[None, a:b, :]) <= radius)
         i, j = i + lo, j + a
         if same:
             i, j = i[i < j], j[i < j]
@@ -222,7 +180,7 @@ def _links_of(group: np.ndarray, side: np.ndarray, pop: np.ndarray, x: np.ndarra
     while len(at):
         at = at[at + k < n]
         at = at[(group[at] == group[at + k]) & (pop[at + k] - pop[at] <= radius)]
-        hit = _distance(x[at], x[at + k]) <= radius
+        hit = distance(x[at], x[at + k]) <= radius
         keep(at[hit], at[hit] + k)
         k += 1
     for h, m, cross in zip(heads[~small].tolist(), sizes[~small].tolist(), two[~small].tolist()):
@@ -288,6 +246,7 @@ def near_groups(
     radius: int = 4,
     words: int = 1,
     masks: list[tuple[int, ...]] | None = None,
+    percent: int | None = None,
 ) -> DataFrame:
     """One row per row: ``id``, ``tk`` (text hash), ``f0..`` (fingerprint) and ``component``.
 
@@ -296,7 +255,8 @@ def near_groups(
     is the smallest id reachable by links. Without ``masks`` and with ``words`` = 1 all links
     are found: fingerprints that share enough whole blocks of bits meet (see
     :func:`block_masks`). With random masks (:func:`sampled_masks`) those pairs are compared
-    that agree under one of them.
+    that agree under one of them. With ``percent`` all pairs are linked as well whose shingle
+    sets have a Jaccard similarity of at least ``percent`` / 100 (see :mod:`quarry.llm.overlap`).
 
     A null or empty text has the fingerprint zero and is linked like any other. Null ids take
     part in their component but never name it, unless all are null. Repeated rows get equal
@@ -312,7 +272,10 @@ def near_groups(
         if words != 1:
             raise ValueError("fingerprints of several words need masks")
         masks = block_masks(radius, 2)
-    prints = written(fingerprints(df, id_col, text_col, shingle, words), "fingerprints")
+    if percent is None:
+        prints = written(fingerprints(df, id_col, text_col, shingle, words), "fingerprints")
+    else:
+        prints = written(overlap.signed_sets(df, id_col, text_col, shingle, words, percent), "fingerprints")
     node = F.col("f0") if words == 1 else F.xxhash64(*names)
     nodes = written(
         prints.groupBy(*names).agg(F.min("id").alias("least_id")).withColumn("node", node), "distinct-fingerprints"
@@ -320,6 +283,9 @@ def near_groups(
     found = links(nodes.select(*names), names, radius, masks)
     ends = [F.col(f"{s}0") if words == 1 else F.xxhash64(*[f"{s}{k}" for k in range(words)]) for s in "ab"]
     roots = written(components(found.select(ends[0].alias("a"), ends[1].alias("b"))), "components")
+    if percent is not None:
+        more = overlap.joined_roots(df, text_col, shingle, prints.withColumn("node", node), roots, percent)
+        roots = written(more, "joined-components")
     # nodes without a link are their own component
     joined = nodes.join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
     linked = written(
@@ -346,19 +312,20 @@ def keep_one(
     radius: int = 24,
     words: int = 2,
     masks: list[tuple[int, ...]] | None = None,
+    percent: int = 80,
 ) -> DataFrame:
     """The rows of ``df`` with one document of each group of near copies: that of the smallest id.
 
-    The defaults aim at a Jaccard similarity of 0.8 or more over five-word shingles: at 0.8,
-    128 bits differ in 19.5 places on average (standard deviation 4), and a pair of that
-    distance agrees under one of 48 random masks of 14 bits with odds of 99 %. Measured
-    recall is in the README.
+    Every pair with a Jaccard similarity of ``percent`` / 100 or more over five-word shingles is
+    linked. Fingerprints alone cannot promise that (at 0.8, 128 bits differ in 19.5 places on
+    average, standard deviation 4): the pairs that they leave apart are found by an exact join
+    of shingle sets. Fingerprints within ``radius`` that agree under a mask are linked besides.
 
     Of rows with null ids a group keeps one (least text hash) if it has no other ids. Rows
     that repeat an id and text count as copies, one stays.
     """
     masks = masks if masks is not None else sampled_masks(words, 14, 48)
-    groups = near_groups(df, id_col, text_col, shingle, radius, words, masks)
+    groups = near_groups(df, id_col, text_col, shingle, radius, words, masks, percent)
     first = groups.filter(F.col("id").eqNullSafe(F.col("component")))
     named = first.filter(F.col("id").isNotNull()).groupBy("id").agg(F.min("tk").alias("tk"))
     names = [f"f{k}" for k in range(words)]

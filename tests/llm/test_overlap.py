@@ -1,0 +1,63 @@
+"""Near-dedup links every pair of the promised Jaccard similarity."""
+
+import itertools
+import random
+
+from quarry.llm import simhash
+
+
+def shingles(text):
+    w = text.split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def first_at(docs, percent):
+    root = {i: i for i in docs}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    sets = {i: shingles(t) for i, t in docs.items()}
+    for a, b in itertools.combinations(sorted(docs), 2):
+        if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+            lo, hi = sorted((find(a), find(b)))
+            root[hi] = lo
+    return {find(i) for i in docs}
+
+
+def near_pairs():
+    """Texts in pairs just above 0.8 (words replaced in one), and one phrase that half of them hold."""
+    rng = random.Random(7)
+    docs = {}
+    for k in range(150):
+        n = rng.choice([40, 90, 200, 400])
+        words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        if k % 2:
+            words[5:17] = [f"common{i}" for i in range(12)]
+        other, best = list(words), list(words)
+        for at in rng.sample(range(n), n):
+            other[at] = f"x{rng.randrange(10**6)}"
+            a, b = shingles(" ".join(words)), shingles(" ".join(other))
+            if 5 * len(a & b) < 4 * len(a | b):
+                break
+            best = list(other)
+        docs[2 * k], docs[2 * k + 1] = " ".join(words), " ".join(best)
+    return docs
+
+
+def test_pairs_at_the_limit(spark):
+    docs = near_pairs()
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    kept = {r["doc_id"] for r in simhash.keep_one(df).collect()}
+    assert kept == first_at(docs, 80) == set(range(0, 300, 2))
+
+
+def test_tiles_of_a_shared_shingle(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE_ROWS", 8)
+    docs = near_pairs()
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    # without masks that hit, all links come from the exact join
+    none = simhash.near_groups(df, shingle=5, radius=0, words=2, masks=simhash.sampled_masks(2, 14, 1), percent=80)
+    assert {r["component"] for r in none.collect()} == set(range(0, 300, 2))
