@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, licenses, lines, mixing, quality, secrets, simhash, tokens, urls, warc
+from quarry.llm import (
+    decontaminate,
+    importance,
+    lexical,
+    licenses,
+    lines,
+    mixing,
+    quality,
+    secrets,
+    simhash,
+    tokens,
+    urls,
+    warc,
+)
 from quarry.session import shared_path, table
 
 QUERIES: dict[str, Callable] = {}
@@ -277,3 +290,65 @@ FROM h LEFT JOIN (SELECT * FROM f WHERE n = 1) f ON h.page_id = f.page_id LEFT J
 def op8(spark, d):
     pages = table(spark, d, "pages").select("page_id", "url")
     return urls.judge(pages, table(spark, d, "labels"), URL_RULES)
+
+
+def _words_sql(text: str, apart: str) -> str:
+    """The words of a text in DuckDB, A-Z in lower case; ``apart`` is what no word holds."""
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"list_filter(regexp_split_to_array({lower}, '{apart}+'), lambda x: x <> '')"
+
+
+_NO_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]"
+
+
+@query(
+    "op11_importance",
+    rf"""
+WITH d AS (SELECT doc_id, {_words_sql("text", _NO_WORD)} AS ws FROM documents),
+dw AS (SELECT doc_id, unnest(ws) AS w FROM d),
+bw AS (SELECT unnest({_words_sql("text", _NO_WORD)}) AS w FROM benchmark),
+tbl AS (SELECT list(v ORDER BY i) AS t FROM (
+  SELECT i, list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM (SELECT unnest(range(256)) AS i))),
+words AS (SELECT DISTINCT w FROM (SELECT w FROM dw UNION ALL SELECT w FROM bw)),
+bytes AS (SELECT w, list_transform(range(CAST(octet_length(encode(w)) AS BIGINT)), lambda i: CAST('0x' || substr(hex(encode(w)), 2 * i + 1, 2) AS BIGINT)) AS bs FROM words),
+crc AS (SELECT w, xor(list_reduce(list_concat([4294967295], bs), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM bytes, tbl),
+s AS (SELECT bucket, count(*) AS s FROM dw JOIN crc USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN crc USING (w) GROUP BY bucket),
+g AS (SELECT s.bucket, CAST(floor(1000 * ln(((coalesce(t, 0) + 1) * ((SELECT count(*) FROM dw) + 10000))::DOUBLE / ((s + 1) * ((SELECT count(*) FROM bw) + 10000))::DOUBLE)) AS BIGINT) AS gain
+  FROM s LEFT JOIN t ON s.bucket = t.bucket),
+w AS (SELECT doc_id, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight FROM dw JOIN crc USING (w) JOIN g USING (bucket) GROUP BY doc_id),
+f AS (SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+  CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) AS h FROM d LEFT JOIN w ON d.doc_id = w.doc_id),
+e AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM f),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM e WHERE n_features >= 20)
+SELECT e.doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM e LEFT JOIN r ON e.doc_id = r.doc_id
+""",
+)
+def op11(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return importance.resample(docs, table(spark, d, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
+_NO_TERM = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]"
+
+
+@query(
+    "op12_lexical_search",
+    rf"""
+WITH d AS (SELECT doc_id, {_words_sql("text", _NO_TERM)} AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS t FROM d),
+c AS (SELECT doc_id, t, count(*) AS tf FROM w GROUP BY doc_id, t),
+a AS (SELECT count(*) AS docs, CAST(sum(len(ws)) AS BIGINT) AS words FROM d WHERE len(ws) > 0),
+m AS (SELECT doc_id, 25 + (75 * len(ws) * docs) // words AS m FROM d, a WHERE len(ws) > 0),
+i AS (SELECT item_id, unnest({_words_sql("text", _NO_TERM)}) AS t FROM benchmark),
+f AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM c, a GROUP BY t, docs),
+s AS (SELECT item_id, c.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM i JOIN f USING (t) JOIN c USING (t) JOIN m ON c.doc_id = m.doc_id GROUP BY item_id, c.doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM r WHERE rank <= 10
+""",
+)
+def op12(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return lexical.search(docs, table(spark, d, "benchmark")).withColumnRenamed("id", "doc_id")
