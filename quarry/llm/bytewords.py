@@ -17,12 +17,14 @@ LOWERED = np.arange(256, dtype=np.uint8)
 LOWERED[65:91] += 32
 IN_WORD = np.zeros(256, bool)
 IN_WORD[48:58] = IN_WORD[65:91] = IN_WORD[97:123] = IN_WORD[128:] = True
+NO_BLANK = np.ones(256, bool)
+NO_BLANK[9:14] = NO_BLANK[32] = False
 
 
-def texts(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def texts(column: pa.Array, most: int = BATCH_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Parts of a text column: first row, bytes and the offsets of its rows.
 
-    A part has at most ``BATCH_BYTES`` bytes or is a single text. Nulls are empty.
+    A part has at most ``most`` bytes or is a single text. Nulls are empty.
     """
     column = column.cast(pa.large_binary())
     if column.null_count:
@@ -35,14 +37,16 @@ def texts(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     body = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     lo = 0
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + BATCH_BYTES, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + most, "right")) - 1)
         yield lo, body[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
         lo = hi
 
 
-def word_spans(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and length of every word and the words per text; no word crosses two texts."""
-    inside = IN_WORD[body]
+def word_spans(
+    body: np.ndarray, offsets: np.ndarray, letters: np.ndarray = IN_WORD
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and length of every run of ``letters`` and the runs per text; none crosses two texts."""
+    inside = letters[body]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()
@@ -158,16 +162,29 @@ def _folded(flat: np.ndarray, data: np.ndarray, starts: np.ndarray, lengths: np.
     return out
 
 
+class SpanHash:
+    """64-bit hashes of many spans: a random number per byte and distance from the end, joined by
+    exclusive or; spans beyond ``REACH`` bytes one by one."""
+
+    def __init__(self, seed: int = 0):
+        self.flat = np.random.default_rng(seed).integers(0, 1 << 64, REACH * 256, np.uint64)
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        out = _folded(self.flat, data, starts, np.minimum(lengths, REACH))
+        for i in np.flatnonzero(lengths > REACH).tolist():
+            out[i] = xxhash.xxh64_intdigest(data[starts[i] : starts[i] + lengths[i]].tobytes(), 42)
+        return out
+
+
 class Terms:
     """Places of many spans in a fixed list of terms.
 
-    Spans are found by a 64-bit hash (a random number per byte and distance from the end,
-    joined by exclusive or) and compared byte by byte with the term they meet.
+    Spans are found by their :class:`SpanHash` and compared byte by byte with the term they meet.
     """
 
     def __init__(self, terms: list[bytes]):
         for seed in range(64):
-            self.flat = np.random.default_rng(seed).integers(0, 1 << 64, REACH * 256, np.uint64)
+            self.hashes = SpanHash(seed)
             lengths = np.array([len(t) for t in terms], np.int64)
             starts = np.cumsum(lengths) - lengths
             body = np.frombuffer(b"".join(terms), np.uint8)
@@ -180,13 +197,6 @@ class Terms:
         self.order, self.sorted = order, own[order]
         self.body, self.starts, self.lengths = body, starts, lengths
 
-    def hashes(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        long = np.flatnonzero(lengths > REACH)
-        out = _folded(self.flat, data, starts, np.minimum(lengths, REACH))
-        for i in long.tolist():
-            out[i] = xxhash.xxh64_intdigest(data[starts[i] : starts[i] + lengths[i]].tobytes(), 42)
-        return out
-
     def places(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Per span the number of its term, -1 if it is none."""
         if not len(self.order) or not len(starts):

@@ -12,6 +12,7 @@ from quarry.llm import (
     lexical,
     licenses,
     lines,
+    minhash,
     mixing,
     quality,
     secrets,
@@ -352,3 +353,28 @@ SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM r WHERE rank <= 10
 def op12(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     return lexical.search(docs, table(spark, d, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
+@query(
+    "op13_minhash",
+    rf"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_BLANKS_SQL}+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) BETWEEN 1 AND 2 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS g FROM d),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id AS node, doc_id AS root FROM d UNION SELECT l.b, r.root FROM r JOIN l ON r.node = l.a)
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, min(root) AS component_id, s.doc_id = min(root) AS kept
+FROM s JOIN r ON s.doc_id = r.node GROUP BY s.doc_id, g
+""",
+)
+def op13(spark, d):
+    out = minhash.near_sets(table(spark, d, "documents").select("doc_id", "text"))
+    return out.select(
+        F.col("id").alias("doc_id"),
+        "n_shingles",
+        F.col("component").alias("component_id"),
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"),
+    )
