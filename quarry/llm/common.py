@@ -22,6 +22,14 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def fresh(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have, whatever the case."""
+    taken, name = {c.lower() for c in df.columns}, f"__{stem}"
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z in lower case, every other letter as it is.
 

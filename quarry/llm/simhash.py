@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import itertools
-import random
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,8 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm import overlap
-from quarry.llm.common import quoted, text_of, written
+from quarry.llm.common import fresh, quoted, text_of, written
 from quarry.llm.components import components
 from quarry.llm.shingles import distance, fingerprint
 
@@ -54,18 +52,6 @@ def block_masks(radius: int, agree: int) -> list[tuple[int, ...]]:
     return [(sum(c),) for c in itertools.combinations(blocks, agree)]
 
 
-def sampled_masks(words: int, bits: int, count: int, seed: int = 42) -> list[tuple[int, ...]]:
-    """``count`` masks of ``bits`` bits drawn at random from all ``64 * words``."""
-    rng = random.Random(seed)
-    out = []
-    for _ in range(count):
-        mask = [0] * words
-        for b in rng.sample(range(64 * words), bits):
-            mask[b // 64] |= 1 << (b % 64)
-        out.append(tuple(mask))
-    return out
-
-
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
@@ -239,24 +225,14 @@ def links(prints: DataFrame, names: list[str], radius: int, masks: list[tuple[in
 
 
 def near_groups(
-    df: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle: int = 4,
-    radius: int = 4,
-    words: int = 1,
-    masks: list[tuple[int, ...]] | None = None,
-    percent: int | None = None,
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4
 ) -> DataFrame:
-    """One row per row: ``id``, ``tk`` (text hash), ``f0..`` (fingerprint) and ``component``.
+    """One row per row: ``id``, ``tk`` (text hash), ``f0`` (fingerprint), ``root`` and ``component``.
 
-    A fingerprint has ``64 * words`` bits, each set if more than half of the hashes of the
-    word shingles have it set. Fingerprints within ``radius`` bits are linked; ``component``
-    is the smallest id reachable by links. Without ``masks`` and with ``words`` = 1 all links
-    are found: fingerprints that share enough whole blocks of bits meet (see
-    :func:`block_masks`). With random masks (:func:`sampled_masks`) those pairs are compared
-    that agree under one of them. With ``percent`` all pairs are linked as well whose shingle
-    sets have a Jaccard similarity of at least ``percent`` / 100 (see :mod:`quarry.llm.overlap`).
+    A fingerprint has 64 bits, each set if more than half of the hashes of the word shingles
+    have it set. All fingerprints within ``radius`` bits are linked: those that share enough
+    whole blocks of bits meet (see :func:`block_masks`). ``component`` is the smallest id
+    reachable by links, ``root`` a fingerprint that names the group.
 
     A null or empty text has the fingerprint zero and is linked like any other. Null ids take
     part in their component but never name it, unless all are null. Repeated rows get equal
@@ -267,71 +243,56 @@ def near_groups(
     tiles whose bit counts differ by more than the radius never meet, and a task keeps only
     as many links as it has rows.
     """
-    names = [f"f{k}" for k in range(words)]
-    if masks is None:
-        if words != 1:
-            raise ValueError("fingerprints of several words need masks")
-        masks = block_masks(radius, 2)
-    if percent is None:
-        prints = written(fingerprints(df, id_col, text_col, shingle, words), "fingerprints")
-    else:
-        prints = written(overlap.signed_sets(df, id_col, text_col, shingle, words, percent), "fingerprints")
-    node = F.col("f0") if words == 1 else F.xxhash64(*names)
-    nodes = written(
-        prints.groupBy(*names).agg(F.min("id").alias("least_id")).withColumn("node", node), "distinct-fingerprints"
-    )
-    found = links(nodes.select(*names), names, radius, masks)
-    ends = [F.col(f"{s}0") if words == 1 else F.xxhash64(*[f"{s}{k}" for k in range(words)]) for s in "ab"]
-    roots = written(components(found.select(ends[0].alias("a"), ends[1].alias("b"))), "components")
-    if percent is not None:
-        more = overlap.joined_roots(df, text_col, shingle, prints.withColumn("node", node), roots, percent)
-        roots = written(more, "joined-components")
+    prints = written(fingerprints(df, id_col, text_col, shingle, 1), "fingerprints")
+    nodes = written(prints.groupBy("f0").agg(F.min("id").alias("least_id")), "distinct-fingerprints")
+    found = links(nodes.select("f0"), ["f0"], radius, block_masks(radius, 2))
+    roots = written(components(found.select(F.col("a0").alias("a"), F.col("b0").alias("b"))), "components")
     # nodes without a link are their own component
-    joined = nodes.join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
+    joined = nodes.join(roots, F.col("f0") == F.col("node"), "left")
     linked = written(
-        joined.filter(F.col("n").isNotNull()).groupBy("root").agg(F.min("least_id").alias("component")), "named"
+        joined.filter(F.col("node").isNotNull()).groupBy("root").agg(F.min("least_id").alias("component")), "named"
     ).withColumnRenamed("root", "r")
     named = joined.join(linked, F.col("root") == F.col("r"), "left").select(
-        *[F.col(n).alias(f"k_{n}") for n in names],
-        F.when(F.col("n").isNull(), F.col("least_id")).otherwise(F.col("component")).alias("component"),
+        F.col("f0").alias("k"),
+        F.coalesce("root", "f0").alias("root"),
+        F.when(F.col("node").isNull(), F.col("least_id")).otherwise(F.col("component")).alias("component"),
     )
-    cond = [F.col(n) == F.col(f"k_{n}") for n in names]
-    return prints.join(written(named, "classes"), cond).select("id", "tk", *names, "component")
+    return prints.join(written(named, "classes"), F.col("f0") == F.col("k")).select("id", "tk", "f0", "root", "component")
 
 
-def hex_of(words: int = 1) -> Column:
-    """The fingerprint as 16 lower-case hex digits per word."""
-    return F.concat(*[F.lpad(F.lower(F.hex(f"f{k}")), 16, "0") for k in range(words)])
+def hex_of() -> Column:
+    """The fingerprint as 16 lower-case hex digits."""
+    return F.lpad(F.lower(F.hex("f0")), 16, "0")
 
 
 def keep_one(
-    df: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle: int = 5,
-    radius: int = 24,
-    words: int = 2,
-    masks: list[tuple[int, ...]] | None = None,
-    percent: int = 80,
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4
 ) -> DataFrame:
-    """The rows of ``df`` with one document of each group of near copies: that of the smallest id.
+    """The rows of ``df`` with one document of each group of :func:`near_groups`: that of the smallest id.
 
-    Every pair with a Jaccard similarity of ``percent`` / 100 or more over five-word shingles is
-    linked. Fingerprints alone cannot promise that (at 0.8, 128 bits differ in 19.5 places on
-    average, standard deviation 4): the pairs that they leave apart are found by an exact join
-    of shingle sets. Fingerprints within ``radius`` that agree under a mask are linked besides.
+    Of rows with null ids a group keeps one (least text hash) only if it has no other ids. Of
+    rows of one id with different texts in one group the one of least text hash stays; in
+    different groups each stands for its group. Rows that repeat an id and text (null and
+    empty are one text) count as copies, one stays.
 
-    Of rows with null ids a group keeps one (least text hash) if it has no other ids. Rows
-    that repeat an id and text count as copies, one stays.
+    Plan: what goes is named by id and text hash, in a table without texts. Only rows that
+    repeat an id and text are shuffled, to keep one of them.
     """
-    masks = masks if masks is not None else sampled_masks(words, 14, 48)
-    groups = near_groups(df, id_col, text_col, shingle, radius, words, masks, percent)
-    first = groups.filter(F.col("id").eqNullSafe(F.col("component")))
-    named = first.filter(F.col("id").isNotNull()).groupBy("id").agg(F.min("tk").alias("tk"))
-    names = [f"f{k}" for k in range(words)]
-    nameless = first.filter(F.col("id").isNull()).groupBy(*names).agg(F.first("id").alias("id"), F.min("tk").alias("tk"))
-    winners = written(named.select("id", "tk").unionByName(nameless.select("id", "tk")), "winners")
-    winners = winners.select(F.col("id").alias("__id"), F.col("tk").alias("__tk"))
-    cond = F.col(quoted(id_col)).eqNullSafe(F.col("__id")) & (F.xxhash64(text_of(text_col)) == F.col("__tk"))
-    kept = df.join(winners, cond, "left_semi")
-    return kept.dropDuplicates([id_col, text_col])
+    groups = near_groups(df, id_col, text_col, shingle, radius)
+    pairs = written(groups.groupBy("root", "id", "tk").agg(F.count("*").alias("n")), "pairs")
+    first = pairs.groupBy(F.col("root").alias("r")).agg(
+        F.min(F.struct(F.col("id").isNull().alias("last"), "id", "tk")).alias("first")
+    )
+    judged = pairs.join(first, F.col("root") == F.col("r"))
+    wins = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("tk") == F.col("first.tk"))
+    judged = written(judged.select("id", "tk", wins.alias("wins"), "n"), "judged")
+    key, mark = fresh(df, "key"), fresh(df, "mark")
+    own = F.xxhash64(text_of(text_col))
+
+    def named(rows: DataFrame) -> tuple[DataFrame, Column]:
+        rows = rows.select(F.col("id").alias(key), F.col("tk").alias(mark))
+        return rows, F.col(quoted(id_col)).eqNullSafe(F.col(key)) & (own == F.col(mark))
+
+    alone = df.join(*named(judged.filter("not wins or n > 1")), "left_anti")
+    repeated = df.join(*named(judged.filter("wins and n > 1")), "left_semi").withColumn(mark, own)
+    return alone.unionByName(repeated.dropDuplicates([id_col, mark]).drop(mark))

@@ -118,6 +118,17 @@ def test_simhash(docs, empty):
     assert simhash.near_groups(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
+def test_simhash_rows_of_one_id(spark):
+    """An id with two texts stands for both groups; a null and an empty text are one."""
+    other = " ".join(f"other{i}" for i in range(60))
+    rows = [(1, WORDS, 0), (1, other, 1), (2, other, 2), (3, None, 3), (3, "", 4), (None, WORDS, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __key int").withColumn("__mark", F.lit("own"))
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    got = sorted((r["doc_id"], r["text"] or "") for r in kept.collect())
+    assert got == sorted([(1, WORDS), (1, other), (3, "")])
+
+
 def test_simhash_tiles(spark, monkeypatch):
     """Crowded keys cut into tiles give the components of all pairs."""
     import itertools

@@ -1,17 +1,14 @@
 """The pipeline, stage by stage, against brute-force versions on whole tables."""
 
-import itertools
 import re
 
 import duckdb
-import numpy as np
 import pandas as pd
 
 import corpus_pipeline
-from quarry.llm import simhash
 from quarry.llm.queries import SQL
 from quarry.session import shared_path
-from test_twins import local_alignment
+from test_twins import groups_of, local_alignment, simhash_of
 
 
 def sql_over(docs: pd.DataFrame, name: str) -> pd.DataFrame:
@@ -32,21 +29,8 @@ def cleaned(docs: pd.DataFrame) -> dict[int, str]:
 
 
 def first_of_groups(docs: pd.DataFrame) -> set[int]:
-    prints = {i: simhash.fingerprint((t or "").encode(), 5, 2) for i, t in zip(docs.doc_id, docs.text)}
-    masks = np.array(simhash.sampled_masks(2, 14, 48), np.uint64)
-    root = {i: i for i in prints}
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for a, b in itertools.combinations(sorted(prints), 2):
-        x = prints[a] ^ prints[b]
-        if np.bitwise_count(x).sum() <= 24 and ((masks & x[None, :]) == 0).all(1).any():
-            lo, hi = sorted((find(a), find(b)))
-            root[hi] = lo
-    return {find(i) for i in prints}
+    prints = {i: simhash_of(t) for i, t in zip(docs.doc_id, docs.text)}
+    return set(groups_of(prints, 4).values())
 
 
 def contaminated(docs: pd.DataFrame, items: pd.DataFrame) -> set[int]:
