@@ -52,7 +52,11 @@ def bin_of(x: Column, lo: float, hi: float, bins: int) -> Column:
 
 
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
-    """Counts per equal-width bin between the column's min and max, empty bins as 0; no bins without a value."""
+    """Counts per equal-width bin between the column's min and max, empty bins as 0; no bins without a value.
+
+    Nulls and NaN lie in no bin.
+    """
+    df = df.filter(~F.isnan(F.col(col).cast("double")))
     lo, hi = df.agg(F.min(F.col(col).cast("double")), F.max(F.col(col).cast("double"))).first()
     if lo is None:
         return df.sparkSession.createDataFrame([], "bin int, left_edge double, cnt long")
@@ -95,8 +99,12 @@ def density_histogram(df: DataFrame, col: str, edges: Sequence[float]) -> DataFr
 
 
 def histogram2d(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
-    """Counts of the occupied cells of a bins x bins grid."""
+    """Counts of the occupied cells of a bins x bins grid; rows with a null or NaN lie in none."""
+    for c in (x, y):
+        df = df.filter(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")))
     r = df.agg(*[f(F.col(c).cast("double")) for c in (x, y) for f in (F.min, F.max)]).first()
+    if r[0] is None:
+        return df.sparkSession.createDataFrame([], "bx int, by int, cnt long")
     return df.groupBy(
         bin_of(F.col(x), r[0], r[1], bins).alias("bx"), bin_of(F.col(y), r[2], r[3], bins).alias("by")
     ).agg(F.count("*").alias("cnt"))

@@ -19,7 +19,8 @@ HEX_DIGITS = 13  # 52 bits: exact in a double
 
 
 def _digest(id_col: str, seed: int) -> Column:
-    return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
+    # a null id is an id of its own, so that its rows are in some fold
+    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(f":{seed}")))
 
 
 def hash_key(id_col: str, seed: int) -> Column:

@@ -148,7 +148,8 @@ class Cells:
         return np.minimum(a, b)
 
     def reachable(self, dq: np.ndarray, within: np.ndarray) -> np.ndarray:
-        """Boolean (row, cell): the cell may hold a row closer than ``within``."""
+        """Boolean (row, cell): the cell may hold a row closer than ``within`` (per row or per row and cell)."""
+        within = within if within.ndim == 2 else within[:, None]
         lower = dq - self.radius[None, :]
         own = dq.argmin(1)
         gap = self.gaps[own]
@@ -156,8 +157,8 @@ class Cells:
         with np.errstate(divide="ignore", invalid="ignore"):
             plane = (dq**2 - dq.min(1)[:, None] ** 2) / (2 * gap)
         plane = np.where(gap > MARGIN * spread[:, None], plane, -np.inf)
-        limit = within + MARGIN * (within + spread)
-        return (np.maximum(lower, plane) <= limit[:, None]) & (self.count[None, :] > 0)
+        limit = within + MARGIN * (within + spread[:, None])
+        return (np.maximum(lower, plane) <= limit) & (self.count[None, :] > 0)
 
 
 def build_cells(x: DataFrame, n: int, m: int, k: int) -> tuple[DataFrame, Cells]:
@@ -323,6 +324,72 @@ def nearest_neighbours(
     )
 
 
+def _block_within(qid, q, xid, x, radius: float, skip_self: bool):
+    """All rows of one block within the radius of each query, measured directly."""
+    centre = x.mean(0)
+    q0, x0 = q - centre, x - centre
+    reach = float((x0 * x0).sum(1).max())
+    out = []
+    step = max(1, CHUNK // len(x))
+    for a in range(0, len(q), step):
+        part = q0[a : a + step]
+        slack = SLACK * ((part * part).sum(1) + reach)
+        r, c = np.nonzero(squared_distances(part, x0) <= (radius * radius + slack)[:, None])
+        for s in range(0, len(r), 50_000):
+            i, j = a + r[s : s + 50_000], c[s : s + 50_000]
+            diff = q[i] - x[j]
+            d = np.sqrt((diff * diff).sum(1))
+            keep = (d <= radius) & ((qid[i] != xid[j]) | (not skip_self))
+            out.append((qid[i[keep]], xid[j[keep]], d[keep]))
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return tuple(np.concatenate(col) for col in zip(*out))
+
+
+def within_radius(
+    queries: DataFrame,
+    data: DataFrame,
+    radius: float,
+    id_col: str = "id",
+    vec_col: str = "features",
+    include_self: bool = True,
+) -> DataFrame:
+    """All rows of ``data`` within ``radius`` of each query: (query_id, neighbor_id, distance), exact.
+
+    Only pairs within the radius leave a task. Beyond the copy bound a query visits the cells
+    that the radius can reach, as in :func:`nearest_neighbours`.
+    """
+    spark = data.sparkSession
+    x, q = slim(data, id_col, vec_col), slim(queries, id_col, vec_col)
+    n, m = extent(x)
+    names, skip = ["query_id", "neighbor_id", "distance"], not include_self
+    if n == 0:
+        return spark.createDataFrame([], NEIGHBOURS)
+
+    def table_of(found):
+        return [pa.array(f, t) for f, t in zip(found, (pa.int64(), pa.int64(), pa.float64()))]
+
+    if fits(spark, n, m):
+        shared = spark.sparkContext.broadcast(fetch(x))
+
+        def scan(batches):
+            for b, v in batches_to_matrices(batches, "v"):
+                found = _block_within(b.column("id").to_numpy(), v, *shared.value, radius, skip)
+                yield pa.RecordBatch.from_arrays(table_of(found), names=names)
+
+        return spread_small(q, n, m, n * m).mapInArrow(scan, NEIGHBOURS)
+    placed, cells = build_cells(x, n, m, 1)
+
+    def match(left, right):
+        none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        some = left.num_rows and right.num_rows
+        found = _block_within(*_unpack(left), *_unpack(right), radius, skip) if some else none
+        return pa.Table.from_arrays(table_of(found), names=names)
+
+    reach = lambda dq, _: np.full(len(dq), float(radius))
+    return visit_blocks(q, placed, cells, reach).applyInArrow(match, NEIGHBOURS)
+
+
 SUMS = "id long, shift array<double>, total array<double>"
 
 

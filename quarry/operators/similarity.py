@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from quarry.functions.vectors import batches_to_matrices, from_matrix
 from quarry.operators import topk
 from quarry.operators.encode import binarize
-from quarry.operators.pairs import similarity_matrix, squared_distances
+from quarry.operators.pairs import nearest_neighbours, similarity_matrix, squared_distances, within_radius
 
 
 def _ratio(a, b):
@@ -56,8 +59,6 @@ def similarity(xs: DataFrame, ys: DataFrame, method: str, id_col: str = "id", ve
 
 def to_one(df: DataFrame, query_id: int, method: str, id_col: str = "id", vec_col: str = "features") -> DataFrame:
     """One object against all others: the query row alone is copied to the tasks."""
-    from pyspark.sql import functions as F
-
     query = df.filter(F.col(id_col) == query_id)
     others = df.filter(F.col(id_col) != query_id)
     return similarity(others, query, method, id_col, vec_col)
@@ -65,3 +66,57 @@ def to_one(df: DataFrame, query_id: int, method: str, id_col: str = "id", vec_co
 
 def most_and_least_similar(df: DataFrame, query_id: int, k: int, method: str, id_col: str = "id", vec_col: str = "features") -> DataFrame:
     return topk.most_and_least(to_one(df, query_id, method, id_col, vec_col), "sim", k, "x_id")
+
+
+def _directions(df: DataFrame, method: str, id_col: str, vec_col: str) -> DataFrame:
+    """Rows of length 1 (id, features), centred first for correlation; rows without a direction go."""
+    kind = df.schema[id_col].dataType.simpleString()
+    rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+
+    def scale(batches):
+        for b, v in batches_to_matrices(batches, "v"):
+            if method == "cor":
+                v = v - v.mean(1, keepdims=True)
+            norm = np.sqrt((v * v).sum(1))
+            some = norm > 0
+            ids = b.column("id").filter(pa.array(some))
+            yield pa.RecordBatch.from_arrays([ids, from_matrix(v[some] / norm[some, None])], names=["id", "features"])
+
+    return rows.mapInArrow(scale, f"id {kind}, features array<double>")
+
+
+def _method(method: str) -> str:
+    key = method[:3].lower()
+    if key not in ("cos", "cor"):
+        raise ValueError(f"{method!r} is not an angle; use similarity()")
+    return key
+
+
+def similar_pairs(
+    xs: DataFrame, ys: DataFrame, threshold: float, method: str = "cos", id_col: str = "id", vec_col: str = "features"
+) -> DataFrame:
+    """Pairs (x_id, y_id, sim) whose cosine or correlation is at least ``threshold``; no others leave a task.
+
+    Between rows of length 1 a similarity s is a distance of sqrt(2 - 2 s), so the join is one
+    within a radius and skips what the triangle inequality rules out. Rows without a direction
+    (zero, or constant for correlation) are similar to none. Two rows of one table and their
+    mirror image are two pairs.
+    """
+    key = _method(method)
+    x, y = (_directions(df, key, id_col, vec_col) for df in (xs, ys))
+    radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-7)
+    near = within_radius(x, y, radius, "id", "features")
+    sim = 1 - F.col("distance") * F.col("distance") / 2
+    found = near.select(F.col("query_id").alias("x_id"), F.col("neighbor_id").alias("y_id"), sim.alias("sim"))
+    return found.filter(F.col("sim") >= threshold)
+
+
+def most_similar(
+    xs: DataFrame, ys: DataFrame, k: int, method: str = "cos", id_col: str = "id", vec_col: str = "features"
+) -> DataFrame:
+    """The ``k`` rows of ``ys`` of highest cosine or correlation for each of ``xs``: (x_id, rank, y_id, sim)."""
+    key = _method(method)
+    x, y = (_directions(df, key, id_col, vec_col) for df in (xs, ys))
+    near = nearest_neighbours(x, y, k, "id", "features")
+    sim = 1 - F.col("distance") * F.col("distance") / 2
+    return near.select(F.col("query_id").alias("x_id"), "rank", F.col("neighbor_id").alias("y_id"), sim.alias("sim"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.vectors import pack
-from quarry.operators import density, folds, neighbours, pairs, reduce, similarity, topk
+from quarry.operators import approximate, density, folds, neighbours, pairs, reduce, similarity, topk
 from quarry.operators.encode import centre_vectors
 from quarry.plans.registry import SQL, query, rounded
 from quarry.session import table
@@ -366,18 +366,53 @@ def d6_all(spark, d):
     return rounded(reduce.sweep_components(x.filter("fold <> 0"), x.filter("fold = 0"), [64], "label", "vec_id"))
 
 
+# --- bounded output: a threshold or the best k instead of the whole matrix --------------
+_COS_PAIRS = _X + """ SELECT a.vec_id AS x_id, b.vec_id AS y_id, round(list_cosine_similarity(a.v, b.v), 6) + 0.0 AS sim
+    FROM e a JOIN e b ON list_cosine_similarity(a.v, b.v) >= 0.35"""
+
+
+@query("m7_similar_pairs", _COS_PAIRS)
+def m7_pairs(spark, d):
+    x = _emb(spark, d)
+    return rounded(similarity.similar_pairs(x, x, 0.35, "cos", "vec_id"))
+
+
+@query(
+    "m7_most_correlated",
+    _X + """, z AS (SELECT vec_id, list_transform(v, lambda a: a - list_avg(v)) AS v FROM e),
+    s AS (SELECT a.vec_id AS x_id, b.vec_id AS y_id, list_cosine_similarity(a.v, b.v) AS c FROM z a CROSS JOIN z b)
+    SELECT x_id, CAST(row_number() OVER (PARTITION BY x_id ORDER BY c DESC, y_id) AS INT) AS rank, y_id, round(c, 6) + 0.0 AS sim
+    FROM s QUALIFY rank <= 3""",
+)
+def m7_most(spark, d):
+    x = _emb(spark, d)
+    return rounded(similarity.most_similar(x, x, 3, "cor", "vec_id"))
+
+
+@query("m9_approximate_neighbours")
+def m9_near(spark, d):
+    """Random projection tables; the tests hold its recall against the exact neighbours."""
+    x = _emb(spark, d)
+    return rounded(approximate.approximate_neighbours(x, x, 5, "vec_id"))
+
+
 # --- the shuffled plans: as if nothing were small enough to copy -----------------------
 def _in_cells(fn):
     def run(spark, d):
+        before = spark.conf.get("quarry.broadcast.bytes", None)
         spark.conf.set("quarry.broadcast.bytes", "60000")
         try:
             return fn(spark, d)
         finally:
-            spark.conf.unset("quarry.broadcast.bytes")
+            if before is None:
+                spark.conf.unset("quarry.broadcast.bytes")
+            else:
+                spark.conf.set("quarry.broadcast.bytes", before)
 
     return run
 
 
 query("m9_neighbours_in_cells", SQL["m9_nearest_neighbours"])(_in_cells(m9))
+query("m7_similar_pairs_in_cells", _COS_PAIRS)(_in_cells(m7_pairs))
 query("o1_kernel_density_in_cells", SQL["o1_kernel_density"])(_in_cells(o1))
 query("o4_neighbour_density_in_cells", SQL["o4_neighbour_density"])(_in_cells(o4))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.operators import encode, rules, text
+from quarry.operators import approximate, encode, rules, text
 from quarry.plans.registry import query, rounded
 from quarry.session import table
 from quarry.sources import text as sources
@@ -122,6 +122,20 @@ def n4(spark, d):
     return text.bag_of_words(_docs(spark, d), stop=STOP, stem=True)
 
 
+@query(
+    "m2_similar_bags",
+    _words_sql("documents", "doc_id", STOP)
+    + """, s AS (SELECT DISTINCT doc_id, term FROM bag), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.term = y.term AND x.doc_id < y.doc_id GROUP BY 1, 2)
+    SELECT a, b, round(c.c / (x.n + y.n - c.c)::DOUBLE, 6) AS sim FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+    WHERE 100 * c.c >= 80 * (x.n + y.n - c.c)""",
+)
+def m2_bags(spark, d):
+    """Documents whose sets of terms are alike, without a pair table."""
+    bag = text.bag_of_words(_docs(spark, d), stop=STOP)
+    return rounded(approximate.similar_sets(bag, 80, "doc_id", "term"))
+
+
 @query("n5_vocabulary", _words_sql("documents", "doc_id", STOP) + " SELECT term, row_number() OVER (ORDER BY encode(term)) - 1 AS idx FROM (SELECT DISTINCT term FROM bag)")
 def n5(spark, d):
     return text.vocabulary(text.bag_of_words(_docs(spark, d), stop=STOP))

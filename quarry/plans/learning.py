@@ -258,6 +258,18 @@ def c7(spark, d):
     return rounded(hierarchy.linkage_table(tree).select("merge", "height"), 4)
 
 
+@query(
+    "c7_linkage_across_cells",
+    """WITH s AS (SELECT o_orderkey, o_totalprice::DOUBLE AS v, lag(o_totalprice::DOUBLE) OVER (ORDER BY o_totalprice, o_orderkey) AS p FROM orders)
+    SELECT row_number() OVER (ORDER BY v - p) - 1 AS merge, round(v - p, 3) AS height FROM s WHERE p IS NOT NULL""",
+)
+def c7_cells(spark, d):
+    """More rows than one block holds: trees of cells, and of the rows along their borders."""
+    o = table(spark, d, "orders").select("o_orderkey", pack(["o_totalprice"]))
+    tree = hierarchy.spanning_tree(o, "o_orderkey")
+    return rounded(hierarchy.linkage_table(tree).select("merge", "height"), 3)
+
+
 @query("c5_single_linkage")
 def c5(spark, d):
     x = _emb(spark, d)

@@ -64,7 +64,11 @@ def test_bag_of_documents(spark, tmp_path):
     best = docs.filter(docs["doc_id"] == ranked[0]["doc_id"]).first()["text"]
     assert best == DOCS[2]
     vec, vocab = text.bag_vectors(bag)
-    assert vocab == terms
+    assert [r["term"] for r in vocab.orderBy("idx").collect()] == terms
+    place = {t: i for i, t in enumerate(terms)}
+    counts = {(r["doc_id"], place[r["term"]]): r["cnt"] for r in bag.collect()}
+    assert {(r["doc_id"], int(i)): v for r in vec.collect() for i, v in zip(r["features"].indices, r["features"].values)} == counts
+    assert {r["features"].size for r in vec.collect()} == {len(terms)}
     assert sum(r["features"].values.sum() for r in vec.collect()) == bag.groupBy().sum("cnt").first()[0]
 
 
