@@ -236,6 +236,163 @@ def train_networks(
     )
 
 
+@dataclass
+class _Walk:
+    """Adam state of one network, as of the last pass."""
+
+    shape: Shape
+    fold: int
+    w: np.ndarray
+    m: np.ndarray
+    v: np.ndarray
+    steps: float
+    rate: float
+    best: float = np.inf
+    waited: int = 0
+    cuts: int = 0
+    history: list = field(default_factory=list)
+    done: bool = False
+
+    def after(self, loss: float, tol: float, patience: int, cuts: int) -> None:
+        """A pass is over: without progress for ``patience`` passes the rate is cut, in the end training stops."""
+        self.history.append(loss)
+        if not np.isfinite(loss):
+            self.done = True
+        elif loss < self.best - tol * abs(self.best if np.isfinite(self.best) else 0.0):
+            self.best, self.waited = loss, 0
+        else:
+            self.waited += 1
+            if self.waited >= patience:
+                self.waited, self.cuts, self.rate = 0, self.cuts + 1, self.rate / 4
+                self.done = self.cuts > cuts
+
+
+def _adam_steps(walk: _Walk, x, y, rows: int, l2: float):
+    """One Adam step per ``rows`` rows; returns the summed loss before each step."""
+    total = 0.0
+    for a in range(0, len(x), rows):
+        part = x[a : a + rows]
+        loss, g = walk.shape.loss_and_gradient(walk.w, part, y[a : a + rows])
+        total += loss
+        g = g / len(part) + l2 * walk.w
+        walk.steps += 1
+        walk.m = 0.9 * walk.m + 0.1 * g
+        walk.v = 0.999 * walk.v + 0.001 * g * g
+        m = walk.m / (1 - 0.9**walk.steps)
+        v = walk.v / (1 - 0.999**walk.steps)
+        walk.w = walk.w - walk.rate * m / (np.sqrt(v) + 1e-8)
+    return total
+
+
+def train_adam(
+    df: DataFrame,
+    layers: Sequence[Sequence[int]],
+    label: str = "label",
+    vec_col: str = "features",
+    fold: str | None = None,
+    classes: int | None = None,
+    batch_rows: int = 200,
+    rate: float = 1e-3,
+    epochs: int = 500,
+    tol: float = 1e-4,
+    patience: int = 10,
+    cuts: int = 4,
+    l2: float = 0.0,
+    seed: int = 0,
+) -> dict[tuple[int, ...], Trained]:
+    """Networks with the hidden ``layers`` of each entry, trained by Adam: entry -> best networks and curves.
+
+    All entries and folds train together, one pass over the rows per epoch. In a pass every
+    task walks through its rows in mini-batches of ``batch_rows``, drawn anew by (seed, epoch),
+    from the weights and moments of the last pass; the driver averages weights and moments of
+    the tasks by their rows. With one partition that is Adam itself, with more it is Adam with
+    averaging after each epoch. A network stops when its epoch loss (mean before each step)
+    has not fallen by ``tol`` for ``patience`` epochs after the rate was cut ``cuts`` times to a
+    quarter, or after ``epochs``; the others go on. Network ``loss`` is that of the final weights.
+
+    A task that runs again repeats its steps: the draw depends on the rows' place in the
+    written table alone. Tasks hold one Arrow batch of rows and the networks.
+    """
+    spark = df.sparkSession
+    slim = df.select(
+        F.col(vec_col).cast("array<double>").alias("x"),
+        F.col(label).cast("double").alias("y"),
+        (F.col(fold).cast("int") if fold else F.lit(0)).alias("k"),
+    )
+    found = slim.groupBy("k").agg(F.count("*").alias("n"), F.max(F.size("x")).alias("m")).collect()
+    if not found:
+        raise ValueError("empty table")
+    sizes, m = {r["k"]: r["n"] for r in found}, max(r["m"] for r in found)
+    total = sum(sizes.values())
+    entries = list(dict.fromkeys(tuple(h) for h in layers))
+    walks = []
+    for hidden in entries:
+        shape = Shape((m, *hidden, classes or 1), softmax=bool(classes))
+        for f in sorted(sizes) if fold else [-1]:
+            w = shape.start(np.random.default_rng([seed, f + 1, *hidden]))
+            walks.append(_Walk(shape, f, w, np.zeros_like(w), np.zeros_like(w), 0.0, rate))
+    slim = cut_lineage(spread_small(slim, total, m, sum(len(w.w) for w in walks)), "network")
+
+    def one_pass(kernel):
+        return sum_by_slot(slim, kernel)
+
+    for epoch in range(epochs):
+        live = [(i, w) for i, w in enumerate(walks) if not w.done]
+        if not live:
+            break
+
+        def walk_rows(batches, live=live, epoch=epoch):
+            own = {i: _Walk(w.shape, w.fold, w.w, w.m, w.v, w.steps, w.rate) for i, w in live}
+            rows, loss = dict.fromkeys(own, 0), dict.fromkeys(own, 0.0)
+            for at, b in enumerate(batches):
+                if not b.num_rows:
+                    continue
+                order = np.random.default_rng([seed, epoch, at]).permutation(b.num_rows)
+                x, y, k = to_matrix(b.column("x"))[order], b.column("y").to_numpy()[order], b.column("k").to_numpy()[order]
+                for i, w in own.items():
+                    use = k != w.fold
+                    if use.any():
+                        loss[i] += _adam_steps(w, x[use], y[use], batch_rows, l2 / max(1, total - sizes.get(w.fold, 0)))
+                        rows[i] += int(use.sum())
+            for i, w in own.items():
+                if rows[i]:
+                    yield i, np.concatenate([[rows[i], loss[i], rows[i] * w.steps], rows[i] * w.w, rows[i] * w.m, rows[i] * w.v])
+
+        sums = one_pass(walk_rows)
+        for i, w in live:
+            if i not in sums:  # no row outside its fold
+                w.done = True
+                continue
+            n, loss = sums[i][:2]
+            w.steps = sums[i][2] / n
+            w.w, w.m, w.v = sums[i][3:].reshape(3, -1) / n
+            w.after(float(loss / n), tol, patience, cuts)
+
+    def measure(batches):
+        acc = {}
+        for b in batches:
+            if b.num_rows:
+                x, y, k = to_matrix(b.column("x")), b.column("y").to_numpy(), b.column("k").to_numpy()
+                for i, w in enumerate(walks):
+                    use = k != w.fold
+                    if use.any():
+                        acc[i] = acc.get(i, 0) + np.array([w.shape.loss_and_gradient(w.w, x[use], y[use])[0], use.sum()])
+        yield from acc.items()
+
+    final = one_pass(measure)
+    out = {}
+    for hidden in entries:
+        mine = [(i, w) for i, w in enumerate(walks) if w.shape.sizes[1:-1] == hidden]
+        nets = {}
+        for i, w in mine:
+            held = final.get(i, np.array([np.nan, 1.0]))
+            n = max(1, total - sizes.get(w.fold, 0))
+            nets[w.fold] = Network(w.shape, w.w, float(held[0] / held[1] + 0.5 * l2 / n * (w.w @ w.w)))
+        curve = [(w.fold, 0, e, float(v)) for _, w in mine for e, v in enumerate(w.history)]
+        out[hidden] = Trained(nets, spark.createDataFrame(curve, "fold int, restart int, epoch int, loss double"))
+    return out
+
+
 def predict_by_fold(df: DataFrame, trained: Trained, vec_col: str = "features", fold: str = "fold") -> DataFrame:
     """Each row scored by the network that did not see its fold."""
     nets = trained.networks

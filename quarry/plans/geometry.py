@@ -184,6 +184,13 @@ def d1(spark, d):
     return rounded(pca.table(spark, ["l_quantity", "price"]), 5)
 
 
+@query("d1_leading_components", SQL["d1_components"])
+def d1_leading(spark, d):
+    """Subspace iteration instead of the whole scatter matrix."""
+    x = _plane(spark, d).select(pack(["l_quantity", "price"]))
+    return rounded(reduce.fit_leading(x, 2).table(spark, ["l_quantity", "price"]), 5)
+
+
 @query(
     "d2_explained_variance",
     _EIG + " SELECT 0 AS pc, round(l1 / (l1 + l2), 6) AS ratio, round(l1 / (l1 + l2), 6) AS cumulative FROM s UNION ALL SELECT 1, round(l2 / (l1 + l2), 6), 1.0::DOUBLE FROM s",

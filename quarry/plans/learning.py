@@ -135,6 +135,19 @@ def l16(spark, d):
     return evaluate.error_rate(networks.predict_by_fold(x, net), "label", "prediction", ["fold"])
 
 
+@query("l16_network_adam")
+def l16_adam(spark, d):
+    """Sixteen pairs of hidden layers on three folds, trained together to their own stopping rule."""
+    x = folds.kfold_shuffled(_quality(spark, d), 3, "doc_id", 2)
+    pairs_ = [(a, b) for a in (2, 4, 6, 8) for b in (2, 4, 6, 8)]
+    out = None
+    for hidden, net in networks.train_adam(x, pairs_, fold="fold", classes=2, rate=0.05, tol=5e-3, patience=3, cuts=1).items():
+        error = evaluate.error_rate(networks.predict_by_fold(x, net), "label", "prediction", ["fold"])
+        part = error.select(F.lit(hidden[0]).alias("first"), F.lit(hidden[1]).alias("second"), *error.columns)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _regression(spark, d):
     x = folds.kfold_shuffled(_quality(spark, d), 3, "doc_id", 2)
     return x, networks.train_networks(x, [3], fold="fold", restarts=2, goal=0.01, epochs=15)

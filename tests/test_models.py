@@ -324,3 +324,45 @@ def test_null_features_are_refused(spark):
     with pytest.raises(Exception, match="null feature value"):
         gram(df, ["a"])
     assert pack(["a"]) is not None
+
+
+def test_adam_reaches_the_optimum(spark):
+    """Without hidden layers the optimum is unique: L-BFGS and Adam agree on it; stopping is its own."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (240, 3))
+    y = (x[:, 0] + x[:, 1] * 0.5 + rng.normal(0, 0.8, 240) > 0).astype(float)
+    df = frame(spark, x, y)
+    want = networks.train_networks(df, [], classes=2, epochs=60, l2=1.0).networks[-1].loss
+    got = networks.train_adam(df.coalesce(1), [(), (3, 2)], classes=2, batch_rows=60, rate=0.1, patience=3, l2=1.0, epochs=150)
+    assert got[()].networks[-1].loss == pytest.approx(want, rel=0.01)
+    assert got[(3, 2)].networks[-1].loss < 1.05 * want
+    curve = [r["loss"] for r in got[()].curve.orderBy("epoch").collect()]
+    assert len(curve) < 150 and curve[-1] < curve[0]
+    again = networks.train_adam(df.coalesce(1), [()], classes=2, batch_rows=60, rate=0.1, epochs=3, fold="fold")
+    assert sorted(again[()].networks) == [0, 1, 2, 3] and again[()].curve.count() == 12
+
+
+def test_leading_components(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (150, 64)) * np.linspace(3, 0.1, 64) + 5
+    df = frame(spark, x, np.zeros(150)).select("id", "features")
+    whole = reduce.fit_components(df.select("features"), vec_col="features")
+    some = reduce.fit_leading(df, 4, passes=15)
+    assert np.allclose(some.variance, whole.variance[:4], rtol=1e-6)
+    assert np.allclose(some.loadings, whole.loadings[:, :4], atol=1e-3)
+    assert some.total == pytest.approx(whole.variance.sum())
+    a = [r["ratio"] for r in some.ratio(spark).orderBy("pc").collect()]
+    assert np.allclose(a, whole.variance[:4] / whole.variance.sum(), rtol=1e-6)
+
+
+def test_components_of_wide_rows(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(0, 1, (60, 3)) @ rng.normal(0, 1, (3, 5_000)) + rng.normal(0, 0.01, (60, 5_000))
+    df = frame(spark, x, np.zeros(60)).select("id", "features")
+    pca = reduce.fit_leading(df, 3)
+    _, s, vt = np.linalg.svd(x - x.mean(0), full_matrices=False)
+    assert np.allclose(pca.variance, s[:3] ** 2, rtol=1e-6)
+    got = {r["id"]: r["scores"] for r in pca.project(df, 2).select("id", "scores").collect()}
+    want = (x - x.mean(0)) @ pca.loadings[:, :2]
+    assert np.allclose([got[i] for i in range(60)], want)
+    assert np.allclose(np.abs((vt[:3] * pca.loadings.T).sum(1)), 1, atol=1e-6)
