@@ -27,7 +27,7 @@ def vote(nn: DataFrame, labels: DataFrame, ks: Sequence[int]) -> DataFrame:
 
 
 def _labels(df: DataFrame, id_col: str, label: str, name: str) -> DataFrame:
-    return df.select(F.col(id_col).cast("long").alias(name), F.col(label).alias("label"))
+    return df.select(F.col(id_col).alias(name), F.col(label).alias("label"))
 
 
 def classify(

@@ -11,16 +11,19 @@ unreduced. Results are exact; pruning only skips provably irrelevant cells.
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, wraps
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quarry.functions.ranking import with_row_index
 from quarry.functions.vectors import batches_to_matrices, from_matrix, to_matrix
 from quarry.session import broadcast_limit, cut_lineage, spread_small
 
@@ -31,6 +34,53 @@ SLACK = 1e-9  # share of the squared norms by which an expanded product may be o
 MARGIN = 1e-6  # share of the spread added to every bound before a cell is ruled out
 
 
+def whole_ids(df: DataFrame, id_col: str) -> bool:
+    return isinstance(df.schema[id_col].dataType, T.IntegralType)
+
+
+def any_ids(*tables: str, out: tuple[str, ...]):
+    """Let an operator that works on whole-number ids take ids of any type that sorts.
+
+    Other ids are numbered in their order (so ties still fall to the smaller id), the operator
+    runs on the numbers, and the columns ``out`` of its result get the ids back. Whole numbers
+    pass through untouched.
+    """
+
+    def wrap(fn):
+        signature = inspect.signature(fn)
+
+        @wraps(fn)
+        def run(*args, **kwargs):
+            bound = signature.bind(*args, **kwargs)
+            bound.apply_defaults()
+            given, id_col = bound.arguments, bound.arguments["id_col"]
+            frames = {id(given[t]): given[t] for t in tables}
+            if all(whole_ids(f, id_col) for f in frames.values()):
+                return fn(*args, **kwargs)
+            ids = None
+            for f in frames.values():
+                part = f.select(F.col(id_col).alias("__name"))
+                ids = part if ids is None else ids.unionByName(part)
+            names = with_row_index(ids.distinct(), ["__name"], index="__number").select("__name", "__number")
+            names = cut_lineage(names, "ids")
+            for key, f in frames.items():
+                rest = [F.col("__number").alias(id_col), *[c for c in f.columns if c != id_col]]
+                frames[key] = f.join(names, F.col(id_col).eqNullSafe(F.col("__name"))).select(*rest)
+            given.update({t: frames[id(given[t])] for t in tables})
+            found = fn(*bound.args, **bound.kwargs)
+            table = found[0] if isinstance(found, tuple) else found
+            columns = table.columns
+            for c in out:
+                own = names.select(F.col("__number").alias("__n"), F.col("__name").alias("__own"))
+                table = table.join(own, F.col(c) == F.col("__n")).drop(c, "__n").withColumnRenamed("__own", c)
+            table = table.select(*columns)
+            return (table, *found[1:]) if isinstance(found, tuple) else table
+
+        return run
+
+    return wrap
+
+
 def slim(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
 
@@ -263,6 +313,7 @@ def _unpack(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 NEIGHBOURS = "query_id long, neighbor_id long, distance double"
 
 
+@any_ids("queries", "data", out=("query_id", "neighbor_id"))
 def nearest_neighbours(
     queries: DataFrame,
     data: DataFrame,
@@ -346,6 +397,7 @@ def _block_within(qid, q, xid, x, radius: float, skip_self: bool):
     return tuple(np.concatenate(col) for col in zip(*out))
 
 
+@any_ids("queries", "data", out=("query_id", "neighbor_id"))
 def within_radius(
     queries: DataFrame,
     data: DataFrame,
@@ -393,6 +445,7 @@ def within_radius(
 SUMS = "id long, shift array<double>, total array<double>"
 
 
+@any_ids("df", out=("id",))
 def kernel_sums(
     df: DataFrame, widths, id_col: str = "id", vec_col: str = "features", skip_self: bool = True
 ) -> tuple[DataFrame, int, int]:
@@ -448,6 +501,7 @@ def kernel_sums(
     return out, n, m
 
 
+@any_ids("xs", "ys", out=("x_id", "y_id"))
 def similarity_matrix(
     xs: DataFrame,
     ys: DataFrame,

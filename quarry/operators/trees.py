@@ -8,11 +8,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.ranking import running_before
+from quarry.functions.vectors import batches_to_matrices
 from quarry.session import cut_lineage, shared_path
 
 DEEPEST = 30  # limit of pyspark.ml
@@ -163,10 +166,13 @@ def fit_tree(
     names: Sequence[str] | None = None,
     seed: int = 0,
 ) -> Tree:
-    """One tree. Splits are exact for attributes of up to about ``max_bins`` values, else by quantiles."""
+    """One tree. Splits are exact for attributes of up to about ``max_bins`` values, else by quantiles,
+    with a warning; :func:`fit_exact_tree` has no such bound."""
     spark = df.sparkSession
     x = vectors(df, vec_col, label)
-    max_bins = bins_for(df, vec_col, max_bins)
+    wanted, max_bins = max_bins, bins_for(df, vec_col, max_bins)
+    if max_bins == wanted:
+        warnings.warn(f"an attribute has more values than {wanted} bins; splits fall on quantiles", stacklevel=2)
     model = DecisionTreeClassifier(
         featuresCol="__x", labelCol="__y", impurity=impurity, maxDepth=clamp_depths([max_depth])[0], maxBins=max_bins, seed=seed
     ).fit(x)
@@ -189,6 +195,101 @@ def fit_tree(
     return tree.collapse(min_samples_split) if min_samples_split > 2 else tree
 
 
+def _cost(counts: Sequence[Column], impurity: str) -> Column:
+    """Impurity times rows of one side of a split."""
+    n = sum(counts[1:], counts[0])
+    if impurity == "gini":
+        return n - sum((c * c for c in counts[1:]), counts[0] * counts[0]) / n
+    parts = [F.when(c > 0, -c * F.log2(c / n)).otherwise(0.0) for c in counts]
+    return sum(parts[1:], parts[0])
+
+
+def _impurity(counts: np.ndarray, impurity: str) -> float:
+    p = counts / max(counts.sum(), 1)
+    return float(1 - (p * p).sum()) if impurity == "gini" else float(-(p[p > 0] * np.log2(p[p > 0])).sum())
+
+
+def fit_exact_tree(
+    df: DataFrame,
+    label: str = "label",
+    vec_col: str = "features",
+    impurity: str = "gini",
+    max_depth: int = 5,
+    min_samples_split: int = 2,
+    names: Sequence[str] | None = None,
+) -> Tree:
+    """One tree whose splits are the best of all cuts between neighbouring values, however many there are.
+
+    Labels are 0, 1, 2, ...; a cut lies halfway between two values, ties go to the first
+    attribute and the lowest cut, and a node that no cut improves is a leaf.
+
+    Plan: one round per level. Rows find their node by the tree so far; the class counts of
+    every (node, attribute, value) are added up along the sorted values, dealt into ranges
+    whose totals supply the offsets (no node is one task), and each node keeps its best cut.
+    The driver gets one row per node.
+    """
+    if impurity not in ("gini", "entropy"):
+        raise ValueError(f"unknown impurity {impurity!r}")
+    x = df.select(F.col(vec_col).cast("array<double>").alias("x"), F.col(label).cast("int").alias("y"))
+    x = cut_lineage(x, "tree-rows")
+    found = {r["y"]: r["n"] for r in x.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if not found:
+        raise ValueError("empty table")
+    width, k = x.agg(F.max(F.size("x"))).first()[0], max(found) + 1
+    counts = [np.array([found.get(c, 0) for c in range(k)], float)]
+    feature, threshold, left, right, open_ = [0], [0.0], [-1], [-1], [0]
+
+    def tree() -> Tree:
+        c = np.array(counts)
+        return Tree(
+            list(names) if names else [f"x{i}" for i in range(width)], np.array(feature), np.array(threshold),
+            np.array([_impurity(r, impurity) for r in c]), c.sum(1).astype(int), c, c.argmax(1).astype(float),
+            np.array(left), np.array(right),
+        )
+
+    for level in range(max_depth):
+        open_ = [i for i in open_ if counts[i].sum() >= max(2, min_samples_split) and (counts[i] > 0).sum() > 1]
+        if not open_:
+            break
+        grown, wanted = tree(), np.array(open_)
+
+        def to_nodes(batches, grown=grown, wanted=wanted, level=level):
+            for b, v in batches_to_matrices(batches, "x"):
+                node = grown._walk(v, [level])[level]
+                some = np.isin(node, wanted)
+                v, node, y = v[some], node[some], b.column("y").to_numpy()[some]
+                cols = [np.repeat(node, width), np.tile(np.arange(width), len(v)), v.ravel(), np.repeat(y, width)]
+                kinds = [pa.int32(), pa.int32(), pa.float64(), pa.int32()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["node", "pos", "v", "y"])
+
+        long = x.mapInArrow(to_nodes, "node int, pos int, v double, y int")
+        own = [F.sum((F.col("y") == c).cast("long")).alias(f"c{c}") for c in range(k)]
+        values = cut_lineage(long.groupBy("node", "pos", "v").agg(*own), "value-counts")
+        run = running_before(values, ["v"], {f"b{c}": F.col(f"c{c}") for c in range(k)}, ["node", "pos"])
+        here = [(F.col(f"b{c}") + F.col(f"c{c}")).cast("double") for c in range(k)]
+        there = [F.col(f"b{c}_total") - h for c, h in enumerate(here)]
+        cut = run.filter(sum(there[1:], there[0]) > 0).withColumn("cost", F.round(_cost(here, impurity) + _cost(there, impurity), 9))
+        pick = F.min_by(F.struct("cost", "pos", "v", F.array(*here).alias("here")), F.struct("cost", "pos", "v"))
+        best = cut_lineage(cut.groupBy("node").agg(pick.alias("s")).select("node", "s.*"), "best-cuts")
+        after = values.join(F.broadcast(best.select("node", "pos", F.col("v").alias("at"))), ["node", "pos"])  # a row per node
+        after = after.filter(F.col("v") > F.col("at")).groupBy("node").agg(F.min("v").alias("next"))
+        grown_to = []
+        for r in best.join(after, "node").orderBy("node").collect():
+            i, side = r["node"], np.array(r["here"])
+            if r["cost"] >= _impurity(counts[i], impurity) * counts[i].sum() - 1e-9:
+                continue
+            feature[i], threshold[i] = r["pos"], (r["v"] + r["next"]) / 2
+            if not r["v"] <= threshold[i] < r["next"]:
+                threshold[i] = r["v"]
+            left[i], right[i] = len(counts), len(counts) + 1
+            grown_to += [len(counts), len(counts) + 1]
+            counts += [side, counts[i] - side]
+            for column, empty in ((feature, 0), (threshold, 0.0), (left, -1), (right, -1)):
+                column += [empty, empty]
+        open_ = grown_to
+    return tree()
+
+
 def depth_sweep(
     df: DataFrame, depths: Sequence[int], folds: int, label: str = "label", vec_col: str = "features", fold: str = "fold",
     impurity: str = "gini", max_bins: int = 1_024,

@@ -388,3 +388,29 @@ def s6(spark, d):
     write_baskets(p, path, ["big", "dear"], ["big", "dear"], rows_per_file=1_000)
     files = spark.read.text(path).groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
     return files.agg(F.sum("n").alias("baskets"), (F.max("n") <= 1_000).alias("bounded"))
+
+
+# --- splits on an attribute with a value per row ----------------------------------------
+def _cuts_sql(rows: str, name: str) -> str:
+    """The best Gini cut of each ``part`` of (part, v, y), with the value after it."""
+    return f"""{name}_c AS (SELECT part, v, sum(y)::DOUBLE AS p, count(*)::DOUBLE AS n FROM {rows} GROUP BY 1, 2),
+    {name}_r AS (SELECT part, v, sum(p) OVER w AS pl, sum(n) OVER w AS nl, sum(p) OVER q AS pt, sum(n) OVER q AS nt, lead(v) OVER o AS next FROM {name}_c
+      WINDOW o AS (PARTITION BY part ORDER BY v), w AS (PARTITION BY part ORDER BY v ROWS UNBOUNDED PRECEDING), q AS (PARTITION BY part)),
+    {name} AS (SELECT part, (v + next) / 2 AS t, nt AS n, pt / nt AS share FROM {name}_r WHERE next IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY part ORDER BY round(nl - (pl * pl + (nl - pl) * (nl - pl)) / nl
+        + (nt - nl) - ((pt - pl) * (pt - pl) + (nt - nl - pt + pl) * (nt - nl - pt + pl)) / (nt - nl), 9), v) = 1)"""
+
+
+@query(
+    "l1_exact_splits",
+    f"""WITH x AS (SELECT 0 AS part, l_extendedprice::DOUBLE AS v, CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS y FROM lineitem),
+    {_cuts_sql("x", "top")},
+    z AS (SELECT CASE WHEN x.v <= t THEN 1 ELSE 2 END AS part, x.v, y FROM x CROSS JOIN top), {_cuts_sql("z", "low")}
+    SELECT CAST(part AS INT) AS node_id, round(t, 3) AS threshold, CAST(n AS BIGINT) AS n, round(2 * share * (1 - share), 6) AS impurity
+    FROM (SELECT * FROM top UNION ALL SELECT * FROM low)""",
+)
+def l1_exact(spark, d):
+    """Two levels on the price of a line: more values than any number of bins holds."""
+    x = table(spark, d, "lineitem").select(pack(["l_extendedprice"]), (F.col("l_quantity") > 25).cast("int").alias("label"))
+    nodes = trees.fit_exact_tree(x, max_depth=2).nodes(spark)
+    return rounded(nodes.filter("depth < 2").select("node_id", F.round("threshold", 3).alias("threshold"), "n", "impurity"))

@@ -366,3 +366,31 @@ def test_components_of_wide_rows(spark):
     want = (x - x.mean(0)) @ pca.loadings[:, :2]
     assert np.allclose([got[i] for i in range(60)], want)
     assert np.allclose(np.abs((vt[:3] * pca.loadings.T).sum(1)), 1, atol=1e-6)
+
+
+def test_exact_tree_against_all_cuts(spark, monkeypatch):
+    """Every node of the tree is the best of all cuts, also with values dealt into many ranges."""
+    from quarry.functions import ranking
+
+    monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", 150)
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.normal(0, 1, 300), rng.integers(0, 6, 300)])
+    y = ((x[:, 0] > 0.3).astype(int) + (x[:, 1] > 3) + (rng.random(300) < 0.1)) % 3
+    df = frame(spark, x, y)
+    for kind in ("gini", "entropy"):
+        tree = trees.fit_exact_tree(df, impurity=kind, max_depth=2, min_samples_split=10)
+        at = {0: np.arange(300)}
+        for i in range(len(tree.n)):
+            rows = at[i]
+            assert tree.n[i] == len(rows) and (tree.counts[i] == np.bincount(y[rows], minlength=3)).all()
+            cost = lambda r: trees._impurity(np.bincount(y[r], minlength=3).astype(float), kind) * len(r)
+            assert tree.impurity[i] * len(rows) == pytest.approx(cost(rows))
+            if tree.left[i] < 0:
+                continue
+            goes = x[rows, tree.feature[i]] <= tree.threshold[i]
+            at[tree.left[i]], at[tree.right[i]] = rows[goes], rows[~goes]
+            cuts = [cost(rows[x[rows, j] <= v]) + cost(rows[x[rows, j] > v]) for j in (0, 1) for v in np.unique(x[rows, j])[:-1]]
+            assert cost(rows[goes]) + cost(rows[~goes]) == pytest.approx(min(cuts))
+    got = {r["id"]: r["prediction"] for r in tree.transform(df).collect()}
+    leaf = tree._walk(x, [2])[2]
+    assert [got[i] for i in range(300)] == tree.prediction[leaf].tolist()

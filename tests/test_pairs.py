@@ -145,3 +145,32 @@ def test_far_cells_never_meet(spark, tiny_broadcast):
     most = hierarchy.bottlenecks(cells, cells.radius)
     sent = hierarchy.cross_visits(placed, cells, most).count()
     assert sent < len(x) ** 1.5 < len(x) * len(cells.count)
+
+
+@pytest.mark.parametrize("forced", [False, True])
+def test_ids_of_any_type(spark, forced, request):
+    """Names instead of numbers give the same results under those names, ties by the smaller name."""
+    from quarry.operators import approximate, neighbours
+
+    if forced:
+        request.getfixturevalue("tiny_broadcast")
+    x = cloud("copies", 60)
+    df = frame(spark, x)
+    named = df.selectExpr("format_string('row%03d', id) AS id", "features")
+    name = lambda i: f"row{i:03}"
+    both = lambda op: (op(df).collect(), op(named).collect())
+    a, b = both(lambda t: pairs.nearest_neighbours(t, t, 3))
+    assert {(name(r[0]), r[1], name(r[2])) for r in a} == {(r[0], r[1], r[2]) for r in b}
+    a, b = both(lambda t: density.kernel_density(t, [0.5]))
+    assert {name(r["id"]): round(r["log_density"], 9) for r in a} == {r["id"]: round(r["log_density"], 9) for r in b}
+    a, b = both(lambda t: pairs.within_radius(t, t, 1.0, include_self=False))
+    assert {(name(r[0]), name(r[1])) for r in a} == {(r[0], r[1]) for r in b}
+    if forced:
+        return
+    a, b = both(lambda t: similarity.similarity(t, t, "cos"))
+    assert {(name(r[0]), name(r[1])) for r in a} == {(r[0], r[1]) for r in b}
+    a, b = both(lambda t: hierarchy.cut_tree(t, hierarchy.spanning_tree(t), 3))
+    assert {(name(r["id"]), r["cluster"]) for r in a} == {(r["id"], r["cluster"]) for r in b}
+    got = neighbours.leave_one_out_sweep(named.selectExpr("*", "CAST(features[0] AS int) AS label"), [1], "label")
+    assert got.first()["error"] is not None
+    assert approximate.approximate_neighbours(named, named, 1).filter("rank = 1").count() == 60
