@@ -150,7 +150,8 @@ def signed(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame
 def sets_of(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """``node`` and ``s`` (its shingle hashes); ``wanted`` names a row (``rep``) and the digest per node."""
     rows = df.select(_row_key(id_col, text_col).alias("rk"), text_of(text_col).alias("t"))
-    names = written(wanted.select("node", "rep", "digest"), "wanted")  # of known size: a small one spares the texts a shuffle
+    # the names grow with the texts: they are never copied, and the plan is the same at every size
+    names = written(wanted.select("node", "rep", "digest"), "wanted").hint("merge")
     found = rows.join(names, F.col("rk") == F.col("rep")).select("node", "digest", "t")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
