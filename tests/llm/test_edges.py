@@ -276,6 +276,32 @@ def test_secrets(spark, docs, empty):
     assert not any(got[100 + i]["spans"] for i in range(40))
 
 
+def test_secrets_without_digits_and_behind_names(spark):
+    import random
+
+    rng = random.Random(5)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    prose = "the quick brown fox jumps over the lazy dog and runs home again in 2024. " * 50
+    kinds = [
+        lambda: "k=" + draw(lower + upper + digits, 40),
+        lambda: "AWS_KEY=" + draw(lower + upper + digits + "+/", 39) + "=",
+        lambda: draw(lower + upper, 40),
+        lambda: draw(lower, 40),
+        lambda: draw(digits, 28),  # from 32 on a known shape
+    ]
+    rows = [(100 * k + i, f"{prose}{make()} end") for k, make in enumerate(kinds) for i in range(30)]
+    plain = ["version-1-of-the-long-page-name", "theoverfoxjumpsandrunshomeagain", "usr/share/the/lazy/dog/and/fox", "00000000000000000000000000", "fox=jumps=over=the=lazy=dog=again"]
+    rows += [(1000 + 100 * k + i, f"{prose}{t} end") for k, t in enumerate(plain) for i in range(30)]
+    got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    text = dict(rows)
+    found = {r["doc_id"]: [text[r["doc_id"]][s["start"] : s["end"]] for s in r["spans"] if s["kind"] == 3] for r in got}
+    for k in range(len(kinds)):
+        assert sum(bool(found[100 * k + i]) for i in range(30)) >= 28, k
+    assert {len(x[0]) for i, x in found.items() if i < 400 and x} == {40}
+    assert not any(x for i, x in found.items() if i >= 1000)
+
+
 def test_licenses(docs, empty, spark):
     assert licenses.scan(docs).count() == 0 and licenses.scan(empty).count() == 0
     rows = [(1, "x\nLICENSED under the Apache License -- Version 2.0!"), (1, "x\nLICENSED under the Apache License -- Version 2.0!"), (None, "Released under the MIT License\nnow")]

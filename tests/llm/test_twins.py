@@ -1,11 +1,14 @@
 """Each query of the pipeline operators against its SQL twin or a brute-force version, whole tables."""
 
 import base64
+import collections
 import hashlib
 import itertools
+import math
 import re
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -119,6 +122,46 @@ def test_secret_scan_base(spark, duck, data_dir):
         assert set(filter(None, spelled.split(","))) <= set(r["spans"].split(","))
 
 
+def test_secret_scan_random(spark, duck, data_dir):
+    """All spans against plain Python over the whole table: pieces, letters of the corpus, step-up control."""
+    docs = duck.execute("SELECT doc_id, coalesce(text, '') FROM documents").fetchall()
+    counts = collections.Counter(c for _, t in docs for c in t)
+    sizes = [20, 32, 48, 64, 128]
+
+    def p_of(body, alphabet):
+        among = secrets.ALPHABETS[9] if alphabet == secrets.ALPHABETS[0] else alphabet
+        total = sum(counts[c] + 1 for c in among)
+        log = {c: math.log((counts[c] + 1) / total) for c in among}
+        mean = sum(math.exp(x) * x for x in log.values())
+        sd = math.sqrt(sum(math.exp(x) * (x - mean) ** 2 for x in log.values()))
+        return 0.5 * math.erfc((mean * len(body) - sum(log[c] for c in body)) / (sd * math.sqrt(2 * len(body))))
+
+    tests = []
+    for i, t in docs:
+        known = known_shapes(t)
+        for run in re.finditer(r"[A-Za-z0-9+/_=-]+", t):
+            for m in re.finditer("[^=]+(=+$)?", run[0]):
+                s, e, body = run.start() + m.start(), run.start() + m.end(), m[0].rstrip("=")
+                if len(body) < 20 or any(a <= s and e <= b for _, a, b in known):
+                    continue
+                alphabet = next(a for a in secrets.ALPHABETS if set(body) <= set(a))
+                values = np.array([alphabet.index(c) for c in body])
+                step = math.floor(-math.log10(max(p_of(body, alphabet), 1e-300)) * 100)
+                random = 3 * min(secrets.battery(values, len(alphabet))) >= 0.01
+                tests.append((sum(len(body) >= z for z in sizes), step, random, i, s, e))
+    want = collections.defaultdict(list)
+    for k in range(1, 6):
+        own = sorted((x for x in tests if x[0] == k), key=lambda x: -x[1])
+        good = [x[1] for n, x in enumerate(own, 1) if 10 ** (-x[1] / 100) <= 0.01 * n / len(own)]
+        for _, step, random, i, s, e in own:
+            if random and good and step >= min(good):
+                want[i].append((3, s, e))
+    got = {r["doc_id"]: r["spans"] for r in QUERIES["op10_secret_scan"](spark, data_dir).collect()}
+    for i, t in docs:
+        every = sorted(known_shapes(t) + want[i], key=lambda x: (x[1], x[0]))
+        assert got[i] == ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for k, s, e in every)
+
+
 def local_alignment(a, b):
     """Best score of aligning two word lists, cell by cell."""
     h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
