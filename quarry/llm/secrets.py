@@ -52,20 +52,28 @@ def _tail(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
-def battery(values: np.ndarray, size: int) -> tuple[float, float, float]:
-    """p-values, under uniform random letters 0..size-1, of three tests.
+def _fit(classes: np.ndarray, expected: np.ndarray) -> float:
+    """p-value of the chi-squared test, its tail by the cube-root normal approximation."""
+    x2 = float(((np.bincount(classes, minlength=len(expected)) - expected) ** 2 / expected).sum())
+    df = len(expected) - 1
+    return _tail(((x2 / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
 
-    Chi-squared over as many equal classes as have at least five expected letters (tail by
-    the cube-root normal approximation), runs above and below the middle, and serial
-    correlation at lag one, the last two two-sided.
+
+def battery(values: np.ndarray, letters: str) -> tuple[float, float, float]:
+    """p-values, under uniform random places 0.. in the alphabet ``letters``, of three tests.
+
+    Chi-squared uniformity (over as many equal classes as have at least five expected letters,
+    and, where an alphabet has several, over small letters, capitals and all others: twice the
+    lesser p-value), runs above and below the middle, and serial correlation at lag one, the
+    last two two-sided.
     """
-    n = len(values)
+    n, size = len(values), len(letters)
     classes = max(2, min(size, n // 5))
-    cls = values * classes // size
-    expected = n * np.bincount(np.arange(size) * classes // size, minlength=classes) / size
-    x2 = float(((np.bincount(cls, minlength=classes) - expected) ** 2 / expected).sum())
-    df = classes - 1
-    uniform = _tail(((x2 / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
+    uniform = _fit(values * classes // size, n * np.bincount(np.arange(size) * classes // size, minlength=classes) / size)
+    kind = np.array([0 if c in string.ascii_lowercase else 1 if c in string.ascii_uppercase else 2 for c in letters])
+    names, kind = np.unique(kind, return_inverse=True)
+    if len(names) > 1:  # words joined by signs lie in one of them
+        uniform = min(1.0, 2 * min(uniform, _fit(kind[values], n * np.bincount(kind) / size)))
     high = values * 2 >= size
     n1 = int(high.sum())
     n0 = n - n1
@@ -117,7 +125,7 @@ def judged(token: str, language: Language, pass_at: float) -> tuple[int, int, bo
     values = np.array([place[c] for c in body], np.int64)
     p = language.p_value(values, a)
     bin_ = min(BINS, int(-math.log10(max(p, 1e-300)) / BIN))  # rounds p up
-    random = min(1.0, 3 * min(battery(values, len(ALPHABETS[a])))) >= pass_at
+    random = min(1.0, 3 * min(battery(values, ALPHABETS[a]))) >= pass_at
     return sum(len(body) >= s for s in STRATA) - 1, bin_, random
 
 

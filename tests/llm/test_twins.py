@@ -147,7 +147,7 @@ def test_secret_scan_random(spark, duck, data_dir):
                 alphabet = next(a for a in secrets.ALPHABETS if set(body) <= set(a))
                 values = np.array([alphabet.index(c) for c in body])
                 step = math.floor(-math.log10(max(p_of(body, alphabet), 1e-300)) * 100)
-                random = 3 * min(secrets.battery(values, len(alphabet))) >= 0.01
+                random = 3 * min(secrets.battery(values, alphabet)) >= 0.01
                 tests.append((sum(len(body) >= z for z in sizes), step, random, i, s, e))
     want = collections.defaultdict(list)
     for k in range(1, 6):
