@@ -276,11 +276,10 @@ t AS (SELECT page_id, list_distinct(
 l AS (SELECT page_id, coalesce(quality = 0 OR toxic = 1, false) AS bad FROM labels JOIN t ON doc_id = page_id),
 e AS (SELECT page_id, unnest(ts) AS x FROM t),
 b AS (SELECT e.page_id, x FROM e JOIN l USING (page_id) WHERE bad),
-sets AS (
-  SELECT [x] AS s, count(*) AS c FROM b GROUP BY 1
-  UNION ALL SELECT [a.x, b.x], count(*) FROM b a JOIN b ON a.page_id = b.page_id AND a.x < b.x GROUP BY 1
-  UNION ALL SELECT [a.x, b.x, c.x], count(*) FROM b a JOIN b ON a.page_id = b.page_id AND a.x < b.x JOIN b c ON a.page_id = c.page_id AND b.x < c.x GROUP BY 1
-), often AS (SELECT s, c FROM sets WHERE c >= greatest(5, 0.005::DOUBLE * (SELECT count(*) FROM l WHERE bad))),
+often1 AS (SELECT x FROM b GROUP BY x HAVING count(*) >= 5),
+bt AS (SELECT page_id, list(x ORDER BY x) AS ts FROM b JOIN often1 USING (x) GROUP BY page_id),
+subsets AS (SELECT ts, unnest(range(1, CAST(2 ** len(ts) AS BIGINT))) AS mask FROM bt),
+often AS (SELECT list_filter(ts, lambda x, i: (mask >> CAST(i - 1 AS INT)) & 1 = 1) AS s, count(*) AS c FROM subsets GROUP BY 1 HAVING count(*) >= 5),
 conf AS (SELECT s, c, (SELECT count(*) FROM l JOIN t USING (page_id) WHERE list_has_all(ts, s)) AS n FROM often),
 good AS (SELECT s FROM conf WHERE c >= 0.8::DOUBLE * n),
 m AS (SELECT DISTINCT page_id FROM t JOIN good ON list_has_all(ts, s))

@@ -74,41 +74,76 @@ def matching(items: DataFrame, rules: DataFrame) -> DataFrame:
     return hit.filter(F.size(F.array_except("wanted", "tokens")) == 0).select("key", "set_id")
 
 
-def mine(
-    labelled: DataFrame, min_count: int = 5, min_support: float = 0.005, min_confidence: float = 0.8, max_items: int = 3
-) -> DataFrame:
+def token_classes(labelled: DataFrame) -> DataFrame:
+    """``t`` and ``class``: tokens that exactly the same rows of ``labelled`` (``key``, ``tokens``)
+    hold are one class, named by a 64-bit hash.
+
+    A class is the pair of the count and the exclusive-or of hashed keys, with a second sum of
+    hashes against collisions.
+    """
+    held = labelled.select("key", F.explode("tokens").alias("t")).groupBy("t")
+    same = held.agg(
+        F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("key")).alias("x"),
+        F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("y"),
+    )
+    return same.select("t", F.xxhash64("n", "x", "y").alias("class"))
+
+
+def in_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``key`` and ``tokens`` of ``rows``, the tokens replaced by their classes; unknown ones go."""
+    at = rows.select("key", F.explode("tokens").alias("t")).join(classes, "t")
+    return at.groupBy("key").agg(F.collect_set("class").alias("tokens"))
+
+
+def mine(labelled: DataFrame, min_count: int = 5, min_confidence: float = 0.8) -> DataFrame:
     """Token combinations that mark bad URLs: ``set_id``, ``tokens``, ``posting``, ``bad``, ``all``.
 
-    ``labelled`` has ``tokens`` and ``bad`` (boolean). FP-growth finds the combinations of at
-    most ``max_items`` tokens that at least ``min_count`` rows and a share ``min_support`` of
-    the bad rows hold; those of which at least ``min_confidence`` of all labelled rows are bad
-    become rules. No bad row: no rules.
+    ``labelled`` has ``tokens`` (an array of one type) and ``bad`` (boolean). Combinations of any
+    number of tokens that at least ``min_count`` bad rows hold become rules if at least
+    ``min_confidence`` of all labelled rows that hold them are bad. Only the least combinations
+    are rules: one that contains a shorter rule adds no verdict and is left out. No bad row: no
+    rules.
+
+    Single tokens are judged by counting; FP-growth then finds the combinations of the others.
+    Its work is a row per frequent combination, so it doubles with each further token that
+    frequent URLs share and that no rule holds.
     """
     labelled = written(labelled.select("tokens", "bad"), "labelled")
-    bad = labelled.filter("bad").select("tokens")
-    n = bad.count()
-    schema = "set_id long, tokens array<string>, posting string, bad long, `all` long"
+    one = labelled.select(F.explode("tokens").alias("t"), F.col("bad").cast("long").alias("b")).groupBy("t")
+    one = written(one.agg(F.sum("b").alias("bad"), F.count("*").alias("all")), "tokens")
+    often = one.filter(F.col("bad") >= min_count).withColumn("sure", F.col("bad") >= min_confidence * F.col("all"))
+    singles = often.filter("sure").select(
+        F.xxhash64(F.array("t")).alias("set_id"), F.array("t").alias("tokens"), F.col("t").alias("posting"), "bad", "all"
+    )
+    # equal token sets are one row that counts several times; only tokens that can be part of a longer rule stay
+    kinds = labelled.groupBy("tokens").agg(F.count("*").alias("times"), F.sum(F.col("bad").cast("long")).alias("bad"))
+    kinds = written(kinds.withColumn("key", F.xxhash64("tokens")), "kinds")
+    open_ = often.filter("not sure").select("t")
+    part = kinds.select("key", "times", "bad", F.explode("tokens").alias("t")).join(open_, "t")
+    part = part.groupBy("key", "times", "bad").agg(F.array_sort(F.collect_set("t")).alias("tokens")).filter(F.size("tokens") > 1)
+    part = part.groupBy("tokens").agg(F.sum("times").alias("times"), F.sum("bad").alias("bad"))
+    part = written(part.withColumn("key", F.monotonically_increasing_id()), "open-kinds")
+    # a kind comes as often as it has bad rows, dealt in blocks so that a hot one is no single task
+    deal = F.sequence(F.lit(0).cast("long"), F.expr("(bad - 1) div 1000"))
+    blocks = part.filter("bad > 0").select("tokens", "bad", F.explode(deal).alias("block")).repartition("tokens", "block")
+    times = F.least(F.lit(1000), F.col("bad") - 1000 * F.col("block")).cast("int")
+    baskets = blocks.select(F.explode(F.array_repeat("tokens", times)).alias("tokens"))
+    n = baskets.count()
     if not n:
-        return labelled.sparkSession.createDataFrame([], schema)
-    least = max(min_count, min_support * n)
-    model = FPGrowth(itemsCol="tokens", minSupport=min(1.0, least / n)).fit(bad)
-    sets = model.freqItemsets.filter((F.size("items") <= max_items) & (F.col("freq") >= least))
-    sets = sets.select(F.array_sort("items").alias("tokens"), F.col("freq").alias("bad"))
+        return singles
+    model = FPGrowth(itemsCol="tokens", minSupport=min(1.0, (min_count - 0.5) / n)).fit(baskets)
+    sets = model.freqItemsets.filter(F.size("items") > 1).select(F.array_sort("items").alias("tokens"), F.col("freq").alias("bad"))
     sets = sets.withColumn("set_id", F.xxhash64("tokens"))
-    counts = labelled.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
-    posting = (
-        sets.select("set_id", F.explode("tokens").alias("t"))
-        .join(counts, "t")
-        .groupBy("set_id")
-        .agg(F.min(F.struct("n", "t"))["t"].alias("posting"))
-    )
+    posting = sets.select("set_id", F.explode("tokens").alias("t")).join(one.select("t", F.col("all").alias("n")), "t")
+    posting = posting.groupBy("set_id").agg(F.min(F.struct("n", "t"))["t"].alias("posting"))
     sets = written(sets.join(posting, "set_id"), "combinations")
-    # equal token sets are counted once, then searched
-    kinds = labelled.groupBy("tokens").agg(F.count("*").alias("times")).withColumn("key", F.monotonically_increasing_id())
-    kinds = written(kinds, "kinds")
-    held = matching(kinds, sets).join(kinds.select(F.col("key"), "times"), "key").groupBy(F.col("set_id").alias("id"))
+    held = matching(part, sets).join(part.select("key", "times"), "key").groupBy(F.col("set_id").alias("id"))
     both = sets.join(held.agg(F.sum("times").alias("all")), F.col("set_id") == F.col("id"))
-    return both.filter(F.col("bad") >= min_confidence * F.col("all")).select("set_id", "tokens", "posting", "bad", "all")
+    sure = written(both.filter(F.col("bad") >= min_confidence * F.col("all")).drop("id"), "sure")
+    inside = matching(sure.select(F.col("set_id").alias("key"), "tokens"), sure).filter("key <> set_id").select("key").distinct()
+    least = sure.join(inside, F.col("set_id") == F.col("key"), "left_anti")
+    return singles.unionByName(least.select("set_id", "tokens", "posting", "bad", "all"))
 
 
 def judge(
@@ -125,7 +160,8 @@ def judge(
 
     The longest listed rule decides: it fits its host and all subdomains if the path starts
     with the rule's. Where none fits, a URL that holds all tokens of a mined combination (see
-    :func:`mine`) is blocked and any other allowed. ``labels`` names rows of ``df`` by id and
+    :func:`mine`; tokens that the same labelled rows hold stand for each other there) is blocked
+    and any other allowed. ``labels`` names rows of ``df`` by id and
     ``bad`` (default: ``quality`` 0 or ``toxic`` 1) says which are bad; null labels are not.
 
     A null URL, or one without ``://``, has an empty host and path and is allowed. Null ids are
@@ -146,8 +182,11 @@ def judge(
     own = rows.join(marks, F.col("id") == F.col("l")).join(
         urls.select(F.col("url").alias("u"), "tokens"), F.col("url").eqNullSafe(F.col("u"))
     )
-    mined = written(mine(own.select("tokens", "bad"), **options), "rules")
-    hit = matching(urls.select(F.col("url").alias("key"), "tokens"), mined).select(F.col("key").alias("m")).distinct()
+    own = written(own.withColumn("key", F.monotonically_increasing_id()).select("key", "tokens", "bad"), "labelled-urls")
+    classes = written(token_classes(own), "token-classes")
+    mined = written(mine(own.select("key", "bad").join(in_classes(own, classes), "key"), **options), "rules")
+    seen = in_classes(urls.select(F.col("url").alias("key"), "tokens"), classes)
+    hit = matching(seen, mined).select(F.col("key").alias("m")).distinct()
     listed = listed_verdicts(urls, rule_table(spark, rules)).select(F.col("url").alias("v"), "rule", "verdict")
     judged = urls.join(listed, F.col("url") == F.col("v"), "left").join(hit, F.col("url") == F.col("m"), "left")
     judged = judged.select(

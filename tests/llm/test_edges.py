@@ -359,6 +359,21 @@ def test_mined_rules_block(spark):
     assert {r["page_id"] for r in out.filter("verdict = 'block'").collect()} == {*range(40), 999}
 
 
+def test_mined_rules_of_any_length(spark):
+    """Four parts mark bad URLs, any three of them do not; rows of a rare bad host are found too."""
+    four = ["pay", "win", "now", "big"]
+    rows = [(i, f"http://site{i}.org/" + "/".join(four), 0) for i in range(40)]
+    for k in range(4):
+        rest = "/".join(four[:k] + four[k + 1 :])
+        rows += [(1000 + 100 * k + i, f"http://good{k}x{i}.org/{rest}", 1) for i in range(40)]
+    rows += [(5000 + i, f"http://z{i}.rare.org/q{i}", 0) for i in range(5)]
+    rows += [(10_000 + i, f"http://spam.net/n{i}", 0) for i in range(2000)]
+    pages = spark.createDataFrame([r[:2] for r in rows] + [(9, "http://new.org/big/now/pay/win")], "page_id long, url string")
+    labels = spark.createDataFrame([(i, q, 0) for i, _, q in rows if i != 9], "doc_id long, quality int, toxic int")
+    blocked = {r["page_id"] for r in urls.judge(pages, labels, []).filter("verdict = 'block'").collect()}
+    assert blocked == {i for i, _, q in rows if not q} | {9}
+
+
 @pytest.mark.parametrize("packed", ["none", "gzip"])
 def test_warc(spark, pages, packed):
     path = shared_path(spark, "archives")
