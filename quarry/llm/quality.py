@@ -22,7 +22,8 @@ class Limits:
     dup_line_pct: int = 50  # lines: more than this share of repeated lines
     min_length: int = 2  # lengths: mean word length outside these bounds
     max_length: int = 12
-    strict: float = 0.02  # a document failing a rule goes if its host's shrunk rate is above
+    gross: tuple[float, float, float] = (1.5, 1.5, 2.0)  # symbols, lines, lengths: beyond the limit times this on any host
+    strict: float = 0.02  # the shrunk rate at which a host's documents get half of that tolerance
     ban: float = 0.8  # all documents of a host go if a shrunk rate is above
 
 
@@ -120,6 +121,11 @@ def host_rates(scored: DataFrame, host: str) -> DataFrame:
     return per.withColumns(out)
 
 
+def _tolerance(rate: Column, gross: float, strict: float) -> Column:
+    """By how much a limit is widened: ``gross`` times where no document fails, less the more do."""
+    return F.lit(1.0) + F.lit((gross - 1) * strict) / (F.lit(strict) + rate)
+
+
 def judge(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -131,8 +137,10 @@ def judge(
 
     Returns id, the text's hash ``text_key``, ``host``, ``n_words``, ``word_chars``,
     ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``, ``kept``. A document
-    is kept unless it fails the base rule, or fails another rule of which its host's shrunk
-    failure rate is above ``strict``, or its host has a rate above ``ban``.
+    is kept unless it fails the base rule, or is beyond the limit of another rule as its host's
+    shrunk failure rate widens it (``gross`` times at rate 0, half of that tolerance at
+    ``strict``, ever less above), or its host has a rate above ``ban``. So gross failures go on
+    any host, however rare they are, and slight ones where they are common.
 
     A null or empty text has no words and fails the base rule. Rows with a null host form one
     host. Repeated rows count as often as they occur. An empty table gives an empty table.
@@ -151,12 +159,18 @@ def judge(
     rates = host_rates(scored, "host").select(
         F.col("host").alias("__host"),
         F.greatest(*[F.col(f"rate_{r}") for r in RULES]).alias("worst"),
-        *[f"rate_{r}" for r in RULES],
+        *[_tolerance(F.col(f"rate_{r}"), g, limits.strict).alias(f"times_{r}") for r, g in zip(RULES[1:], limits.gross)],
     )
     joined = scored.join(written(rates, "host-verdicts"), F.col("host").eqNullSafe(F.col("__host")), "left")
-    bad = F.col("worst") > limits.ban
-    for r in RULES[1:]:
-        bad = bad | (F.col(f"fail_{r}") & (F.col(f"rate_{r}") > limits.strict))
+    n, m = F.col("n_words"), limits
+    symbols, lines, lengths = (F.col(f"times_{r}") for r in RULES[1:])
+    bad = (
+        (F.col("worst") > m.ban)
+        | (100 * F.col("n_symbols") > m.symbol_pct * n * symbols)
+        | (100 * F.col("n_dup_lines") > m.dup_line_pct * F.col("n_filled_lines") * lines)
+        | (F.col("word_chars") * lengths < m.min_length * n)
+        | (F.col("word_chars") > m.max_length * n * lengths)
+    )
     return joined.select(
         F.col("id").alias(id_col),
         "text_key",

@@ -145,7 +145,9 @@ v AS (SELECT source, max((k + mean * weight) / (n + weight)) AS worst,
   max((k + mean * weight) / (n + weight)) FILTER (WHERE h.r = 3) AS r3
   FROM h JOIN a ON h.r = a.r GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
-  NOT (base_failed OR worst > 0.8 OR (f1 AND r1 > 0.02) OR (f2 AND r2 > 0.02) OR (f3 AND r3 > 0.02)) AS kept
+  NOT (base_failed OR worst > 0.8 OR 100 * n_symbols > 100 * n_words * (1 + 0.01::DOUBLE / (0.02::DOUBLE + r1))
+  OR 100 * n_dup_lines > 50 * nl * (1 + 0.01::DOUBLE / (0.02::DOUBLE + r2))
+  OR word_chars * (1 + 0.02::DOUBLE / (0.02::DOUBLE + r3)) < 2 * n_words OR word_chars > 12 * n_words * (1 + 0.02::DOUBLE / (0.02::DOUBLE + r3))) AS kept
 FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
 """,
 )

@@ -105,6 +105,19 @@ def test_a_bad_host_goes_and_a_clean_one_stays(spark):
     assert kept == {r[0] for r in rows if r[2] != "bad"}
 
 
+def test_rare_and_common_soup_go_alike(spark):
+    clean = " ".join(f"word{i}" for i in range(60))
+    soup = " ".join(f"w{i}##$%|<" for i in range(60))
+    slight = " ".join(f"w{i}#" for i in range(60)) + " ##"  # just beyond the limit
+    for share in (10, 30):
+        rows = [(i, soup if i < share else clean, f"host{i % 3}") for i in range(1000)]
+        rows += [(5000, slight, "host1")] + [(6000 + i, slight, "odd") for i in range(20)] + [(7000 + i, clean, "odd") for i in range(20)]
+        out = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+        gone = {r["doc_id"] for r in out.filter("not kept").collect()}
+        assert {i for i in gone if i < 5000 or i >= 7000} == set(range(share))
+        assert 5000 not in gone  # slight, on a host where it is rare
+
+
 def test_simhash(docs, empty):
     out = simhash.near_groups(docs)
     assert out.count() == len(ROWS)
