@@ -15,28 +15,46 @@ from pyspark.sql import types as T
 from quarry.llm.common import quoted, text_of, written
 
 GRAM = 3
-WORD = r"\w+"
+WORD = re.compile(r"\w+")
+#: Thai and Lao, Burmese, Khmer, kana, Han: written without blanks
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+SIGN = re.compile(f"[{UNSPACED}]")
+SIGN_OR_WORD = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+")
+PART = 64  # words of an item's overlapping parts, each found by itself
+SHORT = 24  # items up to this length have all their runs as seeds
 BLOCK_WORDS = 200_000  # words of test items looked for in one pass
 CELLS_AT_ONCE = 1 << 20
 MATCH, MISS, GAP = 2, -1, -1  # scores of an aligned pair of words and of a word left out
 
 
-def _words(text: str, pattern: re.Pattern) -> list[str]:
-    low = text.lower()
+def _pattern(text: str) -> re.Pattern:
+    return SIGN_OR_WORD if not text.isascii() and SIGN.search(text) else WORD
+
+
+def _words(text: str) -> list[str]:
+    low, pattern = text.lower(), _pattern(text)
     if len(low) == len(text):
         return pattern.findall(low)
     return [w.lower() for w in pattern.findall(text)]  # a letter that grows in lower case
 
 
+def _parts(w: np.ndarray) -> list[np.ndarray]:
+    """The item, and if it is long its overlapping parts of PART words."""
+    if len(w) <= PART:
+        return [w]
+    step = PART // 2
+    return [w, *(w[a : a + PART] for a in range(0, len(w) - PART, step)), w[-PART:]]
+
+
 class Items:
-    """Test items as numbers: word 0 is any word that no item holds."""
+    """Test items and their parts as numbers: word 0 is any word that no item holds."""
 
     def __init__(self, texts: list[str]):
-        pattern = re.compile(WORD)
         self.index: dict[str, int] = {}
-        self.words = [
-            np.array([self.index.setdefault(w, len(self.index) + 1) for w in _words(t, pattern)], np.int64) for t in texts
-        ]
+        whole = [np.array([self.index.setdefault(w, len(self.index) + 1) for w in _words(t)], np.int64) for t in texts]
+        parts = [_parts(w) for w in whole]
+        self.words = [x for p in parts for x in p]
+        self.owner = [i for i, p in enumerate(parts) for _ in p]
         self.base = len(self.index) + 1
         places = [(self.codes(w), i) for i, w in enumerate(self.words)]
         self.code = np.concatenate([c for c, _ in places] or [np.empty(0, np.int64)])
@@ -54,12 +72,12 @@ class Items:
             known &= part > 0
         return np.where(known, code, -1)
 
-    def read(self, text: str, pattern: re.Pattern) -> np.ndarray:
-        found = _words(text, pattern)
+    def read(self, text: str) -> np.ndarray:
+        found = _words(text)
         return np.fromiter(map(self.index.get, found, itertools.repeat(0)), np.int64, len(found))
 
     def rarest(self, seen: dict[int, int], window: int) -> None:
-        """Keep as seeds the rarest run in each ``window`` consecutive runs of an item.
+        """Keep as seeds the rarest run in each ``window`` consecutive runs, and all of a short item.
 
         Rarity is relative to the neighbours, so an item that a third of all documents hold
         has as many seeds as any other.
@@ -68,6 +86,9 @@ class Items:
         rank = np.array([seen.get(c, 0) for c in self.code.tolist()], np.int64)
         for i in range(len(self.words)):
             own = np.flatnonzero(self.item == i)
+            if len(self.words[i]) <= SHORT:
+                keep[own] = True
+                continue
             for a in range(max(1, len(own) - window + 1)):
                 part = own[a : a + window]
                 if len(part):
@@ -142,11 +163,10 @@ def _block_matches(docs: DataFrame, ids: list, texts: list[str], id_type, thresh
     known = np.unique(items.code)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern = re.compile(WORD)
         n = np.zeros(len(known), np.int64)
         for b in batches:
             for t in b.column("text"):
-                codes = items.codes(items.read(t.as_py(), pattern))
+                codes = items.codes(items.read(t.as_py()))
                 codes = np.unique(codes[codes >= 0])
                 place = np.minimum(np.searchsorted(known, codes), max(0, len(known) - 1))
                 if len(known):
@@ -168,8 +188,6 @@ def _block_matches(docs: DataFrame, ids: list, texts: list[str], id_type, thresh
     )
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern = re.compile(WORD)
-
         def scored(wait):
             # pairs of like size together, so that padding stays small
             wait.sort(key=lambda x: x[3] - x[2])
@@ -181,12 +199,12 @@ def _block_matches(docs: DataFrame, ids: list, texts: list[str], id_type, thresh
                 for x, s, f, e in zip(part, best.tolist(), first.tolist(), last.tolist()):
                     share = s / (MATCH * len(items.words[x[1]]))
                     if share >= threshold:
-                        yield x[0], x[1], share, x[2] + f, x[2] + e
+                        yield x[0], items.owner[x[1]], share, x[2] + f, x[2] + e
 
         for b in batches:
             texts, wait, found = b.column("text"), [], []
             for row in range(b.num_rows):
-                w = items.read(texts[row].as_py(), pattern)
+                w = items.read(texts[row].as_py())
                 for i, lo, hi in _regions(items, w):
                     wait.append((row, i, lo, hi, w[lo:hi].copy()))
                 if len(wait) > 20_000:
@@ -199,7 +217,7 @@ def _block_matches(docs: DataFrame, ids: list, texts: list[str], id_type, thresh
                     top[row, i] = (share, f, e)
             spans = {}
             for row in {k[0] for k in top}:
-                spans[row] = [m.span() for m in pattern.finditer(texts[row].as_py())]
+                spans[row] = [m.span() for m in _pattern(texts[row].as_py()).finditer(texts[row].as_py())]
             keys = sorted(top)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -231,11 +249,14 @@ def matches(
     """Passages of documents that align with test items: ``id``, ``item_id``, ``similarity``,
     ``begin`` and ``end`` (code points of the passage, end exclusive); the best per pair.
 
-    Words are runs of letters, digits and ``_`` in lower case. Of each ``window`` consecutive
-    three-word runs of an item, the one that the fewest documents hold is a seed, so any
-    ``window + 2`` words in a row left unedited hold one. Around each seed found in a text the
-    words are aligned with the item (match 2, other word -1, word left out -1); similarity is
-    the score over that of the item with itself, matches reach ``threshold``.
+    Words are runs of letters, digits and ``_`` in lower case; where no blanks are written (Han,
+    kana, Thai and their like) each sign is a word. Of each ``window`` consecutive three-word runs
+    of an item, the one that the fewest documents hold is a seed, so any ``window + 2`` words in a
+    row left unedited hold one; of items up to 24 words all runs are. Around each seed found in
+    a text the words are aligned with the item (match 2, other word -1, word left out -1);
+    similarity is the score over that of the item with itself, matches reach ``threshold``. An
+    item of more than 64 words is also looked for in overlapping parts of 64, each scored by
+    itself, so that 48 of its words in a row match however long it is; the best score counts.
 
     Items of fewer than three words have no seed and match nothing. Null and empty texts match
     nothing. Repeated items with different ids match each by itself; items repeated in full
@@ -248,7 +269,7 @@ def matches(
     docs = df.select(F.col(quoted(id_col)).alias("id"), text_of(text_col).alias("text"))
     tests = items.select(F.col(quoted(item_id_col)).alias("item_id"), text_of(item_text_col).alias("text")).distinct()
     kind = tests.schema["item_id"].dataType
-    pattern, out = re.compile(WORD), None
+    out = None
     ids, texts, n = [], [], 0
 
     def with_block(out):
@@ -256,7 +277,7 @@ def matches(
         return part if out is None else out.unionByName(part)
 
     for r in tests.orderBy("item_id", "text").toLocalIterator():
-        size = len(pattern.findall(r["text"]))
+        size = len(_words(r["text"]))
         if ids and n + size > block_words:
             out = with_block(out)
             ids, texts, n = [], [], 0

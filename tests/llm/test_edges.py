@@ -241,6 +241,28 @@ def test_decontamination_of_edited_copies(spark):
     assert got == {k for k, _ in rows}
 
 
+def test_decontamination_of_parts_short_items_and_unspaced_scripts(spark):
+    import random
+
+    rng = random.Random(4)
+    long = [f"term{i}" for i in range(400)]
+    han = "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(40))
+    short = [f"q{i}" for i in range(12)]
+    items = [(1, " ".join(long)), (2, han), (3, " ".join(short))]
+    pad = [f"pre{i}" for i in range(300)]
+    put = lambda words: " ".join([*pad, *words, *pad])
+    rows = [(k, put(long[a : a + 150])) for k, a in enumerate((0, 37, 131, 250))]
+    rows += [(10 + k, put(long[a : a + 48])) for k, a in enumerate((0, 17, 20, 31, 352))]
+    rows += [(20, "他們說" + han + "這是其他內容"), (21, han[:30])]
+    rows += [(30, put(["q0", "q1", "x", "q3", "q4", "q5", "y", "q7", "z", "q9", "q10", "u"]))]
+    clean = [(100, put(long[50:60])), (101, han[::-1]), (102, "這是其他內容他們說"), (103, put(short[:3])), (104, "\U0001f600 é"), (105, put([]))]
+    df = spark.createDataFrame(rows + clean, "doc_id long, text string")
+    out = decontaminate.matches(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["id"], r["item_id"]) for r in out} == {(i, 1 if i < 20 else 2 if i < 30 else 3) for i, _ in rows}
+    r = next(r for r in out if r["id"] == 20)
+    assert rows[9][1][r["begin"] : r["end"]] == han and r["similarity"] == 1.0
+
+
 def test_tokens(docs, empty):
     import public_tokenizers
     import sentencepiece
