@@ -227,26 +227,40 @@ def op10(spark, d):
 
 
 def _license_sql() -> str:
-    rows = ", ".join(
-        "(%d, '%s', [%s])" % (i, n, ", ".join(f"'{b}'" for b in licenses.bigrams_of(t)))
-        for i, (n, t) in enumerate(licenses.TEMPLATES)
-    )
+    def entry(i, name, text):
+        g = licenses.bigrams_of(text)
+        low, high = licenses.sizes(len(g), 0.8)
+        return "(%d, '%s', %d, %d, [%s])" % (i, name, low, high, ", ".join(f"'{b}'" for b in g))
+
+    rows = ", ".join(entry(i, n, t) for i, (n, t) in enumerate(licenses.TEMPLATES))
     return rf"""
-WITH tpl(i, license, g) AS (VALUES {rows}),
-tb AS (SELECT i, license, len(g) AS m, unnest(g) AS b FROM tpl),
-u AS (
+WITH tpl(i, license, low, high, g) AS (VALUES {rows}),
+tb AS (SELECT i, license, low, high, len(g) AS m, unnest(g) AS b FROM tpl),
+l AS (
   SELECT doc_id, CAST(unnest(range(len(ls))) AS INT) AS line, unnest(ls) AS t
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
-  UNION ALL SELECT doc_id, -1, text FROM documents WHERE contains(text, chr(10))
-), w AS (
-  SELECT doc_id, line, list_filter(regexp_split_to_array(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+'), lambda x: x <> '') AS ws FROM u
-), g AS (
-  SELECT doc_id, line, list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS g FROM w WHERE len(ws) > 1
-), e AS (SELECT doc_id, line, len(g) AS n, unnest(g) AS b FROM g),
-c AS (SELECT doc_id, line, license, 2.0::DOUBLE * count(*) / (n + m) AS dice FROM e JOIN tb ON e.b = tb.b GROUP BY doc_id, line, n, i, license, m)
-SELECT doc_id, line, min(license) AS license, any_value(dice) AS dice
-FROM (SELECT *, max(dice) OVER (PARTITION BY doc_id, line) AS top FROM c) WHERE dice = top AND dice >= 0.8
-GROUP BY doc_id, line
+), lw AS (
+  SELECT doc_id, line, list_filter(regexp_split_to_array(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+'), lambda x: x <> '') AS ws FROM l
+), w AS (SELECT doc_id, line, unnest(range(len(ws))) AS k, unnest(ws) AS w FROM lw),
+o AS (SELECT doc_id, line, w, row_number() OVER s - 1 AS p, lead(w) OVER s AS nxt FROM w WINDOW s AS (PARTITION BY doc_id ORDER BY line, k)),
+g AS (SELECT doc_id, line, p, w || ' ' || nxt AS b FROM o WHERE nxt IS NOT NULL),
+hit AS (SELECT doc_id, line, p, i, license, low, high, m FROM g JOIN tb USING (b)),
+span AS (
+  SELECT a.doc_id, a.line, a.p AS p, z.p AS q, a.i, a.license, a.m
+  FROM hit a JOIN hit z ON a.doc_id = z.doc_id AND a.i = z.i AND z.p - a.p + 1 BETWEEN a.low AND a.high
+), win AS (
+  SELECT s.doc_id, s.line, s.p, s.q, s.i, s.license, 2.0::DOUBLE * count(DISTINCT tb.b) / (count(DISTINCT g.b) + s.m) AS dice
+  FROM span s JOIN g ON g.doc_id = s.doc_id AND g.p BETWEEN s.p AND s.q LEFT JOIN tb ON tb.i = s.i AND tb.b = g.b
+  GROUP BY s.doc_id, s.line, s.p, s.q, s.i, s.license, s.m
+), word AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, p ORDER BY dice DESC, license, q) AS r FROM win WHERE dice >= 0.8) WHERE r = 1
+), line AS (
+  SELECT * FROM (SELECT * EXCLUDE r, row_number() OVER (PARTITION BY doc_id, line, license ORDER BY dice DESC, p) AS r FROM word) WHERE r = 1
+)
+SELECT x.doc_id, x.line, x.license, x.dice, CAST(x.p AS INT) AS begin, CAST(x.q - x.p + 2 AS INT) AS n_words
+FROM (SELECT *, unnest(range(p, q + 2)) AS word FROM line) x
+LEFT JOIN line y ON y.doc_id = x.doc_id AND y.license = x.license AND y.dice > x.dice AND x.word BETWEEN y.p AND y.q + 1
+GROUP BY x.doc_id, x.line, x.license, x.dice, x.p, x.q HAVING bool_or(y.p IS NULL)
 """
 
 

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing column names."""
 
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -341,16 +342,63 @@ def test_licenses(docs, empty, spark):
     assert licenses.scan(docs).count() == 0 and licenses.scan(empty).count() == 0
     rows = [(1, "x\nLICENSED under the Apache License -- Version 2.0!"), (1, "x\nLICENSED under the Apache License -- Version 2.0!"), (None, "Released under the MIT License\nnow")]
     got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    found = sorted((r["doc_id"] or 0, r["line"], r["license"], round(r["dice"], 6)) for r in got)
-    assert found == [
-        (0, -1, "MIT", round(8 / 9, 6)),
-        (0, 0, "MIT", 1.0),
-        (1, -1, "Apache-2.0", round(14 / 15, 6)),
-        (1, 1, "Apache-2.0", 1.0),
-    ]
+    found = sorted((r["doc_id"] or 0, r["line"], r["license"], round(r["dice"], 6), r["begin"], r["n_words"]) for r in got)
+    assert found == [(0, 0, "MIT", 1.0, 0, 5), (1, 1, "Apache-2.0", 1.0, 1, 8)]
     assert licenses.scan(docs, templates=[]).count() == 0
 
 
+def _all_license_windows(text, templates=licenses.TEMPLATES, threshold=0.8):
+    """Every window of words against every template, without any pruning but the sizes."""
+    words = [(w, n) for n, t in enumerate(text.split("\n")) for w in re.split("[^a-z0-9]+", t.lower()) if w]
+    grams = [f"{a} {b}" for (a, _), (b, _) in zip(words, words[1:])]
+    begins = {}
+    for name, template in templates:
+        own = set(licenses.bigrams_of(template))
+        low, high = licenses.sizes(len(own), threshold)
+        for p, first in enumerate(grams):
+            for q in range(p + low - 1, min(len(grams), p + high)):
+                part = set(grams[p : q + 1])
+                dice = 2 * len(part & own) / (len(part) + len(own))
+                if dice >= threshold and first in own and grams[q] in own:
+                    begins.setdefault(p, []).append((-dice, name, q))
+    lines = {}
+    for p, found in begins.items():
+        d, name, q = min(found)
+        lines.setdefault((words[p][1], name), []).append((d, p, q))
+    best = [(line, name, *min(v)) for (line, name), v in lines.items()]
+    return sorted(
+        (line, name, round(-d, 9), p, q - p + 2)
+        for line, name, d, p, q in best
+        if not all(any(n == name and e < d and a <= w <= z + 1 for _, n, e, a, z in best) for w in range(p, q + 2))
+    )
+
+
+def test_licences_wrapped_inline_and_side_by_side(spark):
+    apache = licenses.TEMPLATES[2][1]
+    mit = licenses.TEMPLATES[16][1]
+    texts = [
+        "Some words first. Licensed under the Apache\nLicense, Version 2.0 and then\nmuch more text follows here",
+        f"one two three four five six. {mit}, to deal in the Software without restriction and so on for long",
+        "Copyright\n" + "\n".join(apache.split(" ")) + "\nend",  # a word on each line
+        "Licensed under CC BY 4.0 Licensed under CC BY-NC 4.0 Released under the MIT License Released under the MIT License",
+        "Released under the\nMIT License\n" * 50,
+        "under the the the under the License of the work under the",
+        "Licensed under the GNU Affero General Public License, version 3\nThis work is licensed under the GNU General Public License, version 2",
+        "Released under MIT License",
+    ]
+    rows = list(enumerate(texts))
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r["doc_id"], []).append((r["line"], r["license"], round(r["dice"], 9), r["begin"], r["n_words"]))
+    for i, text in rows:
+        assert sorted(found.get(i, [])) == _all_license_windows(text), i
+    assert found[0] == [(0, "Apache-2.0", 1.0, 3, 8)]
+    assert {f[1] for f in found[1]} == {"MIT"} and {f[1] for f in found[2]} == {"Apache-2.0"}
+    assert {f[1] for f in found[3]} == {"CC-BY-4.0", "CC-BY-NC-4.0", "MIT"}
+    assert len(found[4]) == 50 and 5 not in found
+
+
 PAGES = [
     (1, "http://a.example.net/en/1", "<p>x</p>"),
     (2, "HTTP://A.EXAMPLE.NET", "<p>x</p>"),
