@@ -254,11 +254,13 @@ def visit_blocks(
     cells: Cells,
     within: Callable[[np.ndarray, np.ndarray], np.ndarray],
     extra: str = "",
+    carry: tuple[str, ...] = (),
 ):
     """Grouped (query side, data side) pair keyed by (cell, data block, query block).
 
     ``within(dq, extra values)`` bounds how far each query row has to look.
-    ``extra`` names a double column of the query side that travels along.
+    ``extra`` names a double column of the query side that travels along, ``carry`` columns of
+    the data side.
     """
     spark = placed.sparkSession
     shared = spark.sparkContext.broadcast((cells.pivots, cells.count, cells.radius, cells.kth))
@@ -296,7 +298,7 @@ def visit_blocks(
     upto = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
     left = visits.withColumn("cell", F.explode("cells")).drop("cells").join(split, "cell")
     left = left.withColumn("qb", h("nq")).withColumn("db", upto("nd")).drop("nd", "nq")
-    right = placed.select("id", "v", "cell").join(split, "cell")
+    right = placed.select("id", "v", "cell", *carry).join(split, "cell")
     right = right.withColumn("db", h("nd")).withColumn("qb", upto("nq")).drop("nd", "nq")
     keys = ["cell", "db", "qb"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys))

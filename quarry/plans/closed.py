@@ -277,6 +277,27 @@ def far_ward(spark, d):
     return _spans(clusters.join(x.select("s_suppkey", "g"), "s_suppkey"))
 
 
+#: One row a step: the clusters left, and the merge of the two whose union adds least scatter.
+_GREEDY_WARD = """WITH RECURSIVE step(l, m) AS (
+  SELECT list({'id': s_suppkey, 'n': 1.0::DOUBLE, 'v': s_acctbal::DOUBLE}), CAST(NULL AS STRUCT(cost DOUBLE, a BIGINT, b BIGINT, n DOUBLE, v DOUBLE)) FROM supplier
+  UNION ALL
+  SELECT list_append(list_filter(l, lambda c: c.id <> e.a AND c.id <> e.b), {'id': e.a, 'n': e.n, 'v': e.v}), e
+  FROM (
+    SELECT l, (
+      SELECT min({'cost': (p.v - q.v) * (p.v - q.v) * (p.n * q.n / (p.n + q.n)), 'a': p.id, 'b': q.id, 'n': p.n + q.n, 'v': (p.n * p.v + q.n * q.v) / (p.n + q.n)})
+      FROM (SELECT unnest(l) AS p), (SELECT unnest(l) AS q) WHERE p.id < q.id
+    ) AS e FROM step WHERE len(l) > 1
+  )
+)
+SELECT m.a AS a, m.b AS b, round(sqrt(2 * m.cost), 6) AS height, CAST(m.n AS BIGINT) AS size FROM step WHERE m IS NOT NULL"""
+
+
+@query("c7_ward_tree", _GREEDY_WARD)
+def ward_rounds(spark, d):
+    x = table(spark, d, "supplier").select("s_suppkey", F.array("s_acctbal").alias("features"))
+    return rounded(hierarchy.ward_tree(x, "s_suppkey", block=60))
+
+
 @query(
     "c5_cut_at_the_largest_gaps",
     """WITH s AS (SELECT s_suppkey, s_acctbal AS v, s_acctbal - lag(s_acctbal) OVER (ORDER BY s_acctbal, s_suppkey) AS gap FROM supplier),

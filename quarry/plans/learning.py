@@ -296,6 +296,13 @@ def c6(spark, d):
     return describe.cluster_class_share(clusters.join(x.select("vec_id", "label"), "vec_id"), "cluster", "label")
 
 
+@query("c6_ward_tree")
+def c6_tree(spark, d):
+    x = _emb(spark, d)
+    clusters = hierarchy.cut_tree(x, hierarchy.ward_tree(x, "vec_id"), 17, "vec_id")
+    return describe.cluster_class_share(clusters.join(x.select("vec_id", "label"), "vec_id"), "cluster", "label")
+
+
 @query("c7_ward_merges")
 def c7w(spark, d):
     return hierarchy.ward(_emb(spark, d), 17, id_col="vec_id")[1]

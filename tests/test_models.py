@@ -319,6 +319,65 @@ def test_ward(spark):
     assert hierarchy.ward_merges(np.array([1, 1]), np.array([[0.0, 0.0], [3.0, 4.0]]))[0][2] == pytest.approx(5)
 
 
+def _greedy_ward(x):
+    """Every merge by the least rise of scatter over all pairs: heights and the members of each merge."""
+    groups, heights, made = [[i] for i in range(len(x))], [], []
+    while len(groups) > 1:
+        mean = np.array([x[g].mean(0) for g in groups])
+        n = np.array([len(g) for g in groups], float)
+        d = ((mean[:, None] - mean[None]) ** 2).sum(2) * (n[:, None] * n) / (n[:, None] + n)
+        np.fill_diagonal(d, np.inf)
+        i, j = sorted(divmod(int(d.argmin()), len(groups)))
+        heights.append(float(np.sqrt(2 * d[i, j])))
+        groups[i] = sorted(groups[i] + groups.pop(j))
+        made.append(tuple(groups[i]))
+    return heights, made
+
+
+def _members(tree):
+    """Members of each merge of a table of (a, b, height, size)."""
+    groups, made = {}, []
+    for r in sorted(tree, key=lambda r: (r["height"], r["size"])):
+        left, right = groups.pop(r["a"], [r["a"]]), groups.pop(r["b"], [r["b"]])
+        groups[r["a"]] = sorted(left + right)
+        assert len(groups[r["a"]]) == r["size"]
+        made.append(tuple(groups[r["a"]]))
+    return made
+
+
+@pytest.mark.parametrize("block", [150, 4096])
+def test_ward_tree_equals_greedy_merging(spark, block):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=(200, 3)), rng.normal(6, 0.3, (120, 3)), rng.uniform(-9, 9, (80, 3))])
+    heights, made = _greedy_ward(x)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, features array<double>")
+    got = hierarchy.ward_tree(df, block=block)
+    tree = got.collect()
+    assert sorted(r["height"] for r in tree) == pytest.approx(heights, abs=1e-9)
+    assert set(_members(tree)) == set(made)
+    cut = {}
+    for r in hierarchy.cut_tree(df, got, 5).collect():
+        cut.setdefault(r["cluster"], []).append(r["id"])
+    groups = {(i,) for i in range(len(x))}
+    for g in made[:-4]:
+        groups = {h for h in groups if not set(h) <= set(g)} | {g}
+    assert {tuple(sorted(g)) for g in cut.values()} == groups
+
+
+def test_ward_tree_of_equal_rows_even_steps_and_odd_ids(spark):
+    schema = "id long, features array<double>"
+    rows = [(i, [0.0, 1.0]) for i in range(60)] + [(60 + i, [float(i + 5), 1.0]) for i in range(64)]
+    tree = hierarchy.ward_tree(spark.createDataFrame(rows, schema), block=32).collect()
+    assert len(tree) == 123 and sum(r["height"] == 0 for r in tree) == 59
+    assert _members(tree)[-1] == tuple(range(124))
+    total = ((np.array([r[1] for r in rows]) - np.mean([r[1] for r in rows], 0)) ** 2).sum()
+    assert sum(r["height"] ** 2 / 2 for r in tree) == pytest.approx(total)
+    assert hierarchy.ward_tree(spark.createDataFrame([], schema)).count() == 0
+    assert hierarchy.ward_tree(spark.createDataFrame([(7, [1.0])], schema)).count() == 0
+    named = spark.createDataFrame([("x", [0.0]), ("y", [3.0]), ("z", [3.5])], "id string, features array<double>")
+    assert [(r["a"], r["b"], r["size"]) for r in hierarchy.ward_tree(named).orderBy("height").collect()] == [("y", "z", 2), ("x", "y", 3)]
+
+
 def test_null_features_are_refused(spark):
     df = spark.createDataFrame([(1.0,), (None,)], "a double")
     with pytest.raises(Exception, match="null feature value"):
