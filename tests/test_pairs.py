@@ -83,6 +83,27 @@ def test_kernel_density_on_shuffled_plan(spark, tiny_broadcast, kind):
         np.testing.assert_allclose([got[(i, w)] for i in range(len(x))], want, atol=1e-6)
 
 
+@pytest.mark.parametrize("kind", ["normal", "heavy", "copies"])
+def test_kernel_sums_on_the_line(spark, monkeypatch, kind):
+    """Many rows of one column: no pair is measured, the sums are those of all pairs."""
+    rng = np.random.default_rng(7)
+    n = 3_000
+    x = {"normal": rng.normal(4e5, 300, n), "heavy": rng.standard_cauchy(n), "copies": np.repeat(rng.normal(0, 1, 10), n // 10)}[kind]
+    monkeypatch.setattr(pairs, "BLOCK_ROWS", 100)
+
+    def refuse(*_):
+        raise AssertionError("pairs were measured")
+
+    monkeypatch.setattr(pairs, "block_kernel_sums", refuse)
+    widths = [0.3 * np.std(x[np.abs(x - np.median(x)) < 1e3]) ** 2, 1e-3]
+    sums, rows, _ = pairs.kernel_sums(frame(spark, x[:, None]), widths, skip_self=False)
+    got = {r["id"]: np.exp(r["shift"]) * np.array(r["total"]) for r in sums.collect()}
+    assert rows == n and len(got) == n
+    for i in range(0, n, 7):
+        want = [np.exp(-((x - x[i]) ** 2) / (2 * w)).sum() for w in widths]
+        np.testing.assert_allclose(got[i], want, rtol=1e-9)
+
+
 def test_similarity_on_shuffled_plan(spark, tiny_broadcast):
     x, y = cloud("flat", 60), cloud("flat", 70)[10:]
     got = {(r["x_id"], r["y_id"]): r["sim"] for r in similarity.similarity(frame(spark, x), frame(spark, y), "cos").collect()}
