@@ -29,6 +29,7 @@ from quarry.session import broadcast_limit, cut_lineage, spread_small
 
 BLOCK_ROWS = 4_096
 MAX_PIVOTS = 2_048
+FEW_COLUMNS = 8
 CHUNK = 2_000_000  # pair distances held at a time inside a task
 SLACK = 1e-9  # share of the squared norms by which an expanded product may be off
 MARGIN = 1e-6  # share of the spread added to every bound before a cell is ruled out
@@ -103,6 +104,11 @@ def fits(spark, n: int, m: int) -> bool:
     return n * (m + 1) * 8 <= broadcast_limit(spark)
 
 
+def worth_cells(n: int, m: int) -> bool:
+    """Many rows of few columns: cells spare most of the pairs that a scan of a copy would measure."""
+    return m <= FEW_COLUMNS and n > 8 * BLOCK_ROWS
+
+
 # --- kernels: numpy on one block against one block -------------------------------
 def squared_distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """|x|^2 - 2 x.y + |y|^2, clamped at 0."""
@@ -341,7 +347,7 @@ def nearest_neighbours(
         return [pa.array(qid[r]), pa.array(xid[c]), pa.array(dist)]
 
     names = ["query_id", "neighbor_id", "distance"]
-    if fits(spark, n, m):
+    if fits(spark, n, m) and not worth_cells(n, m):
         shared = spark.sparkContext.broadcast(fetch(x))
 
         def scan(batches):

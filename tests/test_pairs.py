@@ -55,6 +55,30 @@ def test_plans_agree_for_new_queries(spark, tiny_broadcast):
     ]
 
 
+@pytest.mark.parametrize("skip", [False, True])
+def test_few_columns_go_by_cells(spark, monkeypatch, skip):
+    """Rows that fit a copy are still not all measured against all: cells rule most of them out."""
+    x = np.concatenate([np.random.default_rng(3).uniform(0, 100, (1_000, 2)), np.full((60, 2), 7.0)])
+    df = frame(spark, x)
+    monkeypatch.setattr(pairs, "BLOCK_ROWS", 40)
+    met = []
+    visit = pairs.visit_blocks
+
+    def watched(queries, placed, cells, within, *rest, **named):
+        dq = cells.distances(x)
+        met.append((cells.reachable(dq, within(dq, None)) * cells.count).sum())
+        return visit(queries, placed, cells, within, *rest, **named)
+
+    monkeypatch.setattr(pairs, "visit_blocks", watched)
+    got = {}
+    for r in pairs.nearest_neighbours(df, df, 4, include_self=not skip).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["neighbor_id"], r["distance"])
+    assert sum(met) and sum(met) < len(x) ** 2 / 3
+    for i, want in brute(x, 4, skip).items():
+        assert [got[i][k + 1][0] for k in range(4)] == [j for j, _ in want]
+        np.testing.assert_allclose([got[i][k + 1][1] ** 2 for k in range(4)], [d for _, d in want], atol=1e-9)
+
+
 def test_more_neighbours_than_rows(spark):
     df = frame(spark, cloud("flat", 5))
     assert pairs.nearest_neighbours(df, df, 9).count() == 25
