@@ -217,6 +217,16 @@ class Cells:
         return (np.maximum(lower, plane) <= limit) & (self.count[None, :] > 0)
 
 
+def nearest_on_line(v: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest pivot of each value and its distance; cells are intervals that do not overlap, to the last bit."""
+    order = np.argsort(pivots, kind="stable")
+    line = pivots[order]
+    at = np.searchsorted(line[:-1] + np.diff(line) / 2, v, "left")
+    at = np.searchsorted(line, line[at], "left")  # of equal pivots the first has the rows
+    cell = np.where(np.isnan(v), 0, order[at])
+    return cell, np.abs(v - pivots[cell])
+
+
 def build_cells(x: DataFrame, n: int, m: int, k: int) -> tuple[DataFrame, Cells]:
     """Assign rows to their nearest pivot; measure every cell (at most MAX_PIVOTS rows)."""
     spark = x.sparkSession
@@ -226,12 +236,15 @@ def build_cells(x: DataFrame, n: int, m: int, k: int) -> tuple[DataFrame, Cells]
 
     def assign(batches):
         for b, v in batches_to_matrices(batches, "v"):
-            c = shared.value.mean(0)
-            d2 = squared_distances(v - c, shared.value - c)
-            cell = d2.argmin(1)
+            if m == 1:
+                cell, far = nearest_on_line(v[:, 0], shared.value[:, 0])
+            else:
+                c = shared.value.mean(0)
+                d2 = squared_distances(v - c, shared.value - c)
+                cell = d2.argmin(1)
+                far = np.sqrt(d2[np.arange(len(v)), cell])
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("v"), pa.array(cell.astype(np.int32)), pa.array(np.sqrt(d2[np.arange(len(v)), cell]))],
-                names=["id", "v", "cell", "pd"],
+                [b.column("id"), b.column("v"), pa.array(cell.astype(np.int32)), pa.array(far)], names=["id", "v", "cell", "pd"]
             )
 
     placed = cut_lineage(x.mapInArrow(assign, "id long, v array<double>, cell int, pd double"), "cells")

@@ -182,6 +182,26 @@ def test_single_linkage(spark, forced, kind, request):
         assert {frozenset(s) for s in sets.values()} == want
 
 
+@pytest.mark.parametrize("kind", ["spread", "copies", "one", "close"])
+def test_single_linkage_on_the_line(spark, tiny_broadcast, monkeypatch, kind):
+    """Rows of one column: trees of intervals and their borders are the tree, without rounds over its edges."""
+    rng = np.random.default_rng(5)
+    x = {
+        "spread": rng.normal(0, 50, 300) ** 3,
+        "copies": rng.integers(0, 60, 300) / 7.0,
+        "one": np.full(300, -3.5),
+        "close": 1e8 + rng.permutation(300) * 2.0**-20 * np.repeat([1, 5], 150),
+    }[kind]
+
+    def refuse(*_):
+        raise AssertionError("the tree needs no rounds")
+
+    monkeypatch.setattr(hierarchy, "contract", refuse)
+    got = sorted((r["height"], r["a"], r["b"]) for r in hierarchy.spanning_tree(frame(spark, x[:, None])).collect())
+    a, b, h = hierarchy._tree_of_block(np.arange(300), x[:, None])
+    assert got == sorted(zip(h, a, b))
+
+
 def test_far_cells_never_meet(spark, tiny_broadcast):
     """On groups far apart the rows sent to other cells stay below n times its root."""
     x = cloud("blobs", 1_000)
