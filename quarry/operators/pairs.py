@@ -30,7 +30,10 @@ from quarry.session import broadcast_limit, cut_lineage, spread_small
 BLOCK_ROWS = 4_096
 MAX_PIVOTS = 2_048
 FEW_COLUMNS = 8
+CROWD = 8  # visited cells per row from which on cells are put together
+TILE_BYTES = 64 * 1024 * 1024
 CHUNK = 2_000_000  # pair distances held at a time inside a task
+SLAB = 4_096  # data rows that a search takes at a time
 SLACK = 1e-9  # share of the squared norms by which an expanded product may be off
 MARGIN = 1e-6  # share of the spread added to every bound before a cell is ruled out
 
@@ -128,18 +131,25 @@ def block_nearest(qid, q, xid, x, k: int, skip_self: bool):
     centre = x.mean(0)
     q0, x0 = q - centre, x - centre
     reach = float((x0 * x0).sum(1).max())
-    step = max(1, CHUNK // len(x))
+    step = max(1, CHUNK // min(len(x), SLAB))
     for a in range(0, len(q), step):
         part = q0[a : a + step]
-        d2 = squared_distances(part, x0)
-        if skip_self:
-            d2[qid[a : a + step][:, None] == xid[None, :]] = np.inf
-        if k < d2.shape[1]:
-            cut = np.partition(d2, k - 1, axis=1)[:, k - 1]
-        else:
-            cut = np.full(len(part), np.inf)
         slack = SLACK * ((part * part).sum(1) + reach)
-        r, c = np.nonzero((d2 <= (cut + slack)[:, None]) & np.isfinite(d2))
+        best = np.full((len(part), k), np.inf)  # the k smallest so far
+        hits = []
+        for s in range(0, len(x), SLAB):
+            d2 = squared_distances(part, x0[s : s + SLAB])
+            if skip_self:
+                d2[qid[a : a + step][:, None] == xid[None, s : s + SLAB]] = np.inf
+            some = np.flatnonzero((d2 < best[:, -1:]).any(1))
+            best[some] = np.partition(np.concatenate([best[some], d2[some]], axis=1), k - 1, axis=1)[:, :k]
+            r, c = np.nonzero(d2 <= (best[:, -1] + slack)[:, None])
+            finite = np.isfinite(d2[r, c])
+            r, c = r[finite], c[finite]
+            hits.append((r, c + s, d2[r, c]))
+        r, c, d2 = (np.concatenate(h) for h in zip(*hits))
+        near = d2 <= (best[:, -1] + slack)[r]
+        r, c = r[near], c[near]
         true = np.empty(len(r))
         for s in range(0, len(r), 50_000):
             diff = q[a + r[s : s + 50_000]] - x[c[s : s + 50_000]]
@@ -267,6 +277,49 @@ def build_cells(x: DataFrame, n: int, m: int, k: int) -> tuple[DataFrame, Cells]
     return placed, cells
 
 
+def _load(visits: DataFrame, cells: int) -> np.ndarray:
+    """The number of visitors of each cell."""
+    out = np.zeros(cells, np.int64)
+    for r in visits.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).collect():
+        out[r["cell"]] = r["n"]
+    return out
+
+
+def _tile_rows(n: int, m: int) -> int:
+    """An eighth of the rows, so that a row travels some eight times, in bounded memory."""
+    return max(BLOCK_ROWS, min(-(-n // 8), TILE_BYTES // (8 * max(1, m))))
+
+
+def _tiles(cells: Cells, rows: int) -> np.ndarray:
+    """A tile for each cell: cells side by side along the pivots' longest axis, up to ``rows`` rows together."""
+    spread = cells.pivots - cells.pivots.mean(0)
+    _, axes = np.linalg.eigh(spread.T @ spread)
+    tile, now, filled = np.zeros(len(cells.count), np.int32), 0, 0
+    for c in np.argsort(spread @ axes[:, -1], kind="stable"):
+        if filled and filled + cells.count[c] > rows:
+            now, filled = now + 1, 0
+        tile[c] = now
+        filled += cells.count[c]
+    return tile
+
+
+def _coarsen(tile: np.ndarray):
+    """Lists of cells become lists of their tiles, each once."""
+
+    def run(batches):
+        for b in batches:
+            lists = b.column("cells")
+            sizes = np.diff(lists.offsets.to_numpy())
+            row = np.repeat(np.arange(b.num_rows), sizes)
+            at = np.unique(row * np.int64(len(tile)) + tile[lists.flatten().to_numpy()])
+            off = np.searchsorted(at, np.arange(b.num_rows + 1) * np.int64(len(tile))).astype(np.int32)
+            tiles = pa.ListArray.from_arrays(pa.array(off), pa.array((at % len(tile)).astype(np.int32)))
+            cols = [tiles if n == "cells" else b.column(n) for n in b.schema.names]
+            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
+
+    return run
+
+
 def visit_blocks(
     queries: DataFrame,
     placed: DataFrame,
@@ -279,7 +332,8 @@ def visit_blocks(
 
     ``within(dq, extra values)`` bounds how far each query row has to look.
     ``extra`` names a double column of the query side that travels along, ``carry`` columns of
-    the data side.
+    the data side. Where a row visits many cells, cells are put together to tiles, and the row
+    travels once to each tile of which it visits a cell, unless that would double the pairs to measure.
     """
     spark = placed.sparkSession
     shared = spark.sparkContext.broadcast((cells.pivots, cells.count, cells.radius, cells.kth))
@@ -304,12 +358,19 @@ def visit_blocks(
 
     schema = "id long, v array<double>, cells array<int>" + (f", {extra} double" if extra else "")
     visits = cut_lineage(queries.mapInArrow(targets, schema), "visits")
-    load = {r["cell"]: r["n"] for r in visits.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    size, load, block = cells.count, _load(visits, len(cells.count)), BLOCK_ROWS
+    if load.sum() > CROWD * visits.count():
+        rows = _tile_rows(int(size.sum()), cells.pivots.shape[1])
+        tile = _tiles(cells, rows)
+        coarse = visits.mapInArrow(_coarsen(tile), schema)
+        tile_size = np.bincount(tile, size, len(size)).astype(np.int64)
+        tile_load = _load(coarse, len(size))
+        if (tile_load * tile_size).sum() <= 2.0 * (load * size).sum():
+            visits, size, load, block = coarse, tile_size, tile_load, rows
+            dim = spark.createDataFrame([(c, int(t)) for c, t in enumerate(tile)], "cell int, tile int")
+            placed = placed.join(F.broadcast(dim), "cell").drop("cell").withColumnRenamed("tile", "cell")
     split = spark.createDataFrame(
-        [
-            (int(c), int(-(-cells.count[c] // BLOCK_ROWS)), int(-(-visitors // BLOCK_ROWS)))
-            for c, visitors in sorted(load.items())
-        ],
+        [(int(c), int(-(-size[c] // block)), int(-(-load[c] // block))) for c in np.flatnonzero(load)],
         "cell int, nd int, nq int",
     )
     split = F.broadcast(split)  # at most MAX_PIVOTS rows

@@ -128,6 +128,28 @@ def test_kernel_sums_on_the_line(spark, monkeypatch, kind):
         np.testing.assert_allclose(got[i], want, rtol=1e-9)
 
 
+@pytest.mark.parametrize("kind", ["flat", "blobs"])
+def test_a_row_travels_to_tiles(spark, tiny_broadcast, monkeypatch, kind):
+    """Without structure a row goes to each of few tiles, not to each of many cells; far blobs still do not meet."""
+    x = cloud(kind, 600)
+    df = frame(spark, x)
+    moved = []
+    visit = pairs.visit_blocks
+
+    def watched(*args, **named):
+        blocks = visit(*args, **named)
+        moved.append(sum(g._df.count() for g in (blocks._gd1, blocks._gd2)))
+        return blocks
+
+    monkeypatch.setattr(pairs, "visit_blocks", watched)
+    got = {}
+    for r in pairs.nearest_neighbours(df, df, 4).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["neighbor_id"]
+    assert moved[0] <= 2 * len(x) * 10
+    for i, want in brute(x, 4, False).items():
+        assert [got[i][k + 1] for k in range(4)] == [j for j, _ in want]
+
+
 def test_similarity_on_shuffled_plan(spark, tiny_broadcast):
     x, y = cloud("flat", 60), cloud("flat", 70)[10:]
     got = {(r["x_id"], r["y_id"]): r["sim"] for r in similarity.similarity(frame(spark, x), frame(spark, y), "cos").collect()}
