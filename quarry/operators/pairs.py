@@ -177,11 +177,18 @@ def block_kernel_sums(qid, q, xid, x, widths, shift, skip_self: bool):
         if skip_self:
             d2[qid[a : a + step][:, None] == xid[None, :]] = np.inf
         near = d2.min(1)
-        for i, w in enumerate(widths):
-            if shift is None:
-                top[a : a + step, i] = -near / (2 * w)
-            ref = np.where(np.isfinite(top[a : a + step, i]), top[a : a + step, i], 0.0)
-            out[a : a + step, i] = np.exp(-d2 / (2 * w) - ref[:, None]).sum(1)
+        if shift is None:
+            top[a : a + step] = -near[:, None] / np.array([2 * w for w in widths])
+        ref = np.where(np.isfinite(top[a : a + step]), top[a : a + step], 0.0)
+        for s in range(0, len(x), SLAB):
+            piece, last = d2[:, s : s + SLAB], None
+            for i in sorted(range(nw), key=lambda i: -widths[i]):
+                if last is not None and 2 * widths[i] == widths[last] and (ref[:, i] == 2 * ref[:, last]).all():
+                    np.multiply(e, e, out=e)  # half the width: the square
+                else:
+                    e = np.exp(-piece / (2 * widths[i]) - ref[:, i, None])
+                out[a : a + step, i] += e.sum(1)
+                last = i
     return top, out
 
 

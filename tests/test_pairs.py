@@ -150,6 +150,21 @@ def test_a_row_travels_to_tiles(spark, tiny_broadcast, monkeypatch, kind):
         assert [got[i][k + 1] for k in range(4)] == [j for j, _ in want]
 
 
+def test_kernel_sums_of_halved_widths(monkeypatch):
+    """Widths that halve cost one exponential a pair; the sums are those of each width by itself."""
+    rng = np.random.default_rng(8)
+    q, x = rng.normal(0, 1, (50, 6)), rng.normal(0, 1, (9_000, 6))
+    widths = [0.7 * 2.0**p for p in range(-10, 3)]
+    calls = []
+    exp = np.exp
+    monkeypatch.setattr(np, "exp", lambda v: calls.append(np.size(v)) or exp(v))
+    top, got = pairs.block_kernel_sums(np.arange(50), q, np.arange(100, 9_100), x, widths, None, True)
+    assert sum(calls) <= len(q) * len(x)
+    d2 = ((q[:, None, :] - x[None, :, :]) ** 2).sum(2)
+    for i, w in enumerate(widths):
+        np.testing.assert_allclose(np.log(got[:, i]) + top[:, i], np.log(exp(-(d2 - d2.min(1)[:, None]) / (2 * w)).sum(1)) - d2.min(1) / (2 * w), rtol=1e-9)
+
+
 def test_similarity_on_shuffled_plan(spark, tiny_broadcast):
     x, y = cloud("flat", 60), cloud("flat", 70)[10:]
     got = {(r["x_id"], r["y_id"]): r["sim"] for r in similarity.similarity(frame(spark, x), frame(spark, y), "cos").collect()}
