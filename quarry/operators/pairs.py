@@ -115,7 +115,9 @@ def worth_cells(n: int, m: int) -> bool:
 # --- kernels: numpy on one block against one block -------------------------------
 def squared_distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """|x|^2 - 2 x.y + |y|^2, clamped at 0."""
-    d = (q * q).sum(1)[:, None] - 2 * (q @ x.T) + (x * x).sum(1)[None, :]
+    d = (-2 * q) @ x.T  # in place from here on, the terms added in the same order
+    d += (q * q).sum(1)[:, None]
+    d += (x * x).sum(1)[None, :]
     return np.maximum(d, 0, out=d)
 
 
@@ -131,7 +133,7 @@ def block_nearest(qid, q, xid, x, k: int, skip_self: bool):
     centre = x.mean(0)
     q0, x0 = q - centre, x - centre
     reach = float((x0 * x0).sum(1).max())
-    step = max(1, CHUNK // min(len(x), SLAB))
+    step = max(1, CHUNK // (4 * min(len(x), SLAB)))
     for a in range(0, len(q), step):
         part = q0[a : a + step]
         slack = SLACK * ((part * part).sum(1) + reach)
@@ -165,7 +167,10 @@ def block_nearest(qid, q, xid, x, k: int, skip_self: bool):
 
 
 def block_kernel_sums(qid, q, xid, x, widths, shift, skip_self: bool):
-    """Per query and width: (exponent shift, sum of exp(-d2 / 2w - shift))."""
+    """Per query and width: (exponent shift, sum of exp(-d2 / 2w - shift)).
+
+    The shift makes the term of the nearest row 1. Widths that halve cost one exponential a pair.
+    """
     nw = len(widths)
     top = np.full((len(q), nw), -np.inf) if shift is None else shift
     out = np.zeros((len(q), nw))
@@ -186,7 +191,9 @@ def block_kernel_sums(qid, q, xid, x, widths, shift, skip_self: bool):
                 if last is not None and 2 * widths[i] == widths[last] and (ref[:, i] == 2 * ref[:, last]).all():
                     np.multiply(e, e, out=e)  # half the width: the square
                 else:
-                    e = np.exp(-piece / (2 * widths[i]) - ref[:, i, None])
+                    e = piece / (-2 * widths[i])
+                    e -= ref[:, i, None]
+                    np.exp(e, out=e)
                 out[a : a + step, i] += e.sum(1)
                 last = i
     return top, out
