@@ -79,6 +79,42 @@ def test_few_columns_go_by_cells(spark, monkeypatch, skip):
         np.testing.assert_allclose([got[i][k + 1][1] ** 2 for k in range(4)], [d for _, d in want], atol=1e-9)
 
 
+@pytest.mark.parametrize("skip", [False, True])
+def test_rows_closer_than_single_precision_tells(skip):
+    rng = np.random.default_rng(8)
+    base = rng.normal(0, 1, (6, 4))
+    x = base[rng.integers(0, 6, 900)] + rng.normal(0, 1e-9, (900, 4))
+    x[300:500] = x[300]  # a crowd: ties fall to the smaller id
+    ids = rng.permutation(900)
+    r, c, dist = pairs.block_nearest(ids[:200], x[:200] * 1.0, ids, x, 4, skip)
+    for i in range(200):
+        d = np.sqrt(((x[i] - x) ** 2).sum(1))
+        order = [j for j in np.lexsort((ids, d)) if not (skip and j == i)][:4]
+        assert list(ids[c[r == i]]) == list(ids[order])
+        np.testing.assert_array_equal(dist[r == i], d[order])
+
+
+def test_a_crowd_is_settled_in_parts(monkeypatch):
+    """Rows as near as the k-th are not all held to the end."""
+    monkeypatch.setattr(pairs, "SLAB", 50)
+    monkeypatch.setattr(pairs, "CHUNK", 1_000)
+    seen, settle = [], pairs._truly_nearest
+    monkeypatch.setattr(pairs, "_truly_nearest", lambda q, x, xid, r, c, k: seen.append(len(r)) or settle(q, x, xid, r, c, k))
+    x, ids = np.ones((3_000, 2)), np.arange(3_000)[::-1]
+    r, c, dist = pairs.block_nearest(ids[:30], x[:30], ids, x, 3, False)
+    assert [sorted(ids[c[r == i]]) for i in range(30)] == [[0, 1, 2]] * 30 and not dist.any()
+    assert max(seen) <= 3_000
+
+
+def test_queries_of_one_file_go_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "WORK_PER_TASK", 10_000)
+    x, q = cloud("flat", 200), cloud("flat", 120)
+    one = frame(spark, q, 1_000).coalesce(1)
+    found = pairs.nearest_neighbours(one, frame(spark, x), 2)
+    assert found.rdd.getNumPartitions() > 4
+    assert found.count() == 240
+
+
 def test_more_neighbours_than_rows(spark):
     df = frame(spark, cloud("flat", 5))
     assert pairs.nearest_neighbours(df, df, 9).count() == 25
