@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from quarry.operators import approximate, describe, folds, pairs, similarity, text
+from quarry.operators import approximate, describe, folds, pairs, reduce, similarity, text
 from test_pairs import cloud, frame
 
 
@@ -36,6 +36,30 @@ def test_recall_in_cut_groups(spark, tiny_broadcast, kind):
     assert share >= 0.9
 
 
+@pytest.mark.parametrize("blocks", [1, 16])
+def test_a_query_travels_once_to_a_group(spark, tiny_broadcast, monkeypatch, blocks):
+    """The same rows whatever the groups; fewer copies of a query than it has probes."""
+    monkeypatch.setattr(pairs, "CHUNK", 1_600)  # pieces of 100 rows
+    df = frame(spark, cloud("blobs", 260))
+    written, cut = {}, approximate.cut_lineage
+
+    def counted(rows, stem):
+        done = cut(rows, stem)
+        written[stem] = done.count()
+        return done
+
+    monkeypatch.setattr(approximate, "cut_lineage", counted)
+    monkeypatch.setattr(approximate, "GROUP_BLOCKS", blocks)
+    rows = approximate.approximate_neighbours(df, df, 5, include_self=False, tables=6, probes=16).collect()
+    monkeypatch.setattr(approximate, "GROUP_BLOCKS", 1_000)  # no group is cut
+    whole = approximate.approximate_neighbours(df, df, 5, include_self=False, tables=6, probes=16).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, whole))
+    assert written["buckets"] == 260 * 6 and written["probes"] == 260 * 6  # one group a table
+    monkeypatch.setattr(approximate, "GROUP_BLOCKS", blocks)
+    list(approximate.approximate_neighbours(df, df, 5, tables=6, probes=16).limit(1).collect())
+    assert written["probes"] <= 260 * 6 * (16 if blocks == 1 else 2) and (blocks > 1 or written["probes"] < 260 * 6 * 12)
+
+
 def test_approximate_edges(spark):
     one = frame(spark, [[1.0, 2.0]])
     assert [tuple(r) for r in approximate.approximate_neighbours(one, one, 3).collect()] == [(0, 1, 0, 0.0)]
@@ -106,3 +130,16 @@ def test_a_query_without_weight(spark):
     assert {r["sim"] for r in text.rank_documents(bag, {"a": 0.0}).collect()} == {None}
     got = {r["doc_id"]: r["sim"] for r in text.rank_documents(bag, ["a"]).collect()}
     assert got == {1: 1.0, 2: None}
+
+
+def test_the_sweep_projects_by_matrix(spark, monkeypatch):
+    """Projection as expressions, one per component and column, took longer than the search."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (120, 6)) * [5, 4, 3, 1, 1, 1]
+    rows = [(i, int(v[0] > 0), [float(c) for c in v]) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, label int, features array<double>")
+    monkeypatch.setattr(reduce.Components, "project", None)
+    got = {r["k"]: r["error"] for r in reduce.sweep_components(df.filter("id >= 40"), df.filter("id < 40"), [1, 6], "label", "id").collect()}
+    near = 40 + ((x[:40, None] - x[None, 40:]) ** 2).sum(2).argmin(1)
+    assert got[6] == pytest.approx(((x[near, 0] > 0) != (x[:40, 0] > 0)).mean())
+    assert set(got) == {1, 6}
