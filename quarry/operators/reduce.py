@@ -17,7 +17,7 @@ from quarry.functions.vectors import batches_to_matrices, dot, from_matrix, let,
 from quarry.operators.describe import cumulative
 from quarry.operators.gram import gram, pooled
 from quarry.operators.neighbours import classify_sweep
-from quarry.session import cut_lineage
+from quarry.session import cut_lineage, spread
 
 
 WIDE = 512  # columns beyond which rows are projected by a matrix product
@@ -49,10 +49,10 @@ class Components:
     def project(self, df: DataFrame, k: int, vec_col: str = "features", out: str = "scores") -> DataFrame:
         """Centre by the fitted mean, then the first k coordinates; for training or new rows."""
         if len(self.mean) > WIDE:
-            return self._project_wide(df, k, vec_col, out)
+            return self.project_wide(df, k, vec_col, out)
         return df.withColumn(out, let(self._centred(vec_col), lambda x: self._scores(x, k)))
 
-    def _project_wide(self, df: DataFrame, k: int, vec_col: str, out: str) -> DataFrame:
+    def project_wide(self, df: DataFrame, k: int, vec_col: str = "features", out: str = "scores") -> DataFrame:
         """The loadings as one matrix per task rather than as expressions."""
         shared = df.sparkSession.sparkContext.broadcast((self.mean, self.loadings[:, :k]))
         rest = df.drop(out).withColumn(vec_col, F.col(vec_col).cast("array<double>"))
@@ -167,8 +167,8 @@ def sweep_components(
     """Test error of 1-nearest-neighbour on the first k components: one fit, one projection."""
     pca = fit_components(train.select(vec_col), vec_col=vec_col)
     top = max(ks)
-    # projected once, searched once per k
-    a, b = (cut_lineage(pca.project(x, top, vec_col).drop(vec_col), "scores") for x in (train, test))
+    # projected once, by matrix products, searched once per k
+    a, b = (cut_lineage(pca.project_wide(spread(x), top, vec_col).drop(vec_col), "scores") for x in (train, test))
     out = None
     for k in ks:
         cut = F.slice("scores", 1, k)
