@@ -60,6 +60,17 @@ def test_a_query_travels_once_to_a_group(spark, tiny_broadcast, monkeypatch, blo
     assert written["probes"] <= 260 * 6 * (16 if blocks == 1 else 2) and (blocks > 1 or written["probes"] < 260 * 6 * 12)
 
 
+def test_repeated_rows_crowd_nothing_out(spark):
+    x = cloud("flat", 60)
+    df = frame(spark, x)
+    rows = approximate.approximate_neighbours(df.union(df), df.union(df), 5, bits=1, probes=2, tables=1).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["neighbor_id"]
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    assert all(got[i] == dict(enumerate(np.argsort(d[i], kind="stable")[:5], 1)) for i in range(60))
+
+
 def test_approximate_edges(spark):
     one = frame(spark, [[1.0, 2.0]])
     assert [tuple(r) for r in approximate.approximate_neighbours(one, one, 3).collect()] == [(0, 1, 0, 0.0)]
