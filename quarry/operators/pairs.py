@@ -312,11 +312,14 @@ def nearest_on_line(v: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.n
     return cell, np.abs(v - pivots[cell])
 
 
-def build_cells(x: DataFrame, n: int, m: int, k: int) -> tuple[DataFrame, Cells]:
-    """Assign rows to their nearest pivot; measure every cell (at most MAX_PIVOTS rows)."""
+def build_cells(x: DataFrame, n: int, m: int, k: int, carry: tuple[str, ...] = ()) -> tuple[DataFrame, Cells]:
+    """Assign rows to their nearest pivot; measure every cell (at most MAX_PIVOTS rows).
+
+    ``carry`` names columns of doubles that stay with the rows.
+    """
     spark = x.sparkSession
     p = max(1, min(MAX_PIVOTS, 4 * -(-n // BLOCK_ROWS), max(1, broadcast_limit(spark) // (8 * m))))
-    _, pivots = fetch(x.orderBy(F.xxhash64("id"), "id").limit(p))
+    _, pivots = fetch(x.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(p))
     shared = spark.sparkContext.broadcast(pivots)
 
     def assign(batches):
@@ -329,10 +332,12 @@ def build_cells(x: DataFrame, n: int, m: int, k: int) -> tuple[DataFrame, Cells]
                 cell = d2.argmin(1)
                 far = np.sqrt(d2[np.arange(len(v)), cell])
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("v"), pa.array(cell.astype(np.int32)), pa.array(far)], names=["id", "v", "cell", "pd"]
+                [b.column("id"), b.column("v"), pa.array(cell.astype(np.int32)), pa.array(far), *[b.column(c) for c in carry]],
+                names=["id", "v", "cell", "pd", *carry],
             )
 
-    placed = cut_lineage(x.mapInArrow(assign, "id long, v array<double>, cell int, pd double"), "cells")
+    schema = "id long, v array<double>, cell int, pd double" + "".join(f", {c} double" for c in carry)
+    placed = cut_lineage(x.mapInArrow(assign, schema), "cells")
     # one ranked pass; the row_number limit is pushed below the shuffle by Spark
     near = W.partitionBy("cell").orderBy("pd", "id")
     kth = (

@@ -14,6 +14,7 @@ from quarry.operators import (
     mixture,
     neighbours,
     networks,
+    pairs,
     reduce,
     trees,
 )
@@ -364,6 +365,26 @@ def test_ward_tree_equals_greedy_merging(spark, block):
     assert {tuple(sorted(g)) for g in cut.values()} == groups
 
 
+@pytest.mark.parametrize("limit, most", [(None, 0), (6_000, 2), (1_000, 99)])
+def test_ward_tree_sends_vectors_only_where_no_copy_fits(spark, monkeypatch, limit, most):
+    """All clusters, else those that look for a partner, are copied; only beyond that vectors go to blocks."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(200, 3))
+    heights, made = _greedy_ward(x)
+    sent, visit = [], pairs.visit_blocks
+    monkeypatch.setattr(pairs, "visit_blocks", lambda q, *a, **k: sent.append(q.count()) or visit(q, *a, **k))
+    if limit:
+        spark.conf.set("quarry.broadcast.bytes", limit)
+    try:
+        df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, features array<double>")
+        tree = hierarchy.ward_tree(df, block=60).collect()
+    finally:
+        spark.conf.unset("quarry.broadcast.bytes")
+    assert sorted(r["height"] for r in tree) == pytest.approx(heights, abs=1e-9)
+    assert set(_members(tree)) == set(made)
+    assert len(sent) <= most
+
+
 def test_ward_tree_of_equal_rows_even_steps_and_odd_ids(spark):
     schema = "id long, features array<double>"
     rows = [(i, [0.0, 1.0]) for i in range(60)] + [(60 + i, [float(i + 5), 1.0]) for i in range(64)]
