@@ -101,6 +101,21 @@ def test_similar_sets(spark):
     assert approximate.similar_sets(df.filter("false"), 80, "doc", "word").count() == 0
 
 
+def test_similar_sets_of_many_copies(spark, monkeypatch):
+    """Equal sets are compared as one, near ones in blocks that a set travels to once; all pairs come out."""
+    sets = {i: {f"t{v}" for v in range(30)} for i in range(40)}
+    sets |= {100 + i: {f"t{v}" for v in range(30)} - {f"t{i}"} for i in range(12)}
+    sets |= {200 + i: {f"u{i}-{v}" for v in range(9)} for i in range(4)} | {300 + i: {f"u{i}-{v}" for v in range(9)} for i in range(4)}
+    df = spark.createDataFrame([(k, t) for k, s in sets.items() for t in s], "doc long, word string")
+    compared, write = [], approximate.cut_lineage
+    monkeypatch.setattr(approximate, "SET_BLOCK", 5, raising=False)
+    monkeypatch.setattr(approximate, "cut_lineage", lambda x, stem: compared.append(x.count() if stem == "maybe" else 0) or write(x, stem))
+    got = {(r["a"], r["b"]): r["sim"] for r in approximate.similar_sets(df, 80, "doc", "word").collect()}
+    want = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in itertools.combinations(sorted(sets), 2)}
+    assert got == pytest.approx({k: v for k, v in want.items() if v >= 0.8})
+    assert sum(compared) <= 13 * 12 // 2
+
+
 @pytest.mark.parametrize("method", ["cos", "cor"])
 def test_similar_pairs_in_cells(spark, tiny_broadcast, method):
     x = np.vstack([cloud("blobs", 120), [[0, 0, 0]], [[2, 2, 2]]])
