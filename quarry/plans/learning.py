@@ -20,7 +20,7 @@ from quarry.operators import (
 )
 from quarry.plans import models
 from quarry.plans.registry import SQL, query, rounded
-from quarry.session import spread, table
+from quarry.session import cut_lineage, spread, table
 from quarry.sources.tables import read_matrix, write_metrics
 
 
@@ -140,9 +140,9 @@ def l16_adam(spark, d):
     """Sixteen pairs of hidden layers on three folds, trained together to their own stopping rule."""
     x = folds.kfold_shuffled(_quality(spark, d), 3, "doc_id", 2)
     pairs_ = [(a, b) for a in (2, 4, 6, 8) for b in (2, 4, 6, 8)]
-    out = None
+    scored, out = cut_lineage(x, "scored"), None  # the texts are read once for all networks
     for hidden, net in networks.train_adam(x, pairs_, fold="fold", classes=2, rate=0.05, tol=5e-3, patience=3, cuts=1).items():
-        error = evaluate.error_rate(networks.predict_by_fold(x, net), "label", "prediction", ["fold"])
+        error = evaluate.error_rate(networks.predict_by_fold(scored, net), "label", "prediction", ["fold"])
         part = error.select(F.lit(hidden[0]).alias("first"), F.lit(hidden[1]).alias("second"), *error.columns)
         out = part if out is None else out.unionByName(part)
     return out

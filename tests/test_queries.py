@@ -59,3 +59,14 @@ def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.columns == ["antecedent", "consequent", "confidence", "support", "lift"]
     assert df.count() > 0
+
+
+def test_adam_networks_score_written_rows(spark, data_dir, monkeypatch):
+    """The texts are not read again for each of the networks."""
+    from quarry.operators import networks
+
+    train, predict, read = networks.train_adam, networks.predict_by_fold, []
+    monkeypatch.setattr(networks, "train_adam", lambda *a, **k: train(*a, **k | {"epochs": 1}))
+    monkeypatch.setattr(networks, "predict_by_fold", lambda x, net: read.extend(x.inputFiles()) or predict(x, net))
+    assert entry_point.queries()["l16_network_adam"](spark, data_dir).count() == 48
+    assert read and not any("documents" in f for f in read)
