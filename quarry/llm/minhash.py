@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from quarry.llm.bytewords import LOWERED, NO_BLANK, SpanHash, texts, word_spans
 from quarry.llm.common import quoted, text_of, written
-from quarry.llm.components import components
+from quarry.llm.components import between, components, renamed
 
 BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
@@ -210,10 +210,10 @@ def placed(rows: DataFrame, most: int) -> DataFrame:
     ``most`` has tiles of its own, all others share theirs; each row goes to one new group per
     pair of tiles that holds its own, on side 0 or 1. Tiles of one component never meet.
     """
-    per = rows.groupBy("group", "comp").agg(F.sum("weight").alias("w"))
-    heavy = written(per.groupBy("group").agg(F.sum("w").alias("all")).filter(F.col("all") > most).select("group"), "heavy")
+    heavy = written(rows.groupBy("group").agg(F.sum("weight").alias("all")).filter(F.col("all") > most).select("group"), "heavy")
+    per = rows.join(heavy, "group", "left_semi").groupBy("group", "comp").agg(F.sum("weight").alias("w"))
     cls = F.when(F.col("w") > most, F.col("comp")).otherwise(F.lit(-1).cast("long"))
-    sums = per.join(heavy, "group", "left_semi").select("group", cls.alias("cls"), "w").groupBy("group", "cls")
+    sums = per.select("group", cls.alias("cls"), "w").groupBy("group", "cls")
     parts = sums.agg(F.ceil(F.sum("w") / most).cast("int").alias("parts"))
     tiles = parts.groupBy(F.col("group").alias("heavy")).agg(F.collect_list(F.struct("cls", "parts")).alias("classes"))
     joined = rows.join(written(tiles, "tiles"), F.col("group") == F.col("heavy"), "left")
@@ -405,8 +405,8 @@ def near_sets(
     linear work. Then nodes of different components that still meet under a key are compared
     by signature in tiles; what remains is grouped and its sets are intersected in tiles, by
     products of 0/1 matrices. Tiles of one component never meet. A key or group of any size is
-    cut by measured weight, tasks emit stars, not pairs, and components come from alternating
-    large-star and small-star rounds. Texts are shuffled only for sets that have a candidate.
+    cut by measured weight, tasks emit stars, not pairs, and components come from rounds
+    of contraction to least neighbours. Texts are shuffled only for sets that have a candidate.
     """
     rows = written(signed(df, id_col, text_col, shingle), "signed-sets")
     first = [F.first(c).alias(c) for c in ("n", "keys", "sig")]
@@ -420,7 +420,8 @@ def near_sets(
     ends = edges.select("node").unionByName(edges.select(F.col("leader").alias("node"))).distinct()
     sets = written(sets_of(df, nodes.join(ends, "node", "left_semi"), id_col, text_col, shingle), "leader-sets")
     near = written(confirmed(_around_leaders(edges), sets, percent), "near-leaders")
-    comps = written(components(near), "first-components").select(F.col("node").alias("k"), F.col("root").alias("comp"))
+    roots = components(near)
+    comps = roots.select(F.col("node").alias("k"), F.col("root").alias("comp"))
 
     apart = met.join(comps, F.col("node") == F.col("k"), "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
     apart = written(apart, "met-components")
@@ -428,7 +429,7 @@ def near_sets(
     apart = apart.join(mixed.select("k"), F.col("key") == F.col("k"), "left_semi").withColumnRenamed("key", "group")
     tiles = placed(written(apart.withColumn("weight", F.lit(1).cast("long")), "apart"), TILE_ROWS)
     maybe = written(candidates(tiles.join(nodes.select("node", "n", "sig"), "node"), percent), "candidates")
-    crowd = written(components(maybe), "candidate-groups")
+    crowd = components(maybe)
     if not crowd.isEmpty():
         members = crowd.join(comps, F.col("node") == F.col("k"), "left").join(nodes.select("node", "n", "rep", "digest"), "node")
         members = members.select(
@@ -442,9 +443,12 @@ def near_sets(
         members = written(members, "candidate-members")
         sets = written(sets_of(df, members, id_col, text_col, shingle), "candidate-sets")
         places = placed(members.select("group", "node", "comp", "weight"), TILE_SHINGLES)
-        more = confirmed(places, sets, percent)
-        near = near.unionByName(written(more, "near-candidates"))
-        comps = written(components(near), "last-components").select(F.col("node").alias("k"), F.col("root").alias("comp"))
+        more = components(between(confirmed(places, sets, percent), roots))
+        # components of the first round that are linked now, and nodes that had no link before
+        own = roots.select(F.col("node").alias("k"))
+        alone = more.join(own, F.col("node") == F.col("k"), "left_anti")
+        roots = written(renamed(roots, more).unionByName(alone), "last-components")
+        comps = roots.select(F.col("node").alias("k"), F.col("root").alias("comp"))
 
     known = nodes.select("node", "digest", "least_id").join(comps, F.col("node") == F.col("k"), "left")
     known = known.withColumn("top", F.coalesce("comp", "node"))
