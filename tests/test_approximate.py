@@ -116,6 +116,28 @@ def test_similar_sets_of_many_copies(spark, monkeypatch):
     assert sum(compared) <= 13 * 12 // 2
 
 
+def test_similar_sets_write_no_table_of_pairs(spark, monkeypatch):
+    """A crowd of near copies: no working table grows with its pairs, and all of them come out, by products and one by one."""
+    sets = {i: {f"t{v}" for v in range(60)} - {f"t{i % 60}"} | {f"own{i}"} for i in range(200)}
+    sets |= {300 + i: {f"t{v}" for v in range(40)} | {f"u{i}"} for i in range(3)}  # too small to be alike, bands shared
+    df = spark.createDataFrame([(k, t) for k, s in sets.items() for t in s], "doc long, word string")
+    rows, write = [], approximate.cut_lineage
+
+    def watch(x, stem):
+        out = write(x, stem)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(approximate, "cut_lineage", watch)
+    monkeypatch.setattr(approximate, "SET_BLOCK", 90)
+    monkeypatch.setattr(approximate, "SET_COLUMNS", 16, raising=False)
+    got = {(r["a"], r["b"]): r["sim"] for r in approximate.similar_sets(df, 80, "doc", "word").collect()}
+    want = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in itertools.combinations(sorted(sets), 2)}
+    want = {k: v for k, v in want.items() if v >= 0.8}
+    assert got == pytest.approx(want) and len(want) > 19_000
+    assert max(rows) < 2 * approximate.BANDS * len(sets) < len(want)
+
+
 @pytest.mark.parametrize("method", ["cos", "cor"])
 def test_similar_pairs_in_cells(spark, tiny_broadcast, method):
     x = np.vstack([cloud("blobs", 120), [[0, 0, 0]], [[2, 2, 2]]])
