@@ -34,6 +34,8 @@ CROWD = 8  # visited cells per row from which on cells are put together
 TILE_BYTES = 64 * 1024 * 1024
 CHUNK = 2_000_000  # pair distances held at a time inside a task
 SLAB = 4_096  # data rows that a search takes at a time
+SUM_ROWS, SUM_SLAB = 128, 2_048  # sides of a tile of kernel terms, which stays in the cache
+NO_TERM = 1e-24  # of a sum's largest term: no number of rows that fits a table adds up to a change
 SLACK = 1e-9  # share of the squared norms by which an expanded product may be off
 MARGIN = 1e-6  # share of the spread added to every bound before a cell is ruled out
 
@@ -230,34 +232,87 @@ def block_nearest(qid, q, xid, x, k: int, skip_self: bool):
 def block_kernel_sums(qid, q, xid, x, widths, shift, skip_self: bool):
     """Per query and width: (exponent shift, sum of exp(-d2 / 2w - shift)).
 
-    The shift makes the term of the nearest row 1. Widths that halve cost one exponential a pair.
+    The shift makes the term of the nearest row 1. One product gives the exponents of the widest width; widths that
+    halve cost a multiplication a pair, and pairs whose terms cannot change a sum are not carried on to narrower widths.
     """
     nw = len(widths)
-    top = np.full((len(q), nw), -np.inf) if shift is None else shift
     out = np.zeros((len(q), nw))
-    centre = x.mean(0) if len(x) else 0.0
+    if not nw or not len(x):
+        return np.full((len(q), nw), -np.inf) if shift is None else shift, out
+    order = sorted(range(nw), key=lambda i: -widths[i])
+    steps = list(zip(order, order[1:]))
+    scale = np.array([-0.5 / w for w in widths])
+    wide = scale[order[0]]
+    halving = all(widths[i] == 2 * widths[j] for i, j in steps)
+    if shift is not None:
+        given = np.where(np.isfinite(shift), shift, 0.0)
+        halving = halving and all((2 * given[:, i] == given[:, j]).all() for i, j in steps)
+    near = np.full(len(q), np.inf)  # the nearest so far
+    centre = x.mean(0)
     q0, x0 = q - centre, x - centre
-    step = max(1, CHUNK // max(1, len(x)))
-    for a in range(0, len(q), step):
-        d2 = squared_distances(q0[a : a + step], x0)
-        if skip_self:
-            d2[qid[a : a + step][:, None] == xid[None, :]] = np.inf
-        near = d2.min(1)
-        if shift is None:
-            top[a : a + step] = -near[:, None] / np.array([2 * w for w in widths])
-        ref = np.where(np.isfinite(top[a : a + step]), top[a : a + step], 0.0)
-        for s in range(0, len(x), SLAB):
-            piece, last = d2[:, s : s + SLAB], None
-            for i in sorted(range(nw), key=lambda i: -widths[i]):
-                if last is not None and 2 * widths[i] == widths[last] and (ref[:, i] == 2 * ref[:, last]).all():
-                    np.multiply(e, e, out=e)  # half the width: the square
-                else:
-                    e = piece / (-2 * widths[i])
-                    e -= ref[:, i, None]
-                    np.exp(e, out=e)
-                out[a : a + step, i] += e.sum(1)
-                last = i
-    return top, out
+    qq, xx = (q0 * q0).sum(1), (x0 * x0).sum(1)
+    left = np.concatenate([-2 * wide * q0, np.ones((len(q), 1)), wide * qq[:, None]], axis=1)
+    if shift is not None:
+        left[:, -1] -= given[:, order[0]]
+    right = np.concatenate([x0, wide * xx[:, None], np.ones((len(x), 1))], axis=1)
+    slabs = [(s, np.ascontiguousarray(right[s : s + SUM_SLAB].T)) for s in range(0, len(x), SUM_SLAB)]
+    own_r, own_c = _same_ids(qid, xid) if skip_self else (np.zeros(0, int), np.zeros(0, int))
+    space = np.empty(SUM_ROWS * SUM_SLAB)  # written anew for each tile
+    first = 0  # the width after which terms fell away in the last tile
+    for a in range(0, len(q), SUM_ROWS):
+        rows = slice(a, a + SUM_ROWS)
+        lo, hi = np.searchsorted(own_r, [a, a + SUM_ROWS])
+        mine_r, mine_c = own_r[lo:hi] - a, own_c[lo:hi]
+        for s, slab in slabs:
+            size = (len(left[rows]), slab.shape[1])
+            z = np.matmul(left[rows], slab, out=space[: size[0] * size[1]].reshape(size))
+            here = (mine_c >= s) & (mine_c < s + SUM_SLAB)
+            z[mine_r[here], mine_c[here] - s] = -np.inf
+            if shift is None:
+                old = near[rows]
+                ref = np.where(np.isfinite(old), old, 0.0)
+                now = np.maximum(ref + z.max(1) / wide, 0)
+                at = np.flatnonzero(~(now >= old))
+                if len(at):  # what was summed so far, seen from the nearer row
+                    z[at] -= (wide * (now - ref))[at, None]
+                    out[a + at] *= np.exp2((old - now)[at, None] * (scale / np.log(2)))
+                    near[a + at] = now[at]
+                    left[a + at, -1] = wide * (qq[a + at] - now[at])
+            shifts = None if shift is None or halving else given[rows]
+            first = _add_terms(out[rows], z, order, scale, halving, shifts, first)
+    return near[:, None] * scale if shift is None else shift, out
+
+
+def _add_terms(out, z, order, scale, halving, given, first: int) -> int:
+    """Add the terms of one tile to the sums, widest first; ``z`` are the exponents of the widest and is overwritten.
+
+    Terms are looked through from one width before ``first``, and the first of this tile is given back.
+    """
+    e, at, wide, columns, fell = None, None, order[0], z.shape[1], len(order)
+    for k, i in enumerate(order):
+        if halving:
+            e = np.exp(z, out=z) if e is None else np.multiply(e, e, out=e)  # half the width: the square
+        else:
+            ratio = scale[i] / scale[wide]
+            e = z * ratio
+            if given is not None:
+                rest = ratio * given[:, wide] - given[:, i]
+                e += rest[:, None] if at is None else rest[at]
+            np.exp(e, out=e)
+        out[:, i] += e.sum(1) if at is None else np.bincount(at, e, len(out))
+        if k + 1 == len(order) or k + 1 < first < len(order):
+            continue
+        # what a term is now if it is nothing at the next width
+        test = ~(e <= (NO_TERM if given is not None else NO_TERM ** (scale[i] / scale[order[k + 1]])))
+        many = np.count_nonzero(test)
+        if not many:
+            return min(fell, k)
+        if 8 * many < e.size:
+            fell = min(fell, k)
+            keep = np.flatnonzero(test.ravel())
+            at = keep // columns if at is None else at[keep]
+            e, z = e.ravel()[keep], z if halving else z.ravel()[keep]
+    return fell
 
 
 # --- Voronoi cells ---------------------------------------------------------------

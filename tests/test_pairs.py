@@ -202,6 +202,29 @@ def test_kernel_sums_of_halved_widths(monkeypatch):
         np.testing.assert_allclose(np.log(got[:, i]) + top[:, i], np.log(exp(-(d2 - d2.min(1)[:, None]) / (2 * w)).sum(1)) - d2.min(1) / (2 * w), rtol=1e-9)
 
 
+@pytest.mark.parametrize("halved", [True, False])
+def test_kernel_terms_that_change_nothing_are_not_carried_on(monkeypatch, halved):
+    """On narrow widths only near pairs are still multiplied; blocks given a shift and blocks without give the same sums."""
+    rng = np.random.default_rng(3)
+    q, x = rng.normal(0, 1, (200, 32)), rng.normal(0, 1, (5_000, 32))
+    x[:40] = q[:40] + 1e-3 * rng.normal(0, 1, (40, 32))  # near copies
+    widths = [4.0 * (2.0 if halved else 2.2) ** p for p in range(-10, 3)]
+    made, multiply = [], np.multiply
+    monkeypatch.setattr(np, "multiply", lambda a, b, **out: made.append(np.size(a)) or multiply(a, b, **out))
+    ids = np.arange(200), np.arange(100, 5_100)  # half of the queries stand in x under their id, and are left out
+    top, got = pairs.block_kernel_sums(ids[0], q, ids[1], x, widths, None, True)
+    assert sum(made) <= 7 * q.shape[0] * x.shape[0]
+    d2 = ((q[:, None, :] - x[None, :, :]) ** 2).sum(2)
+    d2[ids[0][:, None] == ids[1][None, :]] = np.inf
+    near = d2.min(1)
+    given = -near[:, None] / np.array([2 * w for w in widths])[None, :]
+    halves = [pairs.block_kernel_sums(ids[0], q, ids[1][c], x[c], widths, given, True)[1] for c in (slice(0, 2_500), slice(2_500, None))]
+    for i, w in enumerate(widths):
+        want = np.log(np.exp(-(d2 - near[:, None]) / (2 * w)).sum(1)) + given[:, i]
+        np.testing.assert_allclose(np.log(got[:, i]) + top[:, i], want, rtol=1e-8, atol=1e-8)
+        np.testing.assert_allclose(np.log(halves[0][:, i] + halves[1][:, i]) + given[:, i], want, rtol=1e-8, atol=1e-8)
+
+
 def test_similarity_on_shuffled_plan(spark, tiny_broadcast):
     x, y = cloud("flat", 60), cloud("flat", 70)[10:]
     got = {(r["x_id"], r["y_id"]): r["sim"] for r in similarity.similarity(frame(spark, x), frame(spark, y), "cos").collect()}
