@@ -18,6 +18,8 @@ from functools import cached_property, wraps
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -742,6 +744,18 @@ def line_sums(x: DataFrame, n: int, widths: list[float]) -> DataFrame | None:
     return spread_small(x, n, 1, TERMS * 2 * reach * len(widths)).mapInArrow(scan, SUMS)
 
 
+def _radius(x: DataFrame) -> float:
+    """The largest distance of a row from the mean."""
+    centre = x.select(Summarizer.mean(array_to_vector("v"))).first()[0].toArray()
+    shared = x.sparkSession.sparkContext.broadcast(centre)
+
+    def measure(batches):
+        for _, v in batches_to_matrices(batches, "v"):
+            yield pa.RecordBatch.from_arrays([pa.array([float(((v - shared.value) ** 2).sum(1).max())])], names=["d"])
+
+    return float(x.mapInArrow(measure, "d double").agg(F.sqrt(F.max("d"))).first()[0])
+
+
 @any_ids("df", out=("id",))
 def kernel_sums(
     df: DataFrame, widths, id_col: str = "id", vec_col: str = "features", skip_self: bool = True
@@ -750,7 +764,8 @@ def kernel_sums(
 
     Gives (id, shift, total) with sum_j exp(-d2 / 2w) = exp(shift) * total, plus
     the number of rows and columns. Beyond the copy bound a row's reach is its
-    nearest distance plus what can still change the last bit of its sum. Many rows of
+    nearest distance plus what can still change the last bit of its sum; where that reaches all rows, nearest
+    rows are not looked for. Many rows of
     one column that count themselves are summed by :func:`line_sums`.
     """
     spark = df.sparkSession
@@ -774,13 +789,14 @@ def kernel_sums(
 
         return spread_small(x, n, m, n * (m + 20 * len(widths))).mapInArrow(scan, SUMS), n, m
 
-    if skip_self:
+    tail = 2 * max(widths) * (np.log(max(2, n)) + 45)  # e^-45 of the largest term, over all rows
+    all_meet = tail >= 4 * _radius(x) ** 2  # no two rows are farther apart: nearest distances would exclude none
+    if skip_self and not all_meet:
         nn = nearest_neighbours(df, df, 1, id_col, vec_col, include_self=False)
         q = x.join(nn.select(F.col("query_id").alias("id"), F.col("distance").alias("near")), "id")
     else:
         q = x.withColumn("near", F.lit(0.0))
     placed, cells = build_cells(x, n, m, 1)
-    tail = 2 * max(widths) * (np.log(max(2, n)) + 45)  # e^-45 of the largest term, over all rows
     half = np.array([2 * w for w in widths])
 
     def add(left, right):
@@ -790,13 +806,24 @@ def kernel_sums(
         xid, xv = _unpack(right)
         qid, qv = left.column("id").to_numpy(), to_matrix(left.column("v"))
         near = left.column("near").to_numpy()
-        shift = -(near**2)[:, None] / half[None, :]
+        shift = None if all_meet else -(near**2)[:, None] / half[None, :]
         shift, s = block_kernel_sums(qid, qv, xid, xv, widths, shift, skip_self)
         return pa.Table.from_arrays([pa.array(qid), from_matrix(shift), from_matrix(s)], names=names)
 
     reach = lambda dq, near: np.sqrt(near**2 + tail)
     parts = visit_blocks(q, placed, cells, reach, extra="near").applyInArrow(add, SUMS)
     w = range(len(widths))
+    if all_meet:  # each block has a shift of its own
+        held = parts.groupBy("id").agg(F.collect_list(F.struct("shift", "total")).alias("p"))
+        top = lambda i: F.array_max(F.transform("p", lambda s: F.get(s["shift"], F.lit(i))))
+        held = held.select("id", "p", F.array(*[top(i) for i in w]).alias("shift"))
+
+        def total(i):
+            top = F.get("shift", F.lit(i))
+            term = lambda s: F.get(s["total"], F.lit(i)) * F.exp(F.get(s["shift"], F.lit(i)) - top)
+            return F.when(top > -np.inf, F.aggregate("p", F.lit(0.0), lambda t, s: t + term(s))).otherwise(0.0)
+
+        return held.select("id", "shift", F.array(*[total(i) for i in w]).alias("total")), n, m
     out = parts.groupBy("id").agg(
         F.first("shift").alias("shift"), F.array(*[F.sum(F.get("total", F.lit(i))) for i in w]).alias("total")
     )

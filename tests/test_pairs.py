@@ -225,6 +225,27 @@ def test_kernel_terms_that_change_nothing_are_not_carried_on(monkeypatch, halved
         np.testing.assert_allclose(np.log(halves[0][:, i] + halves[1][:, i]) + given[:, i], want, rtol=1e-8, atol=1e-8)
 
 
+def test_kernel_sums_look_for_no_neighbours_where_all_rows_count(spark, tiny_broadcast, monkeypatch):
+    """Beyond the copy bound, widths that reach every row need no nearest rows first; narrow ones are summed beside them."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(0, 1, (150, 12))
+    x[:9] = x[20:29] + 1e-3
+    widths = [1.0 * 2.0**p for p in range(-10, 3)]
+
+    def refuse(*_, **__):
+        raise AssertionError("nearest rows were looked for")
+
+    monkeypatch.setattr(pairs, "nearest_neighbours", refuse)
+    got = {(r["id"], r["width"]): r["log_density"] for r in density.kernel_density(frame(spark, x), widths).collect()}
+    d2 = ((x[:, None, :] - x[None, :, :]) ** 2).sum(2)
+    np.fill_diagonal(d2, np.inf)
+    for w in widths:
+        e = -d2 / (2 * w)
+        top = e.max(1)
+        want = top + np.log(np.exp(e - top[:, None]).sum(1)) - np.log(len(x) - 1) - 6 * np.log(2 * np.pi * w)
+        np.testing.assert_allclose([got[(i, w)] for i in range(len(x))], want, atol=1e-8)
+
+
 def test_similarity_on_shuffled_plan(spark, tiny_broadcast):
     x, y = cloud("flat", 60), cloud("flat", 70)[10:]
     got = {(r["x_id"], r["y_id"]): r["sim"] for r in similarity.similarity(frame(spark, x), frame(spark, y), "cos").collect()}
